@@ -6,6 +6,8 @@ text byte exist for `CHUNK` bytes at a time only; what is kept is a few numbers
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -51,6 +53,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 CODES = _byte_codes()
 
 
+@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -89,23 +92,31 @@ class Words:
         self.hashes = self._hash()
 
     def _hash(self) -> np.ndarray:
-        out = np.empty(len(self.starts), np.uint64)
+        return self.hash_spans(self.starts, self.ends)
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes of every word (of all, if it has fewer), unlike those of whole words."""
+        return mix(self.hash_spans(self.starts, np.minimum(self.ends, self.starts + size)) + np.uint64(size))
+
+    def hash_spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of spans of bytes that ascend and don't overlap."""
+        out = np.empty(len(starts), np.uint64)
         up, down = _powers(P, CHUNK + 1), _powers(P_INV, CHUNK + 1)
         i = 0
         while i < len(out):
-            base = self.starts[i]
-            j = int(np.searchsorted(self.ends, base + CHUNK, "right"))
+            base = starts[i]
+            j = int(np.searchsorted(ends, base + CHUNK, "right"))
             if j <= i:  # one word longer than a chunk: piece by piece
                 total = 0
-                for at in range(int(base), int(self.ends[i]), CHUNK):
-                    piece = CODES[self.data[at : min(at + CHUNK, int(self.ends[i]))]]
+                for at in range(int(base), int(ends[i]), CHUNK):
+                    piece = CODES[self.data[at : min(at + CHUNK, int(ends[i]))]]
                     total += int((piece * up[: len(piece)]).sum(dtype=np.uint64)) * pow(P, at - int(base), 1 << 64)
                 out[i] = np.uint64(total & MASK)
                 i += 1
                 continue
-            sums = np.zeros(int(self.ends[j - 1] - base) + 1, np.uint64)
-            np.cumsum(CODES[self.data[base : self.ends[j - 1]]] * up[: len(sums) - 1], out=sums[1:])
-            a, b = self.starts[i:j] - base, self.ends[i:j] - base
+            sums = np.zeros(int(ends[j - 1] - base) + 1, np.uint64)
+            np.cumsum(CODES[self.data[base : ends[j - 1]]] * up[: len(sums) - 1], out=sums[1:])
+            a, b = starts[i:j] - base, ends[i:j] - base
             out[i:j] = (sums[b] - sums[a]) * down[a]
             i = j
         return mix(out)

@@ -26,6 +26,26 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, table(spark, folder, "benchmark")))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages by markup, address and host, and documents by declared language and source."""
+    from palaver.llm import langid
+
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = langid.fit(docs)
+    own = langid.evidence(langid.of_documents(docs), model, text_col="text", markup=False).select("doc_id", F.lit(None).cast("bigint").alias("page_id"), "host", "suffix", "declared", "like")
+    web = langid.evidence(langid.of_pages(pages), model, text_col="text", markup=True).select(F.lit(None).cast("bigint").alias("doc_id"), "page_id", "host", "suffix", "declared", "like")
+    return langid.fuse(own.union(web), model.languages).select("doc_id", "page_id", "host", "declared", "text_language", "language", "confidence")
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from palaver.llm import toxicity
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "toxicity.severity", "toxicity.grade", "toxicity.p_toxic", (F.col("toxicity.p_toxic") >= 0.5).alias("toxic"))
+
+
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import fingerprint
 
@@ -38,6 +58,13 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(table(spark, folder, "documents"))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from palaver.llm import quality
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs)).select("doc_id", "quality.posterior", "quality.score", "quality.keep")
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import warc
 
@@ -67,5 +94,5 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_fingerprints, op5_secrets, op7_warc, op8_sharding, op9_setjoin, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin, op10_packing)}
 ORACLE: dict[str, str] = {}

@@ -283,3 +283,26 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     found = profile.join(alias, "id", "left").withColumn("head", F.coalesce("head", "id")).join(known.select(F.col("node").alias("head"), "component"), "head", "left")
     # a component's smallest set head is its smallest document: heads are the smallest ids of their copies
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "head").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, **options) -> DataFrame:
+    """The documents with one of each group of linked ones, that of the smallest id; unlinked ones stay.
+
+    Rows that share an id stay or go together.  Documents whose bit isn't in the table of the dropped ids stay where
+    they are; only the others are joined with those ids.
+    """
+    found = cut(link(docs, id_col=id_col, text_col=text_col, bits=bits, **options))
+    dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
+    table = docs.sparkSession.sparkContext.broadcast(_bit_table(dropped, bits))
+    marked = docs.withColumn("_bit", F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(bits)))
+
+    def part(inside: bool):
+        def run(batches):
+            for batch in batches:
+                bit = batch.column("_bit").to_numpy()
+                yield batch.filter(pa.array((((table.value[bit // 64] >> (bit % 64)) & 1) == 1) == inside, pa.bool_()))
+
+        return marked.mapInArrow(run, marked.schema).drop("_bit")
+
+    rest = part(True).join(dropped.select(F.col("id").alias("_dropped")), F.col(id_col) == F.col("_dropped"), "left_anti")
+    return part(False).unionByName(rest).select(*docs.columns)
