@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Tables written as Parquet under the shared checkpoint folder, deleted by `drop`."""
+
+    def __init__(self, session):
+        self.session = session
+        context = session.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        self.folder = f"{context.getCheckpointDir().rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.session.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.session._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.session._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ranked(df: DataFrame, groups: list[str], order: list[str], into: str, width: int = 1 << 16) -> DataFrame:
     """Rows numbered from 0 without gaps within `groups`, by `order`, whose first column is an integer.
 

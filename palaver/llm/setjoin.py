@@ -12,7 +12,8 @@ lists of their prefix: the n - ceil(share * n / 100) + 1 first shingles in an or
 come last.  A list pairs its members with one pivot first; linked ones form components.  Then only pairs
 of one list that still lie in different components are compared, and only if their places in the list
 leave room for the overlap; this loses no component, as a pair skipped is either linked already or can't link.
-Every candidate is checked on its whole sets.
+Candidates whose parity sketches differ in more bits than the sets may in shingles can't link either (a
+shingle flips one bit, so the sketches never differ more than the sets); the rest is checked on the whole sets.
 
 Sets are 64-bit shingle hashes.  Equal sets are one set from the start.  What is broadcast is bounded: the
 order of at most `frequent` frequent shingles and a bit table of `bits` bits that only saves work.
@@ -31,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import cut
+from palaver.llm.common import Scratch, cut
 from palaver.llm.components import components
 from palaver.llm.kernel import NON_SPACE, Words, distinct, mix, shingles, slices, string_bytes
 
-FREQUENT, BITS = 1 << 18, 1 << 23
+FREQUENT, BITS, SKETCH = 1 << 18, 1 << 23, 8
 
 
 def overlap(n: int, m: int, share: int) -> int:
@@ -84,7 +85,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _profile(docs: DataFrame, n: int) -> DataFrame:
-    """`id`, `n`, and a 128-bit hash of the set in two halves."""
+    """`id`, `n`, a 128-bit hash of the set in two halves, and the set's parity sketch of 64 * SKETCH bits."""
 
     def run(batches):
         for whole in batches:
@@ -92,9 +93,12 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
                 sets = Sets(batch.column("text"), n).each
                 one = np.array([int(s.sum(dtype=np.uint64)) for s in sets], np.uint64)
                 two = np.array([int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in sets], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(_signed(one)), pa.array(_signed(two))], names=["id", "n", "k1", "k2"])
+                odd = [np.packbits((np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)) for s in sets]
+                sketch = np.concatenate(odd).view(np.int64) if odd else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()), pa.array(sketch))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(_signed(one)), pa.array(_signed(two)), lists], names=["id", "n", "k1", "k2", "sketch"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, k1 bigint, k2 bigint")
+    return docs.mapInArrow(run, "id bigint, n bigint, k1 bigint, k2 bigint, sketch array<bigint>")
 
 
 def frequent_shingles(docs: DataFrame, n: int, least: int = 3, most: int = FREQUENT) -> np.ndarray:
@@ -233,58 +237,81 @@ def _linked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _need(share: int, n1, n2):
+    """c(n1, n2) as a column."""
+    return F.ceil(F.lit(share) * (n1 + n2) / F.lit(100.0 + share) - F.lit(1e-9))
+
+
 def _room(share: int, n1, p1, n2, p2):
     """Whether two sets can reach the overlap when the shingle at these places is their first common one."""
-    need = F.ceil(F.lit(share) * (n1 + n2) / F.lit(100.0 + share) - F.lit(1e-9))
-    return F.least(n1 - p1, n2 - p2) >= need
+    return F.least(n1 - p1, n2 - p2) >= _need(share, n1, n2)
+
+
+def _heads_of(pairs: DataFrame, alias: DataFrame) -> DataFrame:
+    """The pairs with copies replaced by the one that stands for them; the larger id is `a`."""
+    for side in ("a", "b"):
+        pairs = pairs.join(alias.select(F.col("id").alias(side), F.col("head").alias(f"head_{side}")), side, "left")
+    one, two = F.coalesce("head_a", "a"), F.coalesce("head_b", "b")
+    return pairs.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b")).where("a <> b").distinct()
+
+
+def _close(pairs: DataFrame, profile: DataFrame, share: int) -> DataFrame:
+    """The pairs whose sketches don't differ more than linked sets may."""
+    for side in ("a", "b"):
+        pairs = pairs.join(profile.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
+    differ = sum((F.bit_count(F.get("sketch_a", k).bitwiseXOR(F.get("sketch_b", k))) for k in range(SKETCH)), F.lit(0))
+    return pairs.where(differ <= F.col("n_a") + F.col("n_b") - 2 * _need(share, F.col("n_a"), F.col("n_b"))).select("a", "b")
 
 
 def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, share: int = 85, frequent: int = FREQUENT, bits: int = BITS, boundary: int | None = None) -> DataFrame:
     """One row a document: the id, `n_shingles` and `component_id`, the smallest id that links reach."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    profile = cut(_profile(docs, n))
-    heads = profile.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies"))
+    scratch = Scratch(docs.sparkSession)
+    profile = scratch.store(_profile(docs, n), "profile")
     if boundary is None:
         small = {r[0]: r[1] for r in profile.where("n between 1 and 64").groupBy("n").count().collect()}
         boundary = boundary_of(small, share)
+    heads = profile.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("head"))
+    alias = cut(profile.where("n > 0").select("id", "k1", "k2").join(heads, ["k1", "k2"]).where("id <> head").select("id", "head").distinct())
+    sketches = profile.select("id", "n", "sketch").join(alias, "id", "left_anti").dropDuplicates(["id"])
     order = docs.sparkSession.sparkContext.broadcast(Order(frequent_shingles(docs, n, most=frequent)))
-    entries = _entries(docs, n, share, boundary, order)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    entries = entries.repartition(parts, "token", "kind")
+    # one exchange serves both the aggregation and the join with its result
+    entries = _entries(docs, n, share, boundary, order).where("token is not null and kind is not null").repartition(parts, "token", "kind")
     # lists with two members at least; the pivot leaves most room for an overlap
-    slack = F.struct((F.col("n") - F.col("place") - F.col("n") * F.lit(share / 100)).alias("room"), "n", "place", (-F.col("id")).alias("id"))
-    lists = entries.groupBy("token", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(slack).alias("pivot"), F.min(F.when(F.col("place") == 0, F.col("id"))).alias("side0"), F.count(F.lit(1)).alias("size")).where("low < high")
-    # copies of one set stay in the lists under the id of one of them
-    head_of = profile.where("n > 0").join(heads, ["k1", "k2"]).select("id", "head")
-    alias = cut(head_of.where("id <> head"))
-    joined = entries.join(lists.select("token", "kind", "pivot", "side0"), ["token", "kind"])
-    joined = cut(joined.join(alias, "id", "left_anti"))
+    slack = F.struct((F.col("n") - F.col("place") - F.col("n") * F.lit(share / 100)).alias("room"), (-F.col("id")).alias("id"), "n", "place")
+    lists = entries.groupBy("token", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(slack).alias("p"), F.min(F.when(F.col("place") == 0, F.col("id"))).alias("side0"), F.count(F.lit(1)).alias("size")).where("low < high")
+    lists = lists.select("token", "kind", (-F.col("p.id")).alias("pid"), F.col("p.n").alias("pn"), F.col("p.place").alias("pp"), "side0", "size")
+    joined = scratch.store(entries.join(lists, ["token", "kind"]), "lists")
     light = joined.where("kind = 0 and side0 is not null and id <> side0").select(F.col("id").alias("a"), F.col("side0").alias("b")).distinct()
     heavy = joined.where("kind = 1")
-    # the pivot again among the sets that are left
-    pivots = heavy.groupBy("token").agg(F.max(slack).alias("p"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    heavy = heavy.drop("pivot", "side0", "kind").join(pivots, "token")
-    star = heavy.where(-F.col("p.id") != F.col("id")).where(_room(share, F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place")))
-    star = cut(star.select(F.greatest(-F.col("p.id"), F.col("id")).alias("a"), F.least(-F.col("p.id"), F.col("id")).alias("b")).distinct())
-    open_ids = heavy.select("id")
-    sets = cut(_sets_of(docs, open_ids, n, bits).join(alias, "id", "left_anti"))
-    edges = cut(_linked(star, sets, share).union(light))
+    star = heavy.where("id <> pid").where(_room(share, F.col("n"), F.col("place"), F.col("pn"), F.col("pp"))).select(F.col("id").alias("a"), F.col("pid").alias("b")).distinct()
+    star = cut(_close(_heads_of(star, alias), sketches, share))
+    edges = cut(_linked(star, scratch.store(_sets_of(docs, _ids(star), n, bits), "star"), share).union(_heads_of(light, alias)))
     known = components(edges)
-    rows = heavy.select("token", "id", "n", "place").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = cut(rows)
+    # lists of two have been compared; in the others, pairs of different components are left
+    rows = heavy.where("size > 2").select("token", "id", "n", "place").join(alias, "id", "left_anti").distinct()
+    rows = rows.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
-    rest = rows.join(mixed, "token")
-    other = rest.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "place", "component")))
-    pairs = rest.join(other, "token").where((F.col("id") > F.col("id2")) & (F.col("component") != F.col("component2"))).where(_room(share, F.col("n"), F.col("place"), F.col("n2"), F.col("place2")))
-    pairs = cut(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    more = cut(_linked(pairs, sets, share))
-    if not more.isEmpty():
-        known = components(edges.union(more))
-    found = profile.join(alias, "id", "left").withColumn("head", F.coalesce("head", "id")).join(known.select(F.col("node").alias("head"), "component"), "head", "left")
+    rows = scratch.store(rows.join(mixed, "token"), "rest")
+    other = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "place", "component")))
+    pairs = rows.join(other, "token").where((F.col("id") > F.col("id2")) & (F.col("component") != F.col("component2"))).where(_room(share, F.col("n"), F.col("place"), F.col("n2"), F.col("place2")))
+    pairs = cut(_close(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), sketches, share).join(star, ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
+        more = cut(_linked(pairs, scratch.store(_sets_of(docs, _ids(pairs), n, bits), "pairs"), share))
+        if not more.isEmpty():
+            known = components(edges.union(more))
+    sizes = cut(profile.select("id", "n"))
+    scratch.drop()
+    found = sizes.join(alias, "id", "left").withColumn("head", F.coalesce("head", "id")).join(known.select(F.col("node").alias("head"), "component"), "head", "left")
     # a component's smallest set head is its smallest document: heads are the smallest ids of their copies
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "head").alias("component_id"))
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, **options) -> DataFrame:
     """The documents with one of each group of linked ones, that of the smallest id; unlinked ones stay.
 
