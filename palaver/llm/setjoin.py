@@ -256,11 +256,18 @@ def _heads_of(pairs: DataFrame, alias: DataFrame) -> DataFrame:
 
 
 def _close(pairs: DataFrame, profile: DataFrame, share: int) -> DataFrame:
-    """The pairs whose sketches don't differ more than linked sets may."""
+    """The pairs whose sketches don't differ more than linked sets may, and in how many bits they do."""
     for side in ("a", "b"):
         pairs = pairs.join(profile.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
     differ = sum((F.bit_count(F.get("sketch_a", k).bitwiseXOR(F.get("sketch_b", k))) for k in range(SKETCH)), F.lit(0))
-    return pairs.where(differ <= F.col("n_a") + F.col("n_b") - 2 * _need(share, F.col("n_a"), F.col("n_b"))).select("a", "b")
+    return pairs.withColumn("differ", differ).where(F.col("differ") <= F.col("n_a") + F.col("n_b") - 2 * _need(share, F.col("n_a"), F.col("n_b"))).select("a", "b", "differ")
+
+
+def _across(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs that lie in different components."""
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}")), side, "left")
+    return pairs.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
 
 
 def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, share: int = 85, frequent: int = FREQUENT, bits: int = BITS, boundary: int | None = None) -> DataFrame:
@@ -279,7 +286,9 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     # one exchange serves both the aggregation and the join with its result
     entries = _entries(docs, n, share, boundary, order).where("token is not null and kind is not null").repartition(parts, "token", "kind")
     # lists with two members at least; the pivot leaves most room for an overlap
-    slack = F.struct((F.col("n") - F.col("place") - F.col("n") * F.lit(share / 100)).alias("room"), (-F.col("id")).alias("id"), "n", "place")
+    # (in thirds of the most there is, so that a group's lists mostly agree on the smallest id)
+    room = F.floor(F.lit(3.0) * (F.col("n") - F.col("place") - F.col("n") * F.lit(share / 100)) / (F.col("n") * F.lit(1 - share / 100)))
+    slack = F.struct(room.alias("room"), (-F.col("id")).alias("id"), "n", "place")
     lists = entries.groupBy("token", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(slack).alias("p"), F.min(F.when(F.col("place") == 0, F.col("id"))).alias("side0"), F.count(F.lit(1)).alias("size")).where("low < high")
     lists = lists.select("token", "kind", (-F.col("p.id")).alias("pid"), F.col("p.n").alias("pn"), F.col("p.place").alias("pp"), "side0", "size")
     joined = scratch.store(entries.join(lists, ["token", "kind"]), "lists")
@@ -287,7 +296,9 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     heavy = joined.where("kind = 1")
     star = heavy.where("id <> pid").where(_room(share, F.col("n"), F.col("place"), F.col("pn"), F.col("pp"))).select(F.col("id").alias("a"), F.col("pid").alias("b")).distinct()
     star = cut(_close(_heads_of(star, alias), sketches, share))
-    edges = cut(_linked(star, scratch.store(_sets_of(docs, _ids(star), n, bits), "star"), share).union(_heads_of(light, alias)))
+    # each document with the nearest of its pivots first
+    first = star.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("m")).select("a", "m.b")
+    edges = cut(_linked(first, scratch.store(_sets_of(docs, _ids(first), n, bits), "star"), share).union(_heads_of(light, alias)))
     known = components(edges)
     # lists of two have been compared; in the others, pairs of different components are left
     rows = heavy.where("size > 2").select("token", "id", "n", "place").join(alias, "id", "left_anti").distinct()
@@ -296,7 +307,8 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     rows = scratch.store(rows.join(mixed, "token"), "rest")
     other = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "place", "component")))
     pairs = rows.join(other, "token").where((F.col("id") > F.col("id2")) & (F.col("component") != F.col("component2"))).where(_room(share, F.col("n"), F.col("place"), F.col("n2"), F.col("place2")))
-    pairs = cut(_close(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), sketches, share).join(star, ["a", "b"], "left_anti"))
+    pairs = _close(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), sketches, share).select("a", "b")
+    pairs = cut(pairs.union(_across(star, known)).distinct().join(first, ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         more = cut(_linked(pairs, scratch.store(_sets_of(docs, _ids(pairs), n, bits), "pairs"), share))
         if not more.isEmpty():
