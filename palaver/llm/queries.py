@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # texts go to Python workers in batches of so many rows, which bounds what a worker holds
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

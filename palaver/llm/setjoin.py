@@ -9,7 +9,7 @@ listing one size's subsets costs more than reading its lists (see `boundary_of`)
 
 Heavy part: the other sets (and the small ones that a large one may link with) are entered in inverted
 lists of their prefix: the n - ceil(share * n / 100) + 1 first shingles in an order in which frequent ones
-come last.  A list pairs its members with one pivot first; linked ones form components.  Then only pairs
+come last.  A short list pairs all its members, a long one each with one pivot first; linked ones form components.  Then only pairs
 of one list that still lie in different components are compared, and only if their places in the list
 leave room for the overlap; this loses no component, as a pair skipped is either linked already or can't link.
 Candidates whose parity sketches differ in more bits than the sets may in shingles can't link either (a
@@ -37,6 +37,8 @@ from palaver.llm.components import components
 from palaver.llm.kernel import NON_SPACE, Words, distinct, mix, shingles, slices, string_bytes
 
 FREQUENT, BITS, SKETCH = 1 << 18, 1 << 23, 8
+#: Lists of at most so many members have all their pairs compared at once.
+SHORT = 12
 
 
 def overlap(n: int, m: int, share: int) -> int:
@@ -115,7 +117,7 @@ def frequent_shingles(docs: DataFrame, n: int, least: int = 3, most: int = FREQU
                 sets = Sets(batch.column("text"), n).each
                 held += sets
                 total += sum(map(len, sets))
-                if total > 4_000_000:
+                if total > 2_000_000:
                     known, held, total = _merge(known, held, 2), [], 0
         values, counts = _merge(known, held, least)
         for a in range(0, len(values), 1 << 16):
@@ -291,17 +293,22 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     slack = F.struct(room.alias("room"), (-F.col("id")).alias("id"), "n", "place")
     lists = entries.groupBy("token", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(slack).alias("p"), F.min(F.when(F.col("place") == 0, F.col("id"))).alias("side0"), F.count(F.lit(1)).alias("size")).where("low < high")
     lists = lists.select("token", "kind", (-F.col("p.id")).alias("pid"), F.col("p.n").alias("pn"), F.col("p.place").alias("pp"), "side0", "size")
-    joined = scratch.store(entries.join(lists, ["token", "kind"]), "lists")
+    base = entries.join(lists, ["token", "kind"])
+    # short lists: all their pairs at once, from the same exchange; long ones: against the pivot
+    mate = entries.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "place")))
+    short = base.where((F.col("kind") == 1) & (F.col("size") <= SHORT)).drop("pid", "pn", "pp", "side0", "size").join(mate, ["token", "kind"])
+    short = short.where(F.col("id") > F.col("id2")).where(_room(share, F.col("n"), F.col("place"), F.col("n2"), F.col("place2"))).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+    joined = scratch.store(base.where((F.col("kind") == 0) | (F.col("size") > SHORT)), "lists")
     light = joined.where("kind = 0 and side0 is not null and id <> side0").select(F.col("id").alias("a"), F.col("side0").alias("b")).distinct()
     heavy = joined.where("kind = 1")
     star = heavy.where("id <> pid").where(_room(share, F.col("n"), F.col("place"), F.col("pn"), F.col("pp"))).select(F.col("id").alias("a"), F.col("pid").alias("b")).distinct()
-    star = cut(_close(_heads_of(star, alias), sketches, share))
+    star = cut(_close(_heads_of(short.union(star), alias), sketches, share))
     # each document with the nearest of its pivots first
     first = star.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("m")).select("a", "m.b")
     edges = cut(_linked(first, scratch.store(_sets_of(docs, _ids(first), n, bits), "star"), share).union(_heads_of(light, alias)))
     known = components(edges)
-    # lists of two have been compared; in the others, pairs of different components are left
-    rows = heavy.where("size > 2").select("token", "id", "n", "place").join(alias, "id", "left_anti").distinct()
+    # in the long lists, pairs of different components are left
+    rows = heavy.select("token", "id", "n", "place").join(alias, "id", "left_anti")
     rows = rows.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
     rows = scratch.store(rows.join(mixed, "token"), "rest")
