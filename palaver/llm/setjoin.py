@@ -161,22 +161,24 @@ def _entries(docs: DataFrame, n: int, share: int, boundary: int, order) -> DataF
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
-                token, ident, size, place, kind = [], [], [], [], []
+                token, ident, size, place, kind, rank = [], [], [], [], [], []
                 for key, s in zip(batch.column("id").to_numpy(), Sets(batch.column("text"), n).each, strict=True):
                     if not len(s):
                         continue
                     if len(s) <= boundary:
                         keys, sides = subset_keys(s, share, boundary)
-                        token.append(keys), place.append(sides), kind.append(np.zeros(len(keys), np.int8))
+                        token.append(keys), place.append(sides), kind.append(np.zeros(len(keys), np.int8)), rank.append(sides)
                         ident.append(np.full(len(keys), key)), size.append(np.full(len(keys), len(s), np.int32))
                     if len(s) >= lowest:
                         first = order.value.prefix(s, prefix_of(len(s), share))
                         token.append(first), place.append(np.arange(len(first), dtype=np.int32)), kind.append(np.ones(len(first), np.int8))
+                        # in thirds of the prefix, so that the lists of a group mostly agree on the smallest id
+                        rank.append((3 * np.arange(len(first)) // len(first)).astype(np.int32))
                         ident.append(np.full(len(first), key)), size.append(np.full(len(first), len(s), np.int32))
                 if token:
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(token))), pa.array(np.concatenate(ident), pa.int64()), pa.array(np.concatenate(size), pa.int32()), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(kind), pa.int8())], names=["token", "id", "n", "place", "kind"])
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(token))), pa.array(np.concatenate(ident), pa.int64()), pa.array(np.concatenate(size), pa.int32()), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(kind), pa.int8()), pa.array(np.concatenate(rank), pa.int32())], names=["token", "id", "n", "place", "kind", "rank"])
 
-    return docs.mapInArrow(run, "token bigint, id bigint, n int, place int, kind tinyint")
+    return docs.mapInArrow(run, "token bigint, id bigint, n int, place int, kind tinyint, rank int")
 
 
 def subset_keys(s: np.ndarray, share: int, boundary: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,6 +241,111 @@ def _linked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+PAIRS = "kind tinyint, a bigint, b bigint, token bigint, n int, place int"
+
+
+def _lists(entries: DataFrame, share: int, parts: int) -> DataFrame:
+    """Reads the lists and subsets in order of token, as a stream, into rows of three kinds.
+
+    0: linked pair (`a`, `b`) of one subset.  1: candidate pair: all of a list of at most SHORT members; of a
+    longer one, its first member, whose shingle stands earliest, with each other.  2: member `a` of a longer
+    list.  Only the members of one short list are held at a time, so a list may have any length.
+    """
+    columns = ("token", "kind", "id", "n", "place")
+
+    def room(n1, p1, n2, p2):
+        return np.minimum(n1 - p1, n2 - p2) >= -(-share * (n1 + n2) // (100 + share))
+
+    def out(kind, a, b=None, token=None, n=None, place=None):
+        zeros = np.zeros(len(a), np.int64)
+        value = [np.full(len(a), kind, np.int8), a, *(zeros if x is None else x for x in (b, token, n, place))]
+        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(value, kinds, strict=True)], names=["kind", "a", "b", "token", "n", "place"])
+
+    def work(rows, starts, sizes, first):
+        """Pairs and members of whole or long groups; `first` has each group's first member as arrays."""
+        token, kind, ident, n, place = rows
+        subset, long = kind[starts] == 0, sizes > SHORT
+        for wanted, code in ((subset & (first[2] == 0), 0), (~subset & long, 1)):
+            which = np.repeat(np.flatnonzero(wanted), sizes[wanted])
+            at = np.concatenate([np.arange(s, s + k) for s, k in zip(starts[wanted].tolist(), sizes[wanted].tolist(), strict=True)]) if wanted.any() else np.zeros(0, np.int64)
+            a, b = ident[at], first[0][which]
+            keep = (a != b) if code == 0 else (a != b) & room(n[at], place[at], first[1][which], first[2][which])
+            yield out(code, np.maximum(a, b)[keep], np.minimum(a, b)[keep])
+            if code:
+                yield out(2, ident[at], None, token[at], n[at], place[at])
+        for m in range(2, SHORT + 1):
+            base = starts[~subset & (sizes == m)]
+            if len(base):
+                i, j = np.triu_indices(m, 1)
+                x, y = (base[:, None] + i).reshape(-1), (base[:, None] + j).reshape(-1)
+                keep = (ident[x] != ident[y]) & room(n[x], place[x], n[y], place[y])
+                a, b = ident[x[keep]], ident[y[keep]]
+                yield out(1, np.maximum(a, b), np.minimum(a, b))
+
+    def run(batches):
+        held, state = None, None  # rows of a group that may go on; (token, kind) and first member of a long one
+        for batch in _then_none(batches):
+            rows = held
+            if batch is not None:
+                new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+                rows = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            if rows is None or not len(rows[0]):
+                continue
+            token, kind, ident, n, place = rows
+            starts = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (kind[1:] != kind[:-1]))))
+            sizes = np.diff(np.concatenate((starts, [len(token)])))
+            first = [ident[starts], n[starts], place[starts]]
+            if state and state[0] == (token[0], kind[0]):  # the long group of the last batch goes on
+                for x, value in zip(first, state[1], strict=True):
+                    x[0] = value
+                sizes_seen = sizes.copy()
+                sizes_seen[0] += SHORT
+            else:
+                sizes_seen = sizes
+            open_end, held, state = batch is not None, None, None
+            if open_end:
+                if sizes_seen[-1] <= SHORT:
+                    at = int(starts[-1])
+                    held = [x[at:] for x in rows]
+                    starts, sizes, first = starts[:-1], sizes[:-1], [x[:-1] for x in first]
+                    sizes_seen = sizes_seen[:-1]
+                else:
+                    state = ((token[-1], kind[-1]), tuple(x[-1] for x in first))
+            if len(starts):
+                yield from work_sized(rows, starts, sizes, sizes_seen, first)
+
+    def work_sized(rows, starts, sizes, seen, first):
+        # a long group that goes on is long however few of its rows are here
+        grown = seen != sizes
+        if grown.any():
+            k = int(np.flatnonzero(grown)[0])
+            one = [x[k : k + 1] for x in first]
+            yield from continued(rows, int(starts[k]), int(sizes[k]), one)
+            keep = ~grown
+            starts, sizes, first = starts[keep], sizes[keep], [x[keep] for x in first]
+        if len(starts):
+            yield from work(rows, starts, sizes, first)
+
+    def continued(rows, start, size, first):
+        token, kind, ident, n, place = (x[start : start + size] for x in rows)
+        b = np.full(size, first[0][0])
+        if kind[0] == 0:
+            keep = (ident != b) & (first[2][0] == 0)
+            yield out(0, np.maximum(ident, b)[keep], np.minimum(ident, b)[keep])
+        else:
+            keep = (ident != b) & room(n, place, first[1][0], first[2][0])
+            yield out(1, np.maximum(ident, b)[keep], np.minimum(ident, b)[keep])
+            yield out(2, ident, None, token, n, place)
+
+    return entries.repartition(parts, "token", "kind").sortWithinPartitions("token", "kind", "rank", "id").select(*columns).mapInArrow(run, PAIRS)
+
+
+def _then_none(batches):
+    yield from batches
+    yield None
+
+
 def _need(share: int, n1, n2):
     """c(n1, n2) as a column."""
     return F.ceil(F.lit(share) * (n1 + n2) / F.lit(100.0 + share) - F.lit(1e-9))
@@ -285,30 +392,15 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     sketches = profile.select("id", "n", "sketch").join(alias, "id", "left_anti").dropDuplicates(["id"])
     order = docs.sparkSession.sparkContext.broadcast(Order(frequent_shingles(docs, n, most=frequent)))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    # one exchange serves both the aggregation and the join with its result
-    entries = _entries(docs, n, share, boundary, order).where("token is not null and kind is not null").repartition(parts, "token", "kind")
-    # lists with two members at least; the pivot leaves most room for an overlap
-    # (in thirds of the most there is, so that a group's lists mostly agree on the smallest id)
-    room = F.floor(F.lit(3.0) * (F.col("n") - F.col("place") - F.col("n") * F.lit(share / 100)) / (F.col("n") * F.lit(1 - share / 100)))
-    slack = F.struct(room.alias("room"), (-F.col("id")).alias("id"), "n", "place")
-    lists = entries.groupBy("token", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max(slack).alias("p"), F.min(F.when(F.col("place") == 0, F.col("id"))).alias("side0"), F.count(F.lit(1)).alias("size")).where("low < high")
-    lists = lists.select("token", "kind", (-F.col("p.id")).alias("pid"), F.col("p.n").alias("pn"), F.col("p.place").alias("pp"), "side0", "size")
-    base = entries.join(lists, ["token", "kind"])
-    # short lists: all their pairs at once, from the same exchange; long ones: against the pivot
-    mate = entries.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "place")))
-    short = base.where((F.col("kind") == 1) & (F.col("size") <= SHORT)).drop("pid", "pn", "pp", "side0", "size").join(mate, ["token", "kind"])
-    short = short.where(F.col("id") > F.col("id2")).where(_room(share, F.col("n"), F.col("place"), F.col("n2"), F.col("place2"))).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    joined = scratch.store(base.where((F.col("kind") == 0) | (F.col("size") > SHORT)), "lists")
-    light = joined.where("kind = 0 and side0 is not null and id <> side0").select(F.col("id").alias("a"), F.col("side0").alias("b")).distinct()
-    heavy = joined.where("kind = 1")
-    star = heavy.where("id <> pid").where(_room(share, F.col("n"), F.col("place"), F.col("pn"), F.col("pp"))).select(F.col("id").alias("a"), F.col("pid").alias("b")).distinct()
-    star = cut(_close(_heads_of(short.union(star), alias), sketches, share))
+    joined = scratch.store(_lists(_entries(docs, n, share, boundary, order), share, parts), "lists")
+    light, star = (joined.where(F.col("kind") == k).select("a", "b").distinct() for k in (0, 1))
+    star = cut(_close(_heads_of(star, alias), sketches, share))
     # each document with the nearest of its pivots first
     first = star.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("m")).select("a", "m.b")
     edges = cut(_linked(first, scratch.store(_sets_of(docs, _ids(first), n, bits), "star"), share).union(_heads_of(light, alias)))
     known = components(edges)
     # in the long lists, pairs of different components are left
-    rows = heavy.select("token", "id", "n", "place").join(alias, "id", "left_anti")
+    rows = joined.where("kind = 2").select("token", F.col("a").alias("id"), "n", "place").join(alias, "id", "left_anti")
     rows = rows.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
     rows = scratch.store(rows.join(mixed, "token"), "rest")

@@ -156,9 +156,11 @@ def test_setjoin(spark, docs, which, boundary):
     assert got == brute.set_components(pairs(table))
 
 
-def test_setjoin_near_copies(spark):
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_setjoin_near_copies(spark, batch):
     from palaver.llm import setjoin
 
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     rng = random.Random(3)
     base = [f"w{rng.randrange(900)}" for _ in range(60)]
     rows = []
