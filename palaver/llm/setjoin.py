@@ -8,7 +8,7 @@ subsets of c(n, m) shingles.  Sets that share one are linked; no check is needed
 listing one size's subsets costs more than reading its lists (see `boundary_of`).
 
 Heavy part: the other sets (and the small ones that a large one may link with) are entered in inverted
-lists of their prefix: the n - ceil(share * n / 100) + 1 first shingles in an order in which frequent ones
+lists of their prefix: the n - ceil(share * n / 100) + COMMON first shingles in an order in which frequent ones
 come last.  A short list pairs all its members, a long one each with one pivot first; linked ones form components.  Then only pairs
 of one list that still lie in different components are compared, and only if their places in the list
 leave room for the overlap; this loses no component, as a pair skipped is either linked already or can't link.
@@ -37,6 +37,8 @@ from palaver.llm.components import components
 from palaver.llm.kernel import NON_SPACE, Words, distinct, mix, shingles, slices, string_bytes
 
 FREQUENT, BITS, SKETCH = 1 << 18, 1 << 23, 8
+#: Prefixes are longer by COMMON - 1 shingles, so linked sets have COMMON in common there.
+COMMON = 3
 #: Lists of at most so many members have all their pairs compared at once.
 SHORT = 12
 
@@ -156,7 +158,7 @@ class Order:
 
 def _entries(docs: DataFrame, n: int, share: int, boundary: int, order) -> DataFrame:
     """Rows of the inverted lists (`kind` 1: token, place) and of the subsets (`kind` 0: key, side)."""
-    lowest = -(-share * (boundary + 1) // 100)
+    lowest = max(-(-share * (boundary + 1) // 100), 1)
 
     def run(batches):
         for whole in batches:
@@ -170,7 +172,7 @@ def _entries(docs: DataFrame, n: int, share: int, boundary: int, order) -> DataF
                         token.append(keys), place.append(sides), kind.append(np.zeros(len(keys), np.int8)), rank.append(sides)
                         ident.append(np.full(len(keys), key)), size.append(np.full(len(keys), len(s), np.int32))
                     if len(s) >= lowest:
-                        first = order.value.prefix(s, prefix_of(len(s), share))
+                        first = order.value.prefix(s, prefix_of(len(s), share) + COMMON - 1)
                         token.append(first), place.append(np.arange(len(first), dtype=np.int32)), kind.append(np.ones(len(first), np.int8))
                         # in thirds of the prefix, so that the lists of a group mostly agree on the smallest id
                         rank.append((3 * np.arange(len(first)) // len(first)).astype(np.int32))
@@ -245,11 +247,11 @@ PAIRS = "kind tinyint, a bigint, b bigint, token bigint, n int, place int"
 
 
 def _lists(entries: DataFrame, share: int, parts: int) -> DataFrame:
-    """Reads the lists and subsets in order of token, as a stream, into rows of three kinds.
+    """Reads the lists and subsets in order of token, as a stream, into rows of four kinds.
 
-    0: linked pair (`a`, `b`) of one subset.  1: candidate pair: all of a list of at most SHORT members; of a
-    longer one, its first member, whose shingle stands earliest, with each other.  2: member `a` of a longer
-    list.  Only the members of one short list are held at a time, so a list may have any length.
+    0: linked pair (`a`, `b`) of one subset.  1: pair of a list of at most SHORT members.  2: member `a` of a
+    longer list.  3: pair of a longer list's first member, whose shingle stands earliest, with another one.
+     Only the members of one short list are held at a time, so a list may have any length.
     """
     columns = ("token", "kind", "id", "n", "place")
 
@@ -271,7 +273,7 @@ def _lists(entries: DataFrame, share: int, parts: int) -> DataFrame:
             at = np.concatenate([np.arange(s, s + k) for s, k in zip(starts[wanted].tolist(), sizes[wanted].tolist(), strict=True)]) if wanted.any() else np.zeros(0, np.int64)
             a, b = ident[at], first[0][which]
             keep = (a != b) if code == 0 else (a != b) & room(n[at], place[at], first[1][which], first[2][which])
-            yield out(code, np.maximum(a, b)[keep], np.minimum(a, b)[keep])
+            yield out(3 * code, np.maximum(a, b)[keep], np.minimum(a, b)[keep])
             if code:
                 yield out(2, ident[at], None, token[at], n[at], place[at])
         for m in range(2, SHORT + 1):
@@ -279,7 +281,7 @@ def _lists(entries: DataFrame, share: int, parts: int) -> DataFrame:
             if len(base):
                 i, j = np.triu_indices(m, 1)
                 x, y = (base[:, None] + i).reshape(-1), (base[:, None] + j).reshape(-1)
-                keep = (ident[x] != ident[y]) & room(n[x], place[x], n[y], place[y])
+                keep = (ident[x] != ident[y]) & room(n[x], 0, n[y], 0)
                 a, b = ident[x[keep]], ident[y[keep]]
                 yield out(1, np.maximum(a, b), np.minimum(a, b))
 
@@ -335,7 +337,7 @@ def _lists(entries: DataFrame, share: int, parts: int) -> DataFrame:
             yield out(0, np.maximum(ident, b)[keep], np.minimum(ident, b)[keep])
         else:
             keep = (ident != b) & room(n, place, first[1][0], first[2][0])
-            yield out(1, np.maximum(ident, b)[keep], np.minimum(ident, b)[keep])
+            yield out(3, np.maximum(ident, b)[keep], np.minimum(ident, b)[keep])
             yield out(2, ident, None, token, n, place)
 
     return entries.repartition(parts, "token", "kind").sortWithinPartitions("token", "kind", "rank", "id").select(*columns).mapInArrow(run, PAIRS)
@@ -352,8 +354,8 @@ def _need(share: int, n1, n2):
 
 
 def _room(share: int, n1, p1, n2, p2):
-    """Whether two sets can reach the overlap when the shingle at these places is their first common one."""
-    return F.least(n1 - p1, n2 - p2) >= _need(share, n1, n2)
+    """Whether two sets can reach the overlap when fewer than COMMON common shingles precede the one at these places."""
+    return F.least(n1 - p1, n2 - p2) + (COMMON - 1) >= _need(share, n1, n2)
 
 
 def _heads_of(pairs: DataFrame, alias: DataFrame) -> DataFrame:
@@ -393,8 +395,10 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     order = docs.sparkSession.sparkContext.broadcast(Order(frequent_shingles(docs, n, most=frequent)))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     joined = scratch.store(_lists(_entries(docs, n, share, boundary, order), share, parts), "lists")
-    light, star = (joined.where(F.col("kind") == k).select("a", "b").distinct() for k in (0, 1))
-    star = cut(_close(_heads_of(star, alias), sketches, share))
+    light, star = (joined.where(F.col("kind") == k).select("a", "b").distinct() for k in (0, 3))
+    # a pair that meets in short lists only meets there in COMMON lists at least; others meet in a long one too
+    short = joined.where("kind = 1").groupBy("a", "b").count().where(F.col("count") >= COMMON).select("a", "b")
+    star = cut(_close(_heads_of(short.union(star), alias), sketches, share))
     # each document with the nearest of its pivots first
     first = star.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("m")).select("a", "m.b")
     edges = cut(_linked(first, scratch.store(_sets_of(docs, _ids(first), n, bits), "star"), share).union(_heads_of(light, alias)))
