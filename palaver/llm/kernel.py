@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 MASK = (1 << 64) - 1
 P = 0x9E3779B97F4A7C15 | 1
 P_INV = pow(P, -1, 1 << 64)
@@ -175,7 +175,7 @@ def distinct(values: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Parts of a batch whose texts hold about `limit` bytes, at least one row each."""
     if not batch.num_rows:
         return

@@ -119,7 +119,7 @@ def frequent_shingles(docs: DataFrame, n: int, least: int = 3, most: int = FREQU
                 sets = Sets(batch.column("text"), n).each
                 held += sets
                 total += sum(map(len, sets))
-                if total > 2_000_000:
+                if total > 1_000_000:
                     known, held, total = _merge(known, held, 2), [], 0
         values, counts = _merge(known, held, least)
         for a in range(0, len(values), 1 << 16):
@@ -162,7 +162,7 @@ def _entries(docs: DataFrame, n: int, share: int, boundary: int, order) -> DataF
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text"):
                 token, ident, size, place, kind, rank = [], [], [], [], [], []
                 for key, s in zip(batch.column("id").to_numpy(), Sets(batch.column("text"), n).each, strict=True):
                     if not len(s):

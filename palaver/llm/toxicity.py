@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from palaver.llm.kernel import Words, slices, string_bytes
 
-SAMPLE, FEATURES = 5_000, 4_096
+SAMPLE, FEATURES = 2_500, 4_096
 BEGINNINGS = (6, 8)
 STEPS = (8, 14)
 
@@ -115,10 +115,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         for whole in batches:
             for batch in slices(whole, "_text"):
                 values, doc = features(batch.column("_text"))
-                pair = np.rec.fromarrays([doc, values])
-                pair = np.unique(pair)
-                edges = np.searchsorted(pair.f0, np.arange(batch.num_rows + 1))
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(pair.f1.view(np.int64)))
+                each = [np.unique(values[doc == d]) for d in range(batch.num_rows)]
+                edges = np.concatenate(([0], np.cumsum([len(x) for x in each])))
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(each).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("_bit"), lists], names=["bit", "found"])
 
     table = rows.mapInArrow(run, "bit int, found array<bigint>").toArrow()
