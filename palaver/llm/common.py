@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,6 +34,9 @@ class Scratch:
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
+        # lets Spark's cleaner delete the shuffle files of what has been stored
+        gc.collect()
+        self.session._jvm.System.gc()
         return self.session.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -38,7 +38,7 @@ from palaver.llm.kernel import NON_SPACE, Words, distinct, mix, shingles, slices
 
 FREQUENT, BITS, SKETCH = 1 << 18, 1 << 23, 8
 #: Prefixes are longer by COMMON - 1 shingles, so linked sets have COMMON in common there.
-COMMON = 3
+COMMON = 1
 #: Lists of at most so many members have all their pairs compared at once.
 SHORT = 12
 
