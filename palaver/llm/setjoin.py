@@ -14,6 +14,7 @@ of one list that still lie in different components are compared, and only if the
 leave room for the overlap; this loses no component, as a pair skipped is either linked already or can't link.
 Candidates whose parity sketches differ in more bits than the sets may in shingles can't link either (a
 shingle flips one bit, so the sketches never differ more than the sets); the rest is checked on the whole sets.
+Sketches grow with their sets, in powers of two: a larger one is folded to the length of a smaller one.
 
 Sets are 64-bit shingle hashes.  Equal sets are one set from the start.  What is broadcast is bounded: the
 order of at most `frequent` frequent shingles and a bit table of `bits` bits that only saves work.
@@ -36,6 +37,7 @@ from palaver.llm.common import Scratch, cut
 from palaver.llm.components import components
 from palaver.llm.kernel import NON_SPACE, Words, distinct, mix, shingles, slices, string_bytes
 
+#: SKETCH: the fewest 64-bit words of a sketch.
 FREQUENT, BITS, SKETCH = 1 << 18, 1 << 23, 8
 #: Prefixes are longer by COMMON - 1 shingles, so linked sets have COMMON in common there.
 COMMON = 1
@@ -76,6 +78,15 @@ def boundary_of(sizes: dict[int, int], share: int, check: float = 16.0, most: in
     return best
 
 
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Bit k: whether the set has an odd number of hashes that are k modulo the number of bits, at least half the set's size."""
+    bits = 64 * SKETCH
+    while 2 * bits < len(s):
+        bits *= 2
+    odd = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class Sets:
     """Shingle sets of a batch: sorted distinct hashes of every text."""
 
@@ -89,7 +100,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _profile(docs: DataFrame, n: int) -> DataFrame:
-    """`id`, `n`, a 128-bit hash of the set in two halves, and the set's parity sketch of 64 * SKETCH bits."""
+    """`id`, `n`, a 128-bit hash of the set in two halves, and the set's parity sketch."""
 
     def run(batches):
         for whole in batches:
@@ -97,9 +108,7 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
                 sets = Sets(batch.column("text"), n).each
                 one = np.array([int(s.sum(dtype=np.uint64)) for s in sets], np.uint64)
                 two = np.array([int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in sets], np.uint64)
-                odd = [np.packbits((np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)) for s in sets]
-                sketch = np.concatenate(odd).view(np.int64) if odd else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()), pa.array(sketch))
+                lists = pa.array([sketch_of(s) for s in sets], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(_signed(one)), pa.array(_signed(two)), lists], names=["id", "n", "k1", "k2", "sketch"])
 
     return docs.mapInArrow(run, "id bigint, n bigint, k1 bigint, k2 bigint, sketch array<bigint>")
@@ -370,10 +379,19 @@ def _close(pairs: DataFrame, profile: DataFrame, share: int) -> DataFrame:
     """The pairs whose sketches don't differ more than linked sets may, and in how many bits they do."""
     for side in ("a", "b"):
         pairs = pairs.join(profile.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
-    differ = sum((F.bit_count(F.get("sketch_a", k).bitwiseXOR(F.get("sketch_b", k))) for k in range(SKETCH)), F.lit(0))
+    words = F.least(F.size("sketch_a"), F.size("sketch_b"))
+    xor = F.zip_with(_folded("sketch_a", words), _folded("sketch_b", words), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(xor, F.lit(0), lambda total, x: total + x)
     return pairs.withColumn("differ", differ).where(F.col("differ") <= F.col("n_a") + F.col("n_b") - 2 * _need(share, F.col("n_a"), F.col("n_b"))).select("a", "b", "differ")
 
 
+def _folded(sketch: str, words):
+    """A sketch as it would be with only so many words."""
+    start = F.array_repeat(F.lit(0).cast("bigint"), words)
+    parts = F.sequence(F.lit(0), (F.size(sketch) / words).cast("int") - 1)
+    return F.aggregate(parts, start, lambda total, k: F.zip_with(total, F.slice(sketch, k * words + 1, words), lambda x, y: x.bitwiseXOR(y)))
+
+
 def _across(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The pairs that lie in different components."""
     for side in ("a", "b"):

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -174,6 +175,19 @@ def test_setjoin_near_copies(spark, batch):
         assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame, boundary=boundary).collect()} == brute.set_components(rows)
 
 
+def test_setjoin_long_sets_of_unequal_sketches(spark):
+    """Sketches of long sets differ in length where a power of two lies between their sizes."""
+    from palaver.llm import setjoin
+
+    words = [f"w{k}" for k in range(4600)]
+    rows = [(size * 1000 + cut, " ".join(words[:size] if not cut else words[cut:size])) for size in (1000, 1100, 2000, 2200, 4000, 4500) for cut in (0, 60, 400)]
+    rows.append((7, " ".join(words[:300] + words[900:3000])))
+    lengths = {len(setjoin.sketch_of(s)) for s in setjoin.Sets(pa.array([r[1] for r in rows]), 4).each}
+    assert len(lengths) > 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame).collect()} == brute.set_components(rows)
+
+
 @pytest.mark.parametrize("which", ["small", "odd", "empty", "clash"])
 def test_packing(spark, docs, which):
     import zlib
