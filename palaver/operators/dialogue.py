@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palaver.functions import replies as R
 from palaver.functions import text as T
 
 
@@ -56,6 +57,19 @@ def score(text, echo=None) -> Column:
     return points - F.when(echo, 30).otherwise(0) - F.when(soft == "", 100).otherwise(0) if echo is not None else points - F.when(soft == "", 100).otherwise(0)
 
 
+def scored(df: DataFrame, text: str, last: str, shortest: int = 2) -> DataFrame:
+    """`score` and `reply`: points off for a short, summary-like, echoing, repetitive or empty reply, softened on the way.
+
+    Each step is a column of its own, as the next one reads it more than once.
+    """
+    out = df.withColumn("_a", T.text_of(text)).withColumn("_summary", T.looks_like_summary("_a")).withColumn("_b", F.when(F.col("_summary"), T.soften_summary("_a")).otherwise(F.col("_a")))
+    out = out.withColumns({"_echo": R.echoes("_b", last), "_again": T.is_repetitive("_b")}).withColumn("reply", F.when(F.col("_again"), T.soften_repetition("_b")).otherwise(F.col("_b")))
+    off = lambda test, points: F.when(test, points).otherwise(0)
+    short = F.length(F.replace("_a", F.lit(" "), F.lit(""))) < shortest
+    points = F.lit(100) - off(short, 40) - off(F.col("_summary"), 25) - off(F.col("_echo"), 30) - off(F.col("_again"), 30) - off(F.col("reply") == "", 100)
+    return out.withColumn("score", points).drop("_a", "_b", "_summary", "_echo", "_again")
+
+
 def best(df: DataFrame, keys: list[str], enough: int = 100) -> DataFrame:
     """Of each request's trials up to the first that scores `enough`, the best, the earliest of equals."""
     order = Window.partitionBy(*keys).orderBy("trial")

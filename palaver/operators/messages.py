@@ -73,6 +73,23 @@ def session_split(df: DataFrame, share: float = 0.02) -> DataFrame:
     return each.withColumn("split", F.when(F.row_number().over(order) <= cut, "train").otherwise("val"))
 
 
+def single_split(df: DataFrame, keys: list[str], share: float = 0.02) -> DataFrame:
+    """Messages of groups that are one session each, with `split`: the last `share`, two on either side at least; under four all train."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    pos = F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "seq"))
+    cut = F.least(F.greatest(F.floor(n * F.lit(1.0 - share)), F.lit(2)), n - 2)
+    return df.withColumn("split", F.when((n < 4) | (pos <= cut), "train").otherwise("val"))
+
+
+def shuffled_split(df: DataFrame, share: float = 0.02, seed: int = 42) -> DataFrame:
+    """As `session_split`, with the sessions in the order of a hash of their key and the seed."""
+    each = df.groupBy("source_file", "session_index").agg(F.min("ts").alias("start_ts"), F.count(F.lit(1)).alias("n_messages"))
+    order = Window.orderBy(F.xxhash64("source_file", "session_index", F.lit(seed)), "source_file", "session_index")  # one row a session
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    cut = F.least(F.greatest(F.floor(n * F.lit(1.0 - share)), F.lit(1)), n - 1)
+    return each.withColumn("split", F.when(F.row_number().over(order) <= cut, "train").otherwise("val"))
+
+
 def contexts(df: DataFrame, keys: list[str], *, turns: int = 8, least: int = 2, stride: int = 1, shortest: int = 2) -> DataFrame:
     """Every target with its context lines and the reason that drops it, if any."""
     order = Window.partitionBy(*keys).orderBy("ts", "seq")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -57,6 +59,25 @@ def rate_limited(df: DataFrame, group: str, per_hour: int = 40, spacing: float =
     return df.select(F.col(group).cast("string").alias(group), "seq", "at").groupBy(group).applyInPandas(run, schema)
 
 
+def fallback_rate(df: DataFrame, group: str, *, threshold: float = 0.5, target: float = 0.2, window: int = 200) -> DataFrame:
+    """`fallback`: replies of a confidence below the threshold, as long as the share in the window is below the target.
+
+    At the target itself, and before any decision, a draw seeded by group and `seq` decides.
+    """
+    window = max(20, window)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, past, out = rows.sort_values("seq"), deque(maxlen=window), []
+        for name, seq, sure in zip(rows[group], rows["seq"], rows["confidence"], strict=True):
+            share = sum(past) / len(past) if past else target
+            allowed = target > 0 and (share < target or share == target and random.Random(f"{name}/{seq}").random() < target)
+            out.append(bool(sure < threshold and allowed))
+            past.append(int(out[-1]))
+        return rows.assign(fallback=out)[[group, "seq", "fallback"]]
+
+    return df.select(F.col(group).cast("string").alias(group), F.col("seq").cast("bigint").alias("seq"), F.col("confidence").cast("double").alias("confidence")).groupBy(group).applyInPandas(run, f"{group} string, seq bigint, fallback boolean")
+
+
 def poll(snapshots: Iterator[DataFrame], handle, stop) -> int:
     """Calls `handle` with each snapshot until `stop()`; the number handled."""
     n = 0

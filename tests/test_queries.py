@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from palaver.plans import registry
+from palaver.plans import more, registry  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.01"
 
