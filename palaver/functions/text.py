@@ -138,7 +138,9 @@ def words(c) -> Column:
 
 def run_capped(tokens: Column, most: int = 2) -> Column:
     """Tokens whose run of equal ones is at most `most` long so far."""
-    return F.filter(tokens, lambda t, i: (i < most) | ~sum(((F.get(tokens, i - k) == t).cast("int") for k in range(1, most + 1)), F.lit(0)).eqNullSafe(most))
+    # the array is bound to a variable: inside the filter, its expression would run again for every token
+    same = lambda w, t, i: sum(((F.get(w, i - k) == t).cast("int") for k in range(1, most + 1)), F.lit(0)).eqNullSafe(most)
+    return F.element_at(F.transform(F.array(tokens), lambda w: F.filter(w, lambda t, i: (i < most) | ~same(w, t, i))), 1)
 
 
 def soften_repetition(c) -> Column:
