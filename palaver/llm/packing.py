@@ -2,10 +2,11 @@
 
 Texts become token ids and are cut, only if longer, into pieces of at most `room` ids.  What is solved
 on the driver is the histogram of piece lengths, `room` numbers whatever the input: around the largest
-length left, undominated fillings are tried, fullest first, and the same filling is taken as often as
-its lengths last.  A branch is pruned when its waste exceeds what the incumbent minus one sequence
-leaves; best-fit decreasing gives the first incumbent.  The search ends at the lower bound or after
-`nodes` fillings.  Pieces then find their place by their rank among pieces of equal length.
+length left, undominated fillings of any number of pieces are tried, fullest first, each taken as often
+as its lengths last and, after all others, fewer times.  A branch is pruned when its waste exceeds what
+the incumbent minus one sequence leaves; best-fit decreasing gives the first incumbent.  The search ends
+at the lower bound or after `nodes` fillings, dominated ones that it met included; nothing else limits
+it.  Pieces then find their place by their rank among pieces of equal length.
 
 Null and empty texts are the closing id alone; repeated rows are packed one by one; an empty table
 gives no rows.
@@ -13,7 +14,7 @@ gives no rows.
 
 from __future__ import annotations
 
-import itertools
+import bisect
 import json
 import zlib
 
@@ -115,117 +116,111 @@ def _best_fit(counts: list[int], room: int) -> list[tuple[tuple[int, ...], int]]
     return out
 
 
-def _bits(number: int):
-    """The set bits, highest first."""
-    while number:
-        top = number.bit_length() - 1
-        yield top
-        number ^= 1 << top
-
-
-class _Left:
-    """Lengths left, as counts and as bit sets read from either end, so that pairs of a sum are one AND."""
-
-    def __init__(self, counts: list[int]):
-        self.counts, self.room = counts[:], len(counts) - 1
-        self.have = sum(1 << s for s, n in enumerate(counts) if s and n)
-        self.back = sum(1 << (self.room - s) for s, n in enumerate(counts) if s and n)
-
-    def add(self, size: int, n: int) -> None:
-        before = self.counts[size]
-        self.counts[size] += n
-        if (before > 0) != (self.counts[size] > 0):
-            self.have ^= 1 << size
-            self.back ^= 1 << (self.room - size)
-
-    def pairs(self, total: int, most: int):
-        """Two lengths left of this sum, the larger one first and at most `most`."""
-        both = self.have & (self.back >> (self.room - total)) & ((1 << min(total, most + 1)) - 1)
-        for a in _bits(both >> -(-total // 2) << -(-total // 2)):
-            if a * 2 != total or self.counts[a] > 1:
-                yield a, total - a
-
-    def dominated(self, filling: tuple[int, ...], waste: int) -> bool:
-        """Whether a length of the filling could give way to a larger one that still fits."""
-        return any(self.counts[y + 1 + k] > filling.count(y + 1 + k) for y in set(filling) for k in _bits((self.have >> (y + 1)) & ((1 << waste) - 1)))
-
-    def fillings(self, free: int, most: int, tries: int = 24):
-        """Undominated fillings of `free` with up to three lengths, fullest first; a greedy longer one if there is none."""
-        below = self.have & ((1 << (free + 1)) - 1)
-        if not below:
+def _sums(sizes: list[int], have: list[int], room: int) -> list[int]:
+    """For k = 0, 1, ...: the sums up to `room` of the first k sizes, each used at most as often as it is there, as bit sets."""
+    out, mask = [1], (1 << (room + 1)) - 1
+    for s, n in zip(sizes, have, strict=True):
+        reach, n, step = out[-1], min(n, room // s), 1
+        while n:
+            step = min(step, n)
+            reach |= reach << (step * s) & mask
+            n, step = n - step, step * 2
+        out.append(reach)
+    return out
+
+
+def _dominated(filling: tuple[int, ...], left: int, waste: int) -> bool:
+    """Whether a piece left, of the lengths in the bit set, could join the filling or take the place of some of its pieces.
+
+    That is: of none, of one that is shorter, or of several that are no longer together, if it fits.
+    """
+    one = several = 0
+    for s in filling:
+        several |= several << s | one << s
+        one |= 1 << s
+    return bool(left & several) or any(left >> k & (1 | one | several) for k in range(1, waste + 1))
+
+
+def _fillings(counts: list[int], size: int, room: int):
+    """Undominated fillings around a piece of `size`, of any number of pieces, fullest first; None for each dominated one met."""
+    free = room - size
+    sizes = [s for s in range(1, min(free, size) + 1) if counts[s] > (s == size)]
+    have = [counts[s] - (s == size) for s in sizes]
+    reach = _sums(sizes, have, free)
+
+    def exact(k: int, rest: int):
+        # every sum in reach is met by some choice, so no branch ends empty
+        if not rest:
             yield ()
             return
-        made = 0
-        for waste in range(free):
-            target, options = free - waste, []
-            if self.counts[target]:
-                options.append((target,))
-            options += itertools.islice(self.pairs(target, target), most)
-            for a in itertools.islice(_bits(below & ((1 << target) - 1)), tries):
-                if len(options) > most or 3 * a < target:
-                    break
-                for b, c in itertools.islice(self.pairs(target - a, a), most):
-                    if self.counts[a] > (a == b) and self.counts[c] > (a == c) + (b == c):
-                        options.append((a, b, c))
-            for x in options:
-                if not self.dominated(x, waste):
-                    yield x
-                    made += 1
-                    if made >= most:
-                        return
-            if made and waste > 8:
-                return
-        if not made:
-            filling, rest = [], free
-            for s in _bits(below):
-                take = min(self.counts[s], rest // s)
-                filling += [s] * take
-                rest -= take * s
-            yield tuple(filling)
-
-
-def solve(counts: list[int], room: int = ROOM, nodes: int = NODES, width: int = 3) -> list[tuple[tuple[int, ...], int]]:
+        k = min(k, bisect.bisect_right(sizes, rest))
+        while k and reach[k] >> rest & 1:
+            k -= 1
+            s = sizes[k]
+            for n in range(min(have[k], rest // s), 0, -1):
+                if reach[k] >> (rest - n * s) & 1:
+                    for others in exact(k, rest - n * s):
+                        yield (s,) * n + others
+
+    whole = sum(1 << s for s in sizes)
+    for target in range(free, -1, -1):
+        waste = free - target
+        # a length that fits into the waste must be used up
+        short = sum(s * n for s, n in zip(sizes[: bisect.bisect_right(sizes, waste)], have, strict=False))
+        if not reach[-1] >> target & 1 or short > target:
+            continue
+        for filling in exact(len(sizes), target):
+            used = sum(1 << s for s in set(filling) if have[bisect.bisect_left(sizes, s)] == filling.count(s))
+            yield None if _dominated(filling, whole ^ used, waste) else (size, *filling)
+
+
+def _choices(counts: list[int], room: int):
+    """Fillings around the largest length left with how often to take them: first as often as they last, later fewer times."""
+    counts = counts[:]
+    size = max((s for s, n in enumerate(counts) if n), default=0)
+    for fewer in (False, True) if size else ():
+        for filling in _fillings(counts, size, room):
+            if filling is None:
+                yield None
+                continue
+            most = min(counts[s] // filling.count(s) for s in set(filling))
+            for times in range(most - 1, 0, -1) if fewer else (most,):
+                yield filling, times
+
+
+def solve(counts: list[int], room: int = ROOM, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
     """Fillings and how often each is used; `counts[s]` pieces have length s."""
     bound, best = lower_bound(counts, room), _best_fit(counts, room)
     fewest, total = sum(n for _, n in best), sum(s * n for s, n in enumerate(counts))
     # depth first; an entry is the state before a filling: lengths left, its choices, waste so far
-    left, path, waste = _Left(counts), [], 0
-    stack, spent = [], 0
-
-    def choices():
-        if not left.have:
-            return None
-        size = left.have.bit_length() - 1
-        left.add(size, -1)
-        found = list(left.fillings(room - size, width))
-        left.add(size, 1)
-        return iter([(size, *x) for x in found])
-
-    stack.append(choices())
+    left, path, waste = counts[:], [], 0
+    stack, spent = [_choices(left, room)], 0
     while stack and fewest > bound and spent < nodes:
-        if stack[-1] is None:  # everything is placed
-            used = sum(n for _, n in path)
-            if used < fewest:
-                fewest, best = used, path[:]
-        filling = next(stack[-1], None) if stack[-1] is not None else None
-        if filling is None:
+        choice = next(stack[-1], False)
+        if choice is False:
             stack.pop()
             if path:
                 done, times = path.pop()
                 waste -= times * (room - sum(done))
                 for s in done:
-                    left.add(s, times)
+                    left[s] += times
             continue
         spent += 1
-        times = min(left.counts[s] // filling.count(s) for s in set(filling))
+        if choice is None:
+            continue
+        filling, times = choice
         lost = waste + times * (room - sum(filling))
         if total + lost > (fewest - 1) * room:
             continue
         for s in filling:
-            left.add(s, -times)
-        path.append((filling, times))
+            left[s] -= times
+        path.append(choice)
         waste = lost
-        stack.append(choices())
+        if not any(left):
+            used = sum(n for _, n in path)
+            if used < fewest:
+                fewest, best = used, path[:]
+        stack.append(_choices(left, room))
     return best
 
 

@@ -249,6 +249,32 @@ def test_packing_search_against_brute_force():
         assert lower_bound(counts, 20) <= best(lengths, 20) == sum(n for _, n in found)
 
 
+def test_packing_search_of_long_fillings():
+    from palaver.llm.packing import _best_fit, solve
+
+    def counted(lengths, room):
+        return [lengths.count(s) for s in range(room + 1)]
+
+    def placed(patterns):
+        return sorted(s for filling, times in patterns for s in filling * times)
+
+    # 300 + 4 x 181 fills a sequence; best-fit decreasing takes 520
+    lengths = [300] * 300 + [200] * 900 + [181] * 1200
+    found = solve(counted(lengths, 1024))
+    assert placed(found) == sorted(lengths) and all(sum(filling) <= 1024 for filling, _ in found)
+    assert sum(n for _, n in found) <= 480
+    # sequences cut into five to seven pieces each, so that the best is known
+    rng, better = random.Random(5), 0
+    for _ in range(40):
+        full = [sorted(rng.sample(range(1, 60), rng.randrange(4, 7))) for _ in range(6)]
+        lengths = [b - a for cuts in full for a, b in zip([0, *cuts], [*cuts, 60], strict=True)]
+        counts = counted(lengths, 60)
+        found = solve(counts, 60)
+        assert placed(found) == sorted(lengths) and sum(n for _, n in found) == 6
+        better += sum(n for _, n in _best_fit(counts, 60)) > 6
+    assert better
+
+
 def test_encoder_special_tokens():
     import public_tokenizers
     from tokenizers import Tokenizer
