@@ -7,8 +7,8 @@ pseudo-counts.  All of these tables are grouped sums of the text-only posteriors
 takes its own share out of its host's and suffix's sums, so no text is its own evidence.
 
 The trigram models are fitted on at most `sample` texts of each language that a labelled table declares, taken by hash
-of the id.  Null and empty texts have no likelihood and follow markup and address; null declarations,
-hosts and suffixes give no evidence; an empty table has no rows; repeated rows are judged one by one.
+of the id; every declared language has a model, however rare it is.  Null and empty texts have no likelihood and follow
+markup and address; null declarations, hosts and suffixes give no evidence; an empty table has no rows; repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -17,13 +17,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.llm.common import cut
 from palaver.llm.kernel import LOWER, slices, string_bytes
 
-SPACE, SAMPLE, MOST, EVIDENCE = 1 << 15, 400, 32, 60.0
+SPACE, SAMPLE, EVIDENCE = 1 << 15, 400, 60.0
 HOST, SUFFIX, DECLARED = 5.0, 20.0, 1.0
 #: What isn't prose in a page: comments, scripts, styles, tags, entities.
 MARKUP = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&#?\w+;")
@@ -63,10 +63,10 @@ class Trigrams:
         return out, ends - starts
 
 
-def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, most: int = MOST) -> Trigrams:
-    """Trigram models of the `most` most frequent declared languages from at most `sample` texts each."""
+def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Trigrams:
+    """Trigram models of all declared languages from at most `sample` texts each."""
     named = labelled.where(F.col(lang_col).isNotNull())
-    languages = sorted(r[0] for r in named.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(most).collect())
+    languages = sorted(r[0] for r in named.select(lang_col).distinct().collect())
     table = np.ones((max(1, len(languages)), SPACE))
 
     def run(batches):
@@ -79,11 +79,10 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 used = np.flatnonzero(count)
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(used)), pa.array(used, pa.int32()), pa.array(count[used], pa.int64())], names=["lang", "gram", "n"])
 
-    chosen = None
-    for language in languages:
-        own = named.where(F.col(lang_col) == language).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-        chosen = own if chosen is None else chosen.union(own)
-    if chosen is not None:
+    if languages:
+        # each task passes on `sample` ids of a language at most
+        order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
+        chosen = named.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
         texts = labelled.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen.distinct()), "_id").select("_lang", "_text")
         counted = texts.mapInArrow(run, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
         place = {x: k for k, x in enumerate(languages)}
@@ -112,45 +111,86 @@ def evidence(rows: DataFrame, model: Trigrams, *, text_col: str, markup: bool) -
     return rows.mapInArrow(run, schema)
 
 
-def softmax(logs):
-    top = F.array_max(logs)
-    powers = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+def softmax(logs: np.ndarray) -> np.ndarray:
+    powers = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
+def _matrix(column, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of `k` numbers as rows, zeros for null lists, and which are not null."""
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), k))
+    out[there] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+    return out, there
+
+
+def _parts(batches, k: int):
+    """The batches in parts of about a million numbers an array."""
+    step = max(1, (1 << 20) // k)
+    for batch in batches:
+        for a in range(0, batch.num_rows, step):
+            yield batch.slice(a, step)
 
 
 def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     """Rows of (`host`, `suffix`, `declared`, `like`, ...) with `language`, `confidence` and `text_language`."""
     k = len(languages)
-    alone = rows.withColumn("own", softmax(F.col("like"))).withColumn("seen", (F.array_max("like") < 0).cast("double"))
-    columns = [F.sum(F.get("own", i) * F.col("seen")).alias(f"s{i}") for i in range(k)]
-    packed = F.array(*(F.col(f"s{i}") for i in range(k)))
+
+    def read(batches):
+        for batch in _parts(batches, k):
+            like = _matrix(batch.column("like"), k)[0]
+            own = pa.ListArray.from_arrays(pa.array(np.arange(len(like) + 1) * k, pa.int32()), pa.array(softmax(like).reshape(-1)))
+            seen = pa.array((like.max(axis=1) < 0).astype(float))
+            yield pa.RecordBatch.from_arrays([*batch.columns, own, seen], names=[*batch.schema.names, "own", "seen"])
+
+    alone = rows.mapInArrow(read, rows.withColumns({"own": F.array(F.lit(0.0)), "seen": F.lit(0.0)}).schema)
     rows = cut(alone)
-    hosts = rows.where("host is not null").groupBy("host").agg(*columns).select("host", packed.alias("by_host"))
-    suffixes = rows.where("suffix is not null").groupBy("suffix").agg(*columns).select("suffix", packed.alias("by_suffix"))
-    total = rows.agg(*columns).first()
-    shares = np.array([float(x or 0) for x in total]) + 1.0
-    world = F.array(*(F.lit(float(x)) for x in shares / shares.sum()))
+
+    def sums(key: str, name: str, of: DataFrame) -> DataFrame:
+        # by place in the array, so that the plan doesn't grow with the languages
+        each = of.where(F.col(key).isNotNull() & (F.col("seen") > 0)).select(key, F.posexplode("own").alias("at", "p")).groupBy(key, "at").agg(F.sum("p").alias("p"))
+        return each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("all")).select(key, F.transform("all", lambda x: x["p"]).alias(name))
+
+    hosts, suffixes = sums("host", "by_host", rows), sums("suffix", "by_suffix", rows)
+    shares = np.ones(k)
+    for at, p in rows.where("seen > 0").select(F.posexplode("own").alias("at", "p")).groupBy("at").agg(F.sum("p")).collect():
+        shares[at] += p
     # P(declared | language): soft counts by declared value, only declarations that name a language of the model
-    said = rows.where(F.col("declared").isin(*languages)).groupBy("declared").agg(*columns).collect()
+    place = {x: i for i, x in enumerate(languages)}
+    known = rows.sparkSession.createDataFrame([(x,) for x in languages], "declared string")
     table = np.full((k, k), DECLARED)
-    for r in said:
-        table[languages.index(r[0])] += np.array([float(x or 0) for x in r[1:]])
+    for declared, all_ in sums("declared", "by_declared", rows.join(F.broadcast(known), "declared", "left_semi")).collect():
+        table[place[declared]] += np.array(all_)
     table = np.log(table / table.sum(axis=0, keepdims=True))
-    told = F.lit(None).cast("array<double>")
-    for i, language in enumerate(languages):
-        told = F.when(F.col("declared") == language, F.array(*(F.lit(float(x)) for x in table[i]))).otherwise(told)
-    none = F.array_repeat(F.lit(0.0), k)
+    shared = rows.sparkSession.sparkContext.broadcast((shares / shares.sum(), table))
     joined = rows.join(hosts, "host", "left").join(suffixes, "suffix", "left")
-    minus = lambda sums: F.zip_with(F.coalesce(sums, F.zip_with(F.col("own"), F.col("own"), lambda o, _: o * F.col("seen"))), "own", lambda s, o: F.greatest(F.lit(0.0), s - o * F.col("seen")))
-    smooth = lambda counts, prior, weight: F.zip_with(counts, prior, lambda c, p: (c + F.lit(weight) * p) / (F.aggregate(counts, F.lit(weight), lambda a, x: a + x)))
-    joined = joined.withColumn("p_suffix", smooth(minus(F.col("by_suffix")), world, SUFFIX)).withColumn("c_host", minus(F.col("by_host")))
-    joined = joined.withColumn("prior", smooth(F.col("c_host"), F.col("p_suffix"), HOST))
-    logs = F.zip_with(F.zip_with("like", "prior", lambda a, b: a + F.log(b)), F.coalesce(told, none), lambda a, b: a + b)
-    joined = joined.withColumn("posterior", softmax(logs))
-    names = F.array(*(F.lit(x) for x in languages))
-    best = lambda c: F.get(names, (F.array_position(c, F.array_max(c)) - 1).cast("int"))
-    return joined.withColumns({"language": best(F.col("posterior")), "confidence": F.array_max("posterior"), "text_language": F.when(F.col("seen") > 0, best(F.col("own")))}).drop("by_host", "by_suffix", "p_suffix", "c_host", "prior", "posterior", "own", "seen", "like")
+    kept = [x for x in joined.columns if x not in ("like", "own", "seen", "by_host", "by_suffix")]
+    none = F.lit(None).cast("string")
+    schema = joined.select(*kept).withColumns({"language": none, "confidence": F.lit(None).cast("double"), "text_language": none}).schema
+
+    def judge(batches):
+        world, table = shared.value
+        names = np.array(languages, object)
+        for batch in _parts(batches, k):
+            like, own = _matrix(batch.column("like"), k)[0], _matrix(batch.column("own"), k)[0]
+            seen = batch.column("seen").to_numpy() > 0
+            share = own * seen[:, None]
+
+            def others(name):
+                sums, there = _matrix(batch.column(name), k)
+                return np.maximum(0.0, sums - share) * there[:, None]
+
+            smooth = lambda counts, prior, weight: (counts + weight * prior) / (counts.sum(axis=1, keepdims=True) + weight)
+            prior = smooth(others("by_host"), smooth(others("by_suffix"), world, SUFFIX), HOST)
+            logs = like + np.log(prior)
+            said = np.array([place.get(x, -1) for x in batch.column("declared").to_pylist()], int)
+            logs[said >= 0] += table[said[said >= 0]]
+            posterior = softmax(logs)
+            text = pa.array(names[own.argmax(axis=1)], pa.string(), mask=~seen)
+            new = [pa.array(names[posterior.argmax(axis=1)], pa.string()), pa.array(posterior.max(axis=1)), text]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), *new], names=[*kept, "language", "confidence", "text_language"])
+
+    return joined.mapInArrow(judge, schema)
 
 
 def of_pages(pages: DataFrame) -> DataFrame:

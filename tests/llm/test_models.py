@@ -121,6 +121,24 @@ def test_language_evidence_fuses(spark, docs):
     assert empty.count() == 0
 
 
+def test_language_of_many_languages(spark):
+    from palaver.llm import langid
+
+    rng, rows = random.Random(3), []
+    for k in range(40):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(30)]
+        # the last eight are the rarest
+        rows += [(100 * k + j, " ".join(rng.choice(words) for _ in range(60)), f"q{chr(97 + k // 26)}{chr(97 + k % 26)}", "s") for j in range(9 if k < 32 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    model = langid.fit(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    blind = langid.of_documents(docs).withColumn("declared", langid.F.lit(None).cast("string"))
+    told = langid.of_documents(docs).withColumn("text", langid.F.expr("if(doc_id % 2 = 0, text, null)"))
+    for table in (blind, told):
+        got = {r.doc_id: r.language for r in langid.fuse(langid.evidence(table, model, text_col="text", markup=False), model.languages).collect()}
+        assert np.mean([got[r[0]] == r[2] for r in rows if r[0] >= 3200]) > 0.9
+
+
 def test_pipeline_against_its_parts(spark):
     import corpus_pipeline
     import public_tokenizers
