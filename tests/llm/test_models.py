@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 FOLDER = "/root/testdata/sf0.01"
@@ -51,6 +52,17 @@ def test_toxicity_edges(spark, docs, labels):
     assert toxicity.reject(docs, blind).count() == docs.count()
 
 
+def test_toxicity_rare_words(spark):
+    from palaver.llm import toxicity
+
+    # 160 words, each in 25 of 4,000 toxic texts: telling only if all of these are taken
+    words = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(160)]
+    rows = [(k, f"{words[k % 160]} plain", 1) for k in range(4000)] + [(k, "plain words only", 0) for k in range(4000, 8000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(table.drop("toxic"), table.drop("text"))
+    assert (model.scores(pa.array(words, pa.string())) > 0).all()
+
+
 def test_ordinal_fit_recovers_order():
     from palaver.llm.toxicity import ordinal_fit, sigmoid
 
