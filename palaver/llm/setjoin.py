@@ -155,7 +155,7 @@ class Order:
 
     def __init__(self, frequent: np.ndarray):
         self.values = np.sort(frequent)
-        self.rank = np.argsort(np.argsort(frequent, kind="stable"), kind="stable")[np.argsort(frequent, kind="stable")] + 1
+        self.rank = np.argsort(frequent, kind="stable") + 1
 
     def prefix(self, values: np.ndarray, size: int) -> np.ndarray:
         if len(self.values):

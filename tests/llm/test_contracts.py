@@ -188,6 +188,14 @@ def test_setjoin_long_sets_of_unequal_sketches(spark):
     assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame).collect()} == brute.set_components(rows)
 
 
+def test_setjoin_order_of_frequent_shingles():
+    from palaver.llm.setjoin import Order
+
+    order = Order(np.array([50, 10, 40, 20, 30], np.uint64))
+    assert order.rank.tolist() == [2, 4, 5, 3, 1]
+    assert order.prefix(np.array([5, 10, 20, 30, 40, 50, 60], np.uint64), 5).tolist() == [5, 60, 50, 10, 40]
+
+
 @pytest.mark.parametrize("which", ["small", "odd", "empty", "clash"])
 def test_packing(spark, docs, which):
     import zlib
