@@ -67,6 +67,16 @@ def messages(texts: DataFrame, include_system: bool = False) -> DataFrame:
     return out.where(keep | F.col("system") if include_system else keep).select("source_file", F.col("seq").cast("bigint").alias("seq"), "ts", "speaker", "text")
 
 
+def parse_errors(texts: DataFrame, include_system: bool = False) -> DataFrame:
+    """`source_file`, `reason` of the files that `messages` drops: undecodable ones and those with a bad header time."""
+    line = T.strip(F.col("raw"))
+    kind = F.when(line.rlike(HEADER), HEADER).when(line.rlike(SYSTEM), SYSTEM) if include_system else F.when(line.rlike(HEADER), HEADER)
+    stamp = F.when(kind == HEADER, F.regexp_extract(line, HEADER, 1)).when(kind == SYSTEM, F.regexp_extract(line, SYSTEM, 1))
+    rows = lines(texts).withColumn("stamp", stamp).where(F.col("stamp").isNotNull() & F.try_to_timestamp("stamp", F.lit("yyyy. M. d. H:mm")).isNull())
+    times = rows.groupBy("source_file").agg(F.concat(F.lit("bad time: "), F.min_by("stamp", "line_no")).alias("reason"))
+    return times.union(texts.where(F.col("text").isNull()).select("source_file", F.lit("cannot be decoded").alias("reason")))
+
+
 def snapshots(texts: DataFrame) -> DataFrame:
     """Messages of UI snapshots with their day, the last day line before them."""
     order = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)

@@ -113,3 +113,14 @@ def test_config(tmp_path):
 def test_cli(capsys):
     assert cli.main(["list"]) == 0
     assert "strip_artifacts" in capsys.readouterr().out
+
+
+def test_parse_errors_of_dropped_files(spark):
+    from palaver.sources import chat
+
+    rows = [("good", "2024. 1. 2. 3:04, a : x"), ("bad", "2024. 1. 2. 3:04, a : x\n2024. 13. 2. 3:04, a : y\n2024. 14. 2. 3:04, a : z"), ("system", "2024. 1. 2. 3:04, a : x\n2024. 13. 2. 3:04: a left"), ("null", None)]
+    texts = spark.createDataFrame(rows, "source_file string, text string")
+    bad = {"bad": "bad time: 2024. 13. 2. 3:04", "null": "cannot be decoded"}
+    for system, errors in ((False, bad), (True, bad | {"system": "bad time: 2024. 13. 2. 3:04"})):
+        assert {r.source_file: r.reason for r in chat.parse_errors(texts, system).collect()} == errors
+        assert {r.source_file for r in chat.messages(texts, system).collect()} == {r[0] for r in rows} - errors.keys()
