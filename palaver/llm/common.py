@@ -1,4 +1,4 @@
-"""Shared steps: durable cuts of the lineage and gapless ranks without a hot task."""
+"""Shared steps: durable cuts of the lineage, folders that the cluster shares, broadcasts, ranks and joins without a hot task."""
 
 from __future__ import annotations
 
@@ -6,55 +6,117 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A copy in the cluster's shared checkpoint folder; survives the loss of executors.
+def shared_folder(session) -> str:
+    """The cluster's checkpoint folder, from `spark.checkpoint.dir`.
 
-    Only where `spark.checkpoint.dir` is unset, as in tests, is a temporary folder taken.
+    Where that is unset, as in tests, a temporary folder is taken, but only if driver and executors are one process.
     """
-    context = df.sparkSession.sparkContext
+    context = session.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = session.conf.get("spark.checkpoint.dir", None)
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def new_folder(session, name: str) -> str:
+    """A new folder in the shared one, deleted when the driver ends."""
+    path = f"{shared_folder(session)}/{name}-{uuid.uuid4().hex}"
+    where = session._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(session._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
+def delete(session, path: str) -> None:
+    where = session._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(session._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A copy in the cluster's shared checkpoint folder; survives the loss of executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 class Scratch:
-    """Tables written as Parquet under the shared checkpoint folder, deleted by `drop`."""
+    """Tables written as Parquet under the shared folder, deleted by `drop`."""
 
     def __init__(self, session):
-        self.session = session
-        context = session.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-        self.folder = f"{context.getCheckpointDir().rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.session, self.folder = session, new_folder(session, "scratch")
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
-        # lets Spark's cleaner delete the shuffle files of what has been stored
+        # frees the shuffles of what has been stored: their files go when Spark's cleaner sees no reference
         gc.collect()
         self.session._jvm.System.gc()
         return self.session.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        path = self.session._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.session._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.session, self.folder)
+
+
+class Shared:
+    """A broadcast of any object, pickled by value: executors need no copy of this package.  Each worker process unpickles it once."""
+
+    def __init__(self, session, value):
+        self.held = session.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if not hasattr(self.held, "unpickled"):
+            self.held.unpickled = cloudpickle.loads(self.held.value)
+        return self.held.unpickled
+
+
+def partitions(session) -> int:
+    return max(1, int(session.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ranked(df: DataFrame, groups: list[str], order: list[str], into: str) -> DataFrame:
+    """Rows numbered from 0 without gaps within `groups`, by `order` (nulls first).
+
+    The rows are dealt by sampled ranges of (groups, order), so a hot group is spread over tasks whatever its
+    values are.  A row's number is its place in its range plus the group's rows in the ranges before; what is
+    broadcast is one row for each group and range that holds it.
+    """
+    laid = df.repartitionByRange(partitions(df.sparkSession), *groups, *order).sortWithinPartitions(*groups, *order)
+    laid = cut(laid.withColumn("_at", F.monotonically_increasing_id()))
+    # the id's upper bits are the range's number
+    own = F.shiftright("_at", 33)
+    counts = laid.groupBy(*groups, own.alias("_range")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    starts = counts.select(*(F.col(g).alias(f"_{g}") for g in groups), F.col("_range"), shift.alias("_shift"))
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
+    joined = laid.join(F.broadcast(starts), [own == F.col("_range"), *same])
+    return joined.withColumn(into, (F.col("_at") + F.col("_shift")).cast("bigint")).drop("_at", "_range", "_shift", *(f"_{g}" for g in groups))
+
+
+#: A key with more than this share of all rows is hot; there are at most so many.
+HOT_KEYS = 4_096
 
 
-def ranked(df: DataFrame, groups: list[str], order: list[str], into: str, width: int = 1 << 16) -> DataFrame:
-    """Rows numbered from 0 without gaps within `groups`, by `order`, whose first column is an integer.
+def attach(rows: DataFrame, table: DataFrame, key: str, columns: list[str], total: int, spread: Column) -> DataFrame:
+    """`rows` with the `columns` of the row of `table` that has their `key`, null without one.
 
-    A group is numbered in blocks of `width` values of that column, so the rows of a hot group are
-    spread; each block starts where the blocks before it end.  `df` is read twice: cut it first.
+    `table` has one row a key and `_n`, how many of the `total` rows have it.  The keys that hold more than a
+    HOT_KEYS-th of the rows are fewer than HOT_KEYS, so they are broadcast; rows of the others are shuffled by
+    their key, and those that need no partner (hot or null keys) by `spread`, so no task gets a key's share.
     """
-    df = df.withColumn("_block", F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-1)).cast("bigint"))
-    keys = [*groups, "_block"]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*(F.col(k).alias(f"_{k}") for k in keys), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    own = df.withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
-    joined = own.join(starts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return joined.withColumn(into, (F.col(into) + F.col("_start")).cast("bigint")).drop("_block", "_start", *(f"_{k}" for k in keys))
+    hot = F.col("_n") * HOT_KEYS > total
+    warm = F.broadcast(table.where(hot).select(F.col(key).alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in columns)))
+    first = rows.join(warm, F.col(key) == F.col("_hot"), "left")
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    first = first.withColumns({"_own": settled.cast("int"), "_deal": F.when(settled, spread.cast("string")).otherwise(F.col(key).cast("string"))})
+    cold = table.where(~hot).select(F.lit(0).alias("_own"), F.col(key).cast("string").alias("_deal"), *(F.col(c).alias(f"_cold_{c}") for c in columns))
+    joined = first.join(cold, ["_own", "_deal"], "left")
+    return joined.select(*rows.columns, *(F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in columns))

@@ -6,8 +6,6 @@ text byte exist for `CHUNK` bytes at a time only; what is kept is a few numbers
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,13 +51,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 CODES = _byte_codes()
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, n: int) -> np.ndarray:
+def _powers(base: int, n: int = CHUNK + 1) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Powers of P and of its inverse, made once in each process that hashes words.
+POWERS: dict[int, np.ndarray] = {}
+
+
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    if not POWERS:
+        POWERS.update({P: _powers(P), P_INV: _powers(P_INV)})
+    return POWERS[P], POWERS[P_INV]
+
+
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts of a string column and the n + 1 offsets into them; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -101,7 +108,7 @@ class Words:
     def hash_spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of spans of bytes that ascend and don't overlap."""
         out = np.empty(len(starts), np.uint64)
-        up, down = _powers(P, CHUNK + 1), _powers(P_INV, CHUNK + 1)
+        up, down = powers()
         i = 0
         while i < len(out):
             base = starts[i]

@@ -1,15 +1,18 @@
-"""Minimax contiguous sharding of atomic groups.
+"""Minimax contiguous sharding of atomic groups, in DataFrame functions only.
 
-Groups (equal texts) stand in the order of their smallest id.  The capacity is the smallest one for
-which the ordered groups fit into the shards without cutting a group: a binary search whose check
-fills shards greedily.  The cuts then lie as near to equal shares as that capacity allows.
+Documents get their place in the order of their ids, from 0 without gaps; a group (equal texts) stands at its
+first document's place.  The capacity is the smallest one for which the ordered groups fit into the shards
+without cutting a group: a binary search whose check fills shards greedily.  The cuts then lie as near to
+equal shares as that capacity allows.
 
-The driver sees sums over key ranges only.  A range counts as divisible for a lower bound of the
-capacity and as indivisible for an upper bound; the ranges in which a cut may lie are split further
-by one aggregation a round until both bounds meet, so what is collected never grows with the data.
+The driver sees sums over ranges of places only.  A range counts as divisible for a lower bound of the
+capacity and as indivisible for an upper bound; the ranges in which a cut may lie are split further by one
+aggregation a round until both bounds meet, so what is collected never grows with the data.
 
-Null and empty texts are one group of size 1 a row; a null id sorts first; with fewer groups than
-shards, the last shards stay empty; repeated rows are rows of one group.
+Ids may be any numbers, hashes included.  Null and empty texts are one group of size 1 a row; null ids sort
+first, rows of one id by their texts' hashes; with fewer groups than shards, the last shards stay empty;
+repeated rows are rows of one group; a text of any length is one size and one hash; an empty table gives no
+rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -19,19 +22,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import cut, ranked
+from palaver.llm.common import attach, cut, ranked
 
-#: Key ranges that one round asks for, at most.
+#: Ranges of places that one round asks for, at most.
 RANGES = 1 << 14
 
 
 @dataclass(frozen=True)
 class Segment:
-    """Neighbouring groups: their smallest and largest key and their size together."""
+    """Neighbouring groups: their smallest and largest place, their size together, and the width of the range they fill."""
 
     low: int
     high: int
     size: int
+    width: int = 1
 
     @property
     def whole(self) -> bool:
@@ -102,7 +106,7 @@ def _open(segments: list[Segment], shards: int, low: int, high: int) -> list[Seg
 
 
 def cuts(segments: list[Segment], shards: int, most: int) -> list[int]:
-    """The first key of every shard but the first, near equal shares under the capacity `most`."""
+    """The first place of every shard but the first, near equal shares under the capacity `most`."""
     sizes = [s.size for s in segments]
     latest = _reach(sizes, shards, most)
     earliest = [len(sizes) - x for x in reversed(_reach(sizes[::-1], shards, most))]
@@ -122,52 +126,50 @@ def cuts(segments: list[Segment], shards: int, most: int) -> list[int]:
 
 
 def _sums(groups: DataFrame, ranges: list[Segment]) -> list[Segment]:
-    """Each range split into parts of equal key width: one aggregation."""
-    parts = max(2, RANGES // len(ranges))
-    spans = [(r.low, r.high, max(1, -(-(r.high - r.low + 1) // parts))) for r in ranges]
-    key = F.col("_key")
-    lows = F.array(*(F.lit(a).cast("bigint") for a, _, _ in spans))
-    # the last range that starts at or before the key
-    number = F.size(F.filter(lows, lambda a: a <= key)) - 1 if len(spans) <= 64 else None
-    if number is None:
-        table = groups.sparkSession.createDataFrame([(k, *s) for k, s in enumerate(spans)], "_number bigint, _low bigint, _high bigint, _width bigint")
-        inside = groups.join(F.broadcast(table), (key >= F.col("_low")) & (key <= F.col("_high")))
-    else:
-        pick = lambda i: F.get(F.array(*(F.lit(s[i]).cast("bigint") for s in spans)), number)
-        inside = groups.where((key >= spans[0][0]) & (key <= spans[-1][1])).select("_key", "_size", number.alias("_number"), pick(0).alias("_low"), pick(1).alias("_high"), pick(2).alias("_width")).where(key <= F.col("_high"))
-    found = inside.groupBy("_number", F.expr("(_key - _low) div _width").alias("_part")).agg(F.min("_key"), F.max("_key"), F.sum("_size"))
-    return [Segment(*row[2:]) for row in sorted(found.collect())]
+    """Each range, all of one width, split into parts of equal width: one aggregation."""
+    width = ranges[0].width
+    finer = max(1, -(-width // max(2, RANGES // len(ranges))))
+    wanted = groups.sparkSession.createDataFrame([(r.low // width,) for r in ranges], "_range bigint")
+    inside = groups.withColumn("_range", F.expr(f"_key div {width}")).join(F.broadcast(wanted), "_range")
+    found = inside.groupBy("_range", F.expr(f"_key div {finer}").alias("_part")).agg(F.min("_key"), F.max("_key"), F.sum("_size"))
+    return [Segment(*row[2:], finer) for row in found.collect()]
 
 
 def plan(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
-    """The minimax capacity of `groups` (`_key`, `_size`: rows of one key add up) and the shards' first keys."""
+    """The minimax capacity of `groups` (`_key`, `_size`: rows of one key add up) and the shards' first keys; keys are not negative."""
     row = groups.agg(F.min("_key"), F.max("_key"), F.sum("_size")).first()
     if row[0] is None:
         return 0, []
-    segments = [Segment(*row)]
+    segments = [Segment(*row, row[1] + 1)]
     while True:
         low, high = capacity(segments, shards, divisible=True), capacity(segments, shards)
         wanted = [] if low == high and len(segments) > 1 else _open(segments, shards, low, high)
         if not wanted:
             return high, cuts(segments, shards, high)
+        parts = []
+        for width in sorted({s.width for s in wanted}):
+            parts += _sums(groups, [s for s in wanted if s.width == width])
         gone = set(wanted)
-        segments = sorted([s for s in segments if s not in gone] + _sums(groups, wanted), key=lambda s: s.low)
+        segments = sorted([s for s in segments if s not in gone] + parts, key=lambda s: s.low)
 
 
 def assign(docs: DataFrame, *, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: `size`, `text_crc32`, `law`, `shard`, `slot`, `grown_shard`."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("bigint").alias("_size"), F.crc32(text.cast("binary")).alias("_crc"), F.unhex(F.sha2(text, 256)).alias("_text"),
+        F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("bigint").alias("_size"), F.crc32(text.cast("binary")).alias("_crc"), F.sha2(text, 256).alias("_text"),
     )
-    smallest = F.min(F.coalesce(F.col("_id"), F.lit(-(1 << 62))))
-    rows = cut(rows.join(rows.groupBy("_text").agg(smallest.alias("_key")), "_text").drop("_text"))
+    rows = cut(ranked(cut(rows), [], ["_id", "_text"], "_place"))
+    # texts that occur once are groups of their own; the others take the place of their first document
+    copies = rows.groupBy("_text").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = attach(rows, copies, "_text", ["_first"], rows.count(), F.col("_place")).drop("_text")
+    rows = cut(rows.withColumn("_key", F.coalesce("_first", "_place")).drop("_first"))
     _, firsts = plan(rows.select("_key", "_size"), shards)
     shard = F.lit(0)
     for first in firsts:
         if first is not None:
             shard = shard + (F.col("_key") >= first).cast("int")
-    out = ranked(rows.withColumn("shard", shard), ["shard"], ["_id"], "slot")
+    out = ranked(rows.withColumn("shard", shard), ["shard"], ["_place"], "slot")
     return out.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
