@@ -1,8 +1,8 @@
 """One-permutation MinHash fingerprints, in DataFrame functions only.
 
 The hashes of a text's word shingles are binned once by their top bits; a bin keeps its smallest
-hash.  An empty bin takes over the value of another one by optimal densification: it probes bins in
-its own pseudo-random order until one has a value.  The lowest bits of every bin, packed as
+hash.  An empty bin takes over the value of another one by optimal densification: every bin has its own
+pseudo-random order of all bins, by a hash of bin and attempt, and probes them until one has a value.  The lowest bits of every bin, packed as
 hexadecimal digits, are the fingerprint.  Two fingerprints agree by chance in a share of 2^-bits of
 the bins; the likeness corrects that bias and lies between 0 and 1.
 
@@ -10,15 +10,23 @@ Binning uses one sort: a sentinel for every bin, larger than all its hashes, is
 and the first entry of each bin is kept, which gives exactly one entry a bin.
 
 Null and empty texts have no shingles; their fingerprint is all ones, like only to its equals.  A text
-of fewer words than a shingle is one shingle.  Equal texts have equal fingerprints.
+of fewer words than a shingle is one shingle; a text of any length is read whole.  Equal texts have equal
+fingerprints, so repeated rows do.  Ids may be any numbers, hashes included; an empty table gives no rows; other
+columns aren't read by `digest`, and `fingerprints` replaces a column of the name it gives.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palaver.llm.common import cut, partitions
+
 BINS, BITS, WORDS = 128, 8, 5
+#: Bounds of blocks are searched in arrays of about so many.
+GRID = 512
 LOW = (1 << 56) - 1
 TRIES = 6
 
@@ -28,11 +36,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _probe(t, j) -> Column:
-    """The bin that empty bin j asks at try t: an odd step from an own start, so 128 tries visit all."""
-    starts = F.array(*(F.lit((k * 0x9E3779B1 >> 7) % BINS) for k in range(1, BINS + 1)))
-    steps = F.array(*(F.lit((k * 0x85EBCA6B >> 9) % BINS | 1) for k in range(1, BINS + 1)))
-    return (F.get(starts, j) + F.get(steps, j) * t).bitwiseAND(BINS - 1)
+def _probes() -> Column:
+    """For every bin in turn, all bins in an order of its own: by a hash of the bin and the attempt."""
+    rows = []
+    for j in range(BINS):
+        weight = {k: hashlib.blake2b(f"{j}/{k}".encode(), digest_size=8).digest() for k in range(BINS)}
+        rows += sorted(weight, key=weight.get)
+    # a literal once the plan is folded
+    return F.split(F.lit(",".join(map(str, rows))), ",").cast("array<int>")
 
 
 def shingle_hashes(text: Column, n: int = WORDS) -> Column:
@@ -54,9 +65,12 @@ def codes(text: Column, n: int = WORDS) -> Column:
     known = lambda x: F.when(x.bitwiseAND(F.lit(LOW)) != F.lit(LOW), x)
 
     def fill(dense: Column) -> Column:
+        probes = _probes()
+
         def one(x: Column, j: Column) -> Column:
-            rest = F.filter(F.transform(F.sequence(F.lit(TRIES + 1), F.lit(BINS)), lambda t: known(F.get(dense, _probe(t, j)))), lambda y: y.isNotNull())
-            return F.coalesce(known(x), *(known(F.get(dense, _probe(F.lit(t), j))) for t in range(1, TRIES + 1)), F.get(rest, F.lit(0)), x).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+            asked = lambda t: known(F.get(dense, F.get(probes, j * BINS + t)))
+            rest = F.filter(F.transform(F.sequence(F.lit(TRIES), F.lit(BINS - 1)), asked), lambda y: y.isNotNull())
+            return F.coalesce(known(x), *(asked(F.lit(t)) for t in range(TRIES)), F.get(rest, F.lit(0)), x).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
         return F.transform(dense, one)
 
@@ -81,33 +95,57 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", into: str = "finger
     return docs.withColumn(into, packed(codes(F.coalesce(F.col(text_col), F.lit("")), n)))
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], rows: int = 512, blocks: int = 400_000) -> DataFrame:
-    """The documents, each with the columns (as `next_<name>`) of the one with the next larger id; the last has the first's.
+def _blocks(docs: DataFrame, id_col: str, rows: int) -> list:
+    """The first ids, ascending, of blocks of about `rows` documents and of at most about GRID * GRID blocks; null is in the first."""
+    ids = docs.select(F.col(id_col).alias("_id"))
+    parts = partitions(docs.sparkSession)
+    laid = cut(ids.repartitionByRange(parts, "_id").sortWithinPartitions("_id").withColumn("_at", F.monotonically_increasing_id()))
+    step = max(rows, -(-laid.count() // (GRID * GRID)))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return [r[0] for r in laid.where((place % step == 0) & F.col("_id").isNotNull()).select("_id").distinct().orderBy("_id").collect()]
 
-    Ids are cut into blocks of about `rows` documents and at most about `blocks` blocks, and a copy of each
-    block's first document ends the block before it.  Only the ids of those are broadcast: 16 bytes a block.
+
+def _block_of(docs: DataFrame, id_col: str, firsts: list) -> DataFrame:
+    """With `_block`, the number of the block that holds the id, and `_head`, whether the id is the block's first.
+
+    The search has two steps, each over an array of at most GRID ids or a few more: which run of blocks, then which of its blocks.
+    """
+    key, run = F.col(id_col), max(1, -(-len(firsts) // GRID))
+    runs = [firsts[a : a + run] for a in range(0, len(firsts), run)]
+    upto = lambda ids: F.greatest(F.size(F.filter(ids, lambda x: x <= key)) - 1, F.lit(0))
+    kind = docs.schema[id_col].dataType.simpleString()
+    starts = F.split(F.lit(",".join(str(r[0]) for r in runs)), ",").cast(f"array<{kind}>")
+    table = docs.sparkSession.createDataFrame(list(enumerate(runs)), f"_run int, _ids array<{kind}>")
+    # null compares with nothing: block 0
+    placed = docs.withColumn("_run", F.when(key.isNull(), 0).otherwise(upto(starts))).join(F.broadcast(table), "_run")
+    placed = placed.withColumn("_in", F.when(key.isNull(), 0).otherwise(upto(F.col("_ids"))))
+    head = key.eqNullSafe(F.get("_ids", F.col("_in"))) | key.isNull()
+    return placed.withColumns({"_block": (F.col("_run") * run + F.col("_in")).cast("bigint"), "_head": head}).drop("_run", "_in", "_ids")
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 512) -> DataFrame:
+    """The documents (id and text) with `_codes`, and `next_text` and `next_codes` of the one next in ascending order; the last has the first's.
+
+    The texts are shuffled once, by blocks of neighbouring ids; a block also gets a copy of the first document of
+    the block after it.  Rows of one id are in the order of their texts, null ids come first.
     """
-    key = F.col(id_col)
-    low, high, n = docs.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    width = max(1, (high - low + 1) * max(rows, n // blocks) // max(n, 1))
-    block = F.coalesce(F.floor((key - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("bigint")
-    heads = docs.groupBy(block.alias("_own")).agg(F.min(key).alias("_first"))
-    order = Window.orderBy("_own")
-    # one row a block: its first id and the block before it; the first block's goes to the end of the last
-    ends = F.coalesce(F.lag("_own").over(order), F.max("_own").over(Window.partitionBy()))
-    heads = heads.select("_own", "_first", ends.alias("_block"))
-    rows_of = docs.select(id_col, *(c for c in columns if c != id_col))
-    tails = rows_of.withColumn("_own", block).join(F.broadcast(heads), "_own").where(key.eqNullSafe(F.col("_first"))).drop("_own", "_first").withColumn("_tail", F.lit(True))
-    both = rows_of.withColumns({"_block": block, "_tail": F.lit(False)}).unionByName(tails)
-    window = Window.partitionBy("_block").orderBy("_tail", F.col(id_col), *(c for c in columns if dict(docs.dtypes)[c] == "string"))
-    return both.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns}).where(~F.col("_tail")).drop("_block", "_tail")
+    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    firsts = _blocks(docs, "_id", rows)
+    if not firsts:
+        firsts = [0]
+    own = _block_of(docs, "_id", firsts)
+    last = len(firsts) - 1
+    tails = own.where("_head").withColumn("_block", F.when(F.col("_block") == 0, last).otherwise(F.col("_block") - 1))
+    both = own.withColumn("_tail", F.lit(False)).unionByName(tails.withColumn("_tail", F.lit(True))).drop("_head")
+    both = both.repartition(partitions(docs.sparkSession), "_block").withColumn("_codes", codes(F.col("_text")))
+    window = Window.partitionBy("_block").orderBy("_tail", "_id", "_text")
+    out = both.withColumns({"next_text": F.lead("_text").over(window), "next_codes": F.lead("_codes").over(window)}).where(~F.col("_tail"))
+    return out.drop("_block", "_tail").withColumnsRenamed({"_id": id_col, "_text": text_col})
 
 
 def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: its fingerprint, that of its edited text, and likenesses."""
-    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("codes", codes(F.col("text")))
-    rows = with_next(rows, id_col, ["text", "codes"])
+    rows = with_next(docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")), id_col, "text").withColumnRenamed("_codes", "codes")
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     rows = rows.select(id_col, n.cast("bigint").alias("n_chars"), "codes", "next_codes", F.concat(F.col("text").substr(F.lit(1), n - cut), F.col("next_text").substr(F.lit(1), cut)).alias("edited"))
