@@ -145,14 +145,25 @@ class _Nfa:
             self.empty[start].append(end)
         return end
 
-    def closure(self, states) -> frozenset[int]:
-        seen, todo = set(states), list(states)
-        while todo:
-            for x in self.empty[todo.pop()]:
-                if x not in seen:
-                    seen.add(x)
-                    todo.append(x)
-        return frozenset(seen)
+    def closures(self) -> list[int]:
+        """For every state, those that it reaches without a byte, itself included, as a bit set."""
+        out = []
+        for start in range(len(self.on)):
+            seen, todo = {start}, [start]
+            while todo:
+                for x in self.empty[todo.pop()]:
+                    if x not in seen:
+                        seen.add(x)
+                        todo.append(x)
+            out.append(sum(1 << x for x in seen))
+        return out
+
+
+def _members(bits: int):
+    while bits:
+        low = bits & -bits
+        yield low.bit_length() - 1
+        bits ^= low
 
 
 @dataclass
@@ -168,6 +179,10 @@ class Automaton:
     dead: int
     n_classes: int
 
+    def __post_init__(self):
+        # the same as plain lists, for walks byte by byte
+        self.plain = self.table.tolist(), self.classes.tolist(), self.accepts_from, self.dead
+
     @property
     def resets(self) -> np.ndarray:
         """Bytes after which a search is at its start, whatever came before."""
@@ -190,19 +205,22 @@ def compile_rules(patterns: list[str], search: bool = True, backward: bool = Fal
     keys: dict[tuple, int] = {}
     classes = np.array([keys.setdefault(tuple(b in s for s in sets), len(keys)) for b in range(256)], np.int64)
     sample = [int(np.flatnonzero(classes == k)[0]) for k in range(len(keys))]
-    start = nfa.closure({root})
+    # sets of states are bit sets; `into` has what a state reaches on each class, closed
+    closed = nfa.closures()
+    into = [[closed[x[1]] if x and b in x[0] else 0 for b in sample] for x in nfa.on]
+    start = closed[root]
     states, table, todo = {start: 0}, [], [start]
-    while todo:
-        current = todo.pop(0)
-        row = []
-        for b in sample:
-            into = nfa.closure({nfa.on[x][1] for x in current if nfa.on[x] and b in nfa.on[x][0]})
-            if into not in states:
-                states[into] = len(states)
-                todo.append(into)
-            row.append(states[into])
-        table.append(row)
-    rules = [sum(accept.get(x, 0) for x in s) for s in states]
+    for current in todo:
+        row = [0] * len(sample)
+        for x in _members(current):
+            if nfa.on[x]:
+                row = [a | b for a, b in zip(row, into[x], strict=True)]
+        for reached in row:
+            if reached not in states:
+                states[reached] = len(states)
+                todo.append(reached)
+        table.append([states[x] for x in row])
+    rules = [sum(mask for x, mask in accept.items() if s >> x & 1) for s in states]
     return _minimised(np.array(table), np.array(rules, np.int64), classes)
 
 

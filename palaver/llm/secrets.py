@@ -6,7 +6,9 @@ lockstep: one byte each a step, one table look-up for all rules.  Where a state
 small automata give the span: backward to the leftmost start, forward to the longest end.
 
 Each rule's matches are leftmost and do not overlap; one shorter than the rule's least length is
-dropped after it has taken its place.  Null is read as empty.  Rows that repeat are scanned one by one.
+dropped after it has taken its place; spans that start together are in the order of the rules.  Null is read as
+empty; texts of any length are scanned whole; rows that repeat are scanned one by one; an empty table gives no
+rows.  A column that is named as the result (`into`) is replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palaver.llm.automaton import Automaton, compile_rules
+from palaver.llm.common import Shared
 from palaver.llm.kernel import slices, string_bytes
 
 
@@ -98,13 +101,13 @@ class Scanner:
     def walk(auto: Automaton, data: bytes, at: int, stop: int, step: int) -> int:
         """The last position before which the automaton accepts, walking from `at` to `stop`; -1 if none."""
         state, last = 0, at if auto.rules[0] else -1
-        while at != stop:
-            at -= step < 0
-            state = int(auto.table[state + auto.classes[data[at]]])
-            at += step > 0
-            if state >= auto.accepts_from:
-                last = at
-            elif state == auto.dead:
+        table, classes, accepts, dead = auto.plain
+        # from the byte at `at` on, or from the one before it backward
+        for i in range(at, stop) if step > 0 else range(at - 1, stop - 1, -1):
+            state = table[state + classes[data[i]]]
+            if state >= accepts:
+                last = i + (step > 0)
+            elif state == dead:
                 break
         return last
 
@@ -143,6 +146,16 @@ class Scanner:
         return found
 
 
+#: Compiled rule sets of this process.
+COMPILED: dict[tuple, Scanner] = {}
+
+
+def compiled(rules: tuple) -> Scanner:
+    if rules not in COMPILED:
+        COMPILED[rules] = Scanner(rules)
+    return COMPILED[rules]
+
+
 def _points(data: np.ndarray, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The spans in code points."""
     before = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
@@ -154,8 +167,8 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 def find(docs: DataFrame, *, text_col: str = "text", into: str = "secrets", rules=RULES) -> DataFrame:
     """The documents with a column of spans in code points, ordered by start and kind."""
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(rules))
-    schema = docs.withColumn(into, F.lit(None).cast(SPANS)).schema
+    scanner = Shared(docs.sparkSession, compiled(tuple(rules)))
+    schema = docs.drop(into).withColumn(into, F.lit(None).cast(SPANS)).schema
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
