@@ -8,7 +8,10 @@ takes its own share out of its host's and suffix's sums, so no text is its own e
 
 The trigram models are fitted on at most `sample` texts of each language that a labelled table declares, taken by hash
 of the id; every declared language has a model, however rare it is.  Null and empty texts have no likelihood and follow
-markup and address; null declarations, hosts and suffixes give no evidence; an empty table has no rows; repeated rows are judged one by one.
+markup and address; null declarations, hosts and suffixes give no evidence; an empty table has no rows; repeated rows are
+judged one by one, each with the other's evidence for its host; texts of any length are read whole; of languages that are
+equally likely the first by its code is taken.  `evidence` and `fuse` replace columns of the names that they add (`like`,
+`language`, `confidence`, `text_language`) and keep the others.
 """
 
 from __future__ import annotations
@@ -20,18 +23,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import cut
+from palaver.llm.common import Shared, attach, cut
 from palaver.llm.kernel import LOWER, slices, string_bytes
 
 SPACE, SAMPLE, EVIDENCE = 1 << 15, 400, 60.0
 HOST, SUFFIX, DECLARED = 5.0, 20.0, 1.0
 #: What isn't prose in a page: comments, scripts, styles, tags, entities.
-MARKUP = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&#?\w+;")
+OPENING = re.compile(r"<!--|<(script|style)\b|<|&#?\w+;", re.IGNORECASE)
+CLOSING = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE), "<!--": re.compile("-->"), "<": re.compile(">")}
 DECLARES = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
 
 
 def visible(html: str | None) -> str:
-    return MARKUP.sub(" ", html or "")
+    """The page without markup, in one pass: the next end of each kind is looked for once, however many beginnings lack one."""
+    html, out, at = html or "", [], 0
+    ends: dict[str, tuple[int, int]] = {}
+
+    def end(kind: str, start: int) -> int:
+        """Where the first end of this kind after `start` stops; -1 if there is none."""
+        found, stop = ends.get(kind, (-1, -1))
+        if found < start and stop != 0:
+            m = CLOSING[kind].search(html, start)
+            found, stop = ends[kind] = (m.start(), m.end()) if m else (len(html), 0)
+        return stop or -1
+
+    while m := OPENING.search(html, at):
+        stop = m.end()
+        if m[0][0] == "<":
+            kind = (m[1] or m[0]).lower()
+            stop = end(kind, m.end())
+            if stop < 0 and kind != "<":  # unclosed: no more than a tag
+                stop = end("<", m.start() + 1)
+        if stop < 0:
+            out.append(html[at : m.start() + 1])
+            at = m.start() + 1
+        else:
+            out += [html[at : m.start()], " "]
+            at = stop
+    return "".join([*out, html[at:]])
 
 
 def trigrams(column) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +122,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def evidence(rows: DataFrame, model: Trigrams, *, text_col: str, markup: bool) -> DataFrame:
     """The rows, without the text, with `like`: the tempered log likelihoods as an array of doubles."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared, rows = Shared(rows.sparkSession, model), rows.drop("like")
     schema = rows.drop(text_col).withColumn("like", F.array(F.lit(0.0))).schema
 
     def run(batches):
@@ -134,7 +163,7 @@ def _parts(batches, k: int):
 
 def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     """Rows of (`host`, `suffix`, `declared`, `like`, ...) with `language`, `confidence` and `text_language`."""
-    k = len(languages)
+    k, rows = len(languages), rows.drop("own", "seen", "language", "confidence", "text_language")
 
     def read(batches):
         for batch in _parts(batches, k):
@@ -148,8 +177,9 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
 
     def sums(key: str, name: str, of: DataFrame) -> DataFrame:
         # by place in the array, so that the plan doesn't grow with the languages
-        each = of.where(F.col(key).isNotNull() & (F.col("seen") > 0)).select(key, F.posexplode("own").alias("at", "p")).groupBy(key, "at").agg(F.sum("p").alias("p"))
-        return each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("all")).select(key, F.transform("all", lambda x: x["p"]).alias(name))
+        each = of.where(F.col(key).isNotNull() & (F.col("seen") > 0)).select(key, F.posexplode("own").alias("at", "p")).groupBy(key, "at").agg(F.sum("p").alias("p"), F.count(F.lit(1)).alias("n"))
+        packed = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("all"), F.max("n").alias("_n"))
+        return packed.select(key, F.transform("all", lambda x: x["p"]).alias(name), "_n")
 
     hosts, suffixes = sums("host", "by_host", rows), sums("suffix", "by_suffix", rows)
     shares = np.ones(k)
@@ -159,11 +189,14 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     place = {x: i for i, x in enumerate(languages)}
     known = rows.sparkSession.createDataFrame([(x,) for x in languages], "declared string")
     table = np.full((k, k), DECLARED)
-    for declared, all_ in sums("declared", "by_declared", rows.join(F.broadcast(known), "declared", "left_semi")).collect():
+    for declared, all_, _ in sums("declared", "by_declared", rows.join(F.broadcast(known), "declared", "left_semi")).collect():
         table[place[declared]] += np.array(all_)
     table = np.log(table / table.sum(axis=0, keepdims=True))
-    shared = rows.sparkSession.sparkContext.broadcast((shares / shares.sum(), table))
-    joined = rows.join(hosts, "host", "left").join(suffixes, "suffix", "left")
+    shared = Shared(rows.sparkSession, (shares / shares.sum(), table))
+    # a host or a suffix may have any share of the rows
+    total = rows.count()
+    joined = attach(rows, hosts, "host", ["by_host"], total, F.xxhash64("like"))
+    joined = attach(joined, suffixes, "suffix", ["by_suffix"], total, F.xxhash64("like"))
     kept = [x for x in joined.columns if x not in ("like", "own", "seen", "by_host", "by_suffix")]
     none = F.lit(None).cast("string")
     schema = joined.select(*kept).withColumns({"language": none, "confidence": F.lit(None).cast("double"), "text_language": none}).schema
