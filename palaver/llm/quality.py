@@ -4,10 +4,13 @@ Each labeller votes good (1), bad (-1) or abstains (0) on counts of a text.  The
 documents are counted (3 to the number of labellers is the most there can be); on the driver, EM fits
 a two-class model in which every labeller that doesn't abstain has its own accuracy a class.  The patterns' posteriors
 are the labels of a logistic scorer on hashed features, fitted on at most `sample` documents taken by hash of the
-id; every document is scored.
+id; every document is scored.  What the driver holds of the sample is at most `sample` times SPACE numbers, whatever
+the texts' length.
 
-Null and empty texts have no words, which is bad, and few letters; an empty table has no rows; without variety
-among the patterns the posterior is the majority's; repeated rows are scored one by one.
+Texts of fewer than FEW words get no vote from the labellers on repetition and sentences, as a few words show
+neither.  Null and empty texts have no words, which is bad, and few letters; an empty table has no rows; without
+variety among the patterns the posterior is the majority's; repeated rows are scored one by one; texts of any length
+are measured whole.  A column that is named as the result (`into`) is replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -17,10 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palaver.llm.common import Shared
 from palaver.llm.kernel import ALNUM, Words, mix, slices, string_bytes
 from palaver.llm.toxicity import sigmoid
 
-SAMPLE, SPACE = 6_000, 1 << 16
+SAMPLE, SPACE = 6_000, 1 << 13
+#: Words of the segments in which distinct ones are counted.
+SEGMENT = 100
 #: Texts of fewer words get no vote on repetition and sentences.
 FEW = 20
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -58,19 +64,24 @@ def measures(column) -> tuple[np.ndarray, Words]:
     again = np.bincount(of_word, same, len(off) - 1) / np.maximum(1, counts)
     doubled = (~ALNUM & ~SPACES)[data] & np.concatenate(([False], data[1:] == data[:-1]))[: len(odd)]
     sizes = words.ends - words.starts
-    distinct, common, lines = np.zeros(len(off) - 1), np.zeros(len(off) - 1), np.ones(len(off) - 1)
+    # distinct words of each segment: a share that doesn't depend on the text's length
+    segment = np.cumsum(np.concatenate(([0], -(-counts // SEGMENT))))[of_word] + (np.arange(len(of_word)) - words.first[of_word]) // SEGMENT
+    order = np.lexsort((words.hashes, segment))
+    fresh = np.concatenate(([True], (np.diff(segment[order]) != 0) | (np.diff(words.hashes[order]) != 0)))[: len(order)]
+    distinct = np.bincount(of_word[order], fresh, len(off) - 1) / np.maximum(1, counts)
+    common, lines = np.zeros(len(off) - 1), np.ones(len(off) - 1)
     line_at = np.flatnonzero(data == 10)
     for d in range(len(off) - 1):
         own = words.hashes[words.first[d] : words.first[d + 1]]
         if len(own):
             _, repeats = np.unique(own, return_counts=True)
-            distinct[d], common[d] = len(repeats) / min(len(own), 1000), repeats.max() / len(own)
+            common[d] = repeats.max() / len(own)
         a, b = np.searchsorted(line_at, off[d : d + 2])
         if b - a >= 2:
             parts = [x for x in data[off[d] : off[d + 1]].tobytes().split(b"\n") if x.strip()]
             lines[d] = len(set(parts)) / max(1, len(parts))
     short = np.bincount(of_word, sizes <= 3, len(off) - 1) / np.maximum(1, counts) if len(sizes) else np.zeros(len(off) - 1)
-    columns = [marks / n, np.minimum(1.0, distinct), common, counts / np.maximum(1, per(STOPS)), counts, short, lines, per(ALNUM) / n, marks / np.maximum(1, counts), _sums(doubled, off) / np.maximum(1, counts), per(UPPER) / np.maximum(1, per(LATIN)), again]
+    columns = [marks / n, distinct, common, counts / np.maximum(1, per(STOPS)), counts, short, lines, per(ALNUM) / n, marks / np.maximum(1, counts), _sums(doubled, off) / np.maximum(1, counts), per(UPPER) / np.maximum(1, per(LATIN)), again]
     out = np.column_stack(columns).astype(float)
     # what a few words show says nothing: the labellers on repetition and sentences abstain
     out[np.ix_(counts < FEW, [1, 2, 3, 5, 6, 11])] = np.nan
@@ -179,7 +190,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", samp
 
 def score(docs: DataFrame, model: dict, *, text_col: str = "text", into: str = "quality") -> DataFrame:
     """The documents with a struct: `posterior` of the labellers' votes, `score` of the scorer, `keep`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     schema = docs.drop(into).withColumn(into, F.lit(None).cast("struct<posterior:double,score:double,keep:boolean>")).schema
 
     def run(batches):
