@@ -4,12 +4,18 @@ P(grade >= k) = sigmoid(w.x - t_k) with t_1 < t_2 < ...; the expected severity i
 the words of a text and their beginnings, by 64-bit hash, each counted once a text; only those that speak
 for toxic training texts carry a weight, so a text of any length gets no noise from its other words.
 
-The labels hold one bit.  Clean texts have grade 0; a toxic one has 1 plus the number of `STEPS` that its
-count of telling features reaches, so grades above 1 say how much of it is toxic.
-
-Fit on the driver on at most `sample` labelled texts of each bit, taken by hash of the id; every text is
-scored.  Null and empty texts have no features and get the grade of the bare thresholds; without labels
-nothing is rejected; repeated rows are scored one by one; a text whose features are unknown counts as empty.
+Labels of more than one grade are taken as they are.  Where they hold one bit, clean texts have grade 0 and a
+toxic one has 1 plus the number of `STEPS` that its toxic sentences reach.  Which sentences are toxic is judged by
+a model of that bit fitted on the other half of the sample, so no text has a part in its own grade.
+
+Fit on at most `sample` labelled texts of each bit, taken by hash of the id.  Features are counted and chosen by a
+grouped sum; the driver holds at most `most` features and, of a text of any length, those of them that occur in it.
+Every text is scored.
+
+Null and empty texts have no features and get the grade of the bare thresholds; without labels nothing is
+rejected; repeated rows are scored one by one; a text whose features are unknown counts as empty; features that
+speak as much are taken by hash; an empty table gives no rows.  A column that is named as the result (`into`) is
+replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -18,14 +24,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palaver.llm.common import Shared, cut
 from palaver.llm.kernel import Words, slices, string_bytes
 
 SAMPLE, FEATURES = 5_000, 4_096
 BEGINNINGS = (6, 8)
-STEPS = (8, 14)
+#: Toxic sentences of a text from which its grade is 2, 3.
+STEPS = (2, 4)
+SENTENCE = r"[.!?\n]+"
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -94,54 +103,118 @@ def ordinal_fit(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndar
     return w, np.concatenate(([t[0]], t[0] + np.cumsum(np.exp(t[1:]))))
 
 
-def _select(values: np.ndarray, doc: np.ndarray, toxic: np.ndarray, most: int) -> np.ndarray:
+def _counts(rows: DataFrame) -> DataFrame:
+    """`feature`, and in how many texts of each half and bit it occurs: `n00` (first half, clean) to `n11`."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                values, doc = features(batch.column("_text"))
+                order = np.lexsort((doc, values))
+                fresh = np.concatenate(([True], (np.diff(values[order]) != 0) | (np.diff(doc[order]) != 0)))[: len(order)]
+                values, doc = values[order][fresh], doc[order][fresh]
+                code = 2 * batch.column("_half").to_numpy() + (batch.column("_grade").to_numpy() > 0)
+                uniq, inverse = np.unique(values, return_inverse=True)
+                table = np.bincount(4 * inverse + code[doc], minlength=4 * len(uniq)).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), *(pa.array(table[:, k], pa.int64()) for k in range(4))], names=["feature", "n00", "n01", "n10", "n11"])
+
+    counted = rows.select("_grade", "_half", "_text").mapInArrow(run, "feature bigint, n00 bigint, n01 bigint, n10 bigint, n11 bigint")
+    return counted.groupBy("feature").agg(*(F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")))
+
+
+def _telling(counts: DataFrame, hit: Column, miss: Column, toxic: int, clean: int, most: int) -> np.ndarray:
     """Sorted hashes of the features that speak most for toxic: seen in 3 texts or more, by the z of their log odds."""
-    uniq, inverse = np.unique(values, return_inverse=True)
-    hit = np.bincount(inverse, toxic[doc], len(uniq))
-    total = np.bincount(inverse, minlength=len(uniq))
-    a, b = hit + 0.5, total - hit + 0.5
-    odds = np.log(a / (toxic.sum() + 1)) - np.log(b / ((~toxic).sum() + 1))
-    z = odds / np.sqrt(1 / a + 1 / b)
-    good = np.flatnonzero((total >= 3) & (z > 2.5))
-    return np.sort(uniq[good[np.argsort(-z[good], kind="stable")[:most]]])
+    a, b = hit + F.lit(0.5), miss + F.lit(0.5)
+    z = (F.log(a / F.lit(toxic + 1.0)) - F.log(b / F.lit(clean + 1.0))) / F.sqrt(1 / a + 1 / b)
+    rows = counts.where((hit + miss >= 3) & (z > 2.5)).orderBy(z.desc(), "feature").limit(most).select("feature").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, most: int = FEATURES) -> Model:
-    """The model from at most `sample` labelled texts of each bit and at most `most` features."""
-    chosen = [labels.where(F.col(label_col) == bit).select(F.col(id_col).alias("_id"), F.lit(bit).alias("_bit")).orderBy(F.xxhash64("_id"), "_id").limit(sample) for bit in (0, 1)]
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen[0].union(chosen[1])), "_id").select("_bit", "_text")
+def _occurrences(rows: DataFrame, hashes: list[np.ndarray]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """For each list of hashes, text and place in the list of what occurs; the texts' grades and halves."""
+    shared = Shared(rows.sparkSession, hashes)
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "_text"):
                 values, doc = features(batch.column("_text"))
-                each = [np.unique(values[doc == d]) for d in range(batch.num_rows)]
-                edges = np.concatenate(([0], np.cumsum([len(x) for x in each])))
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(each).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("_bit"), lists], names=["bit", "found"])
-
-    table = rows.mapInArrow(run, "bit int, found array<bigint>").toArrow()
-    toxic = np.array(table["bit"].to_pylist(), bool)
-    found = table["found"].combine_chunks()
-    if not len(toxic) or not toxic.any():
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.array([30.0, 31.0, 32.0]))
-    values = found.flatten().to_numpy().view(np.uint64)
-    doc = np.repeat(np.arange(len(toxic)), found.value_lengths().to_numpy())
-    hashes = _select(values, doc, toxic, most)
-    if not len(hashes):
-        return Model(hashes, np.zeros(0), np.array([30.0, 31.0, 32.0]))
-    place = np.minimum(np.searchsorted(hashes, values), len(hashes) - 1)
-    known = hashes[place] == values
-    rows_, cols = doc[known], place[known]
-    lift = np.bincount(cols, toxic[rows_], len(hashes)) / np.maximum(1, np.bincount(cols, minlength=len(hashes))) > 0.5
-    telling = np.bincount(rows_, lift[cols], len(toxic))
-    grades = np.where(toxic, 1 + sum(telling >= s for s in STEPS), 0).astype(np.int64)
-    return Model(hashes, *ordinal_fit(rows_, cols, len(hashes), grades))
+                found = []
+                for own in shared.value:
+                    place = np.minimum(np.searchsorted(own, values), max(0, len(own) - 1))
+                    known = own[place] == values if len(own) else np.zeros(len(values), bool)
+                    pair = np.unique(doc[known] * (1 << 32) + place[known])
+                    edges = np.searchsorted(pair >> 32, np.arange(batch.num_rows + 1))
+                    found.append(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(pair & 0xFFFFFFFF, pa.int32())))
+                yield pa.RecordBatch.from_arrays([batch.column("_grade"), batch.column("_half"), *found], names=["grade", "half", "f0", "f1", "f2"])
+
+    table = rows.select("_grade", "_half", "_text").mapInArrow(run, "grade int, half int, f0 array<int>, f1 array<int>, f2 array<int>").toArrow()
+    grades, halves, out = table["grade"].to_numpy(), table["half"].to_numpy(), []
+    for name in ("f0", "f1", "f2"):
+        lists = table[name].combine_chunks()
+        text = np.repeat(np.arange(len(grades)), lists.value_lengths().to_numpy()) if len(grades) else np.zeros(0, int)
+        out.append((text, lists.flatten().to_numpy() if len(grades) else np.zeros(0, int)))
+    return out, grades.astype(np.int64), halves.astype(np.int64)
+
+
+def _extents(rows: DataFrame, models: list[Model]) -> np.ndarray:
+    """How many sentences of each text the other half's model takes for toxic, in the order of the rows."""
+    shared = Shared(rows.sparkSession, models)
+
+    def run(batches):
+        import re
+
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                out = np.zeros(batch.num_rows, np.int64)
+                for d, (half, grade, text) in enumerate(zip(batch.column("_half").to_pylist(), batch.column("_grade").to_pylist(), batch.column("_text"), strict=True)):
+                    if grade:
+                        model = shared.value[1 - half]
+                        parts = pa.array(re.split(SENTENCE, text.as_py() or ""), pa.string())
+                        out[d] = (model.exceed(model.scores(parts))[:, 0] >= 0.5).sum()
+                yield pa.RecordBatch.from_arrays([pa.array(out)], names=["n"])
+
+    return rows.select("_grade", "_half", "_text").mapInArrow(run, "n bigint").toArrow()["n"].to_numpy()
+
+
+BLIND = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([30.0, 31.0, 32.0]))
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, most: int = FEATURES) -> Model:
+    """The model from at most `sample` labelled texts without and with a grade, and at most `most` features."""
+    grade = F.col(label_col).cast("int")
+    named = labels.select(F.col(id_col).alias("_id"), grade.alias("_grade")).where("_grade is not null")
+    chosen = [named.where(test).orderBy(F.xxhash64("_id"), "_id").limit(sample) for test in ("_grade <= 0", "_grade > 0")]
+    chosen = chosen[0].union(chosen[1]).withColumn("_half", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).cast("int"))
+    rows = cut(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id").drop("_id"))
+    counts = cut(_counts(rows))
+    n = {(r[0], r[1]): r[2] for r in rows.groupBy("_half", (F.col("_grade") > 0).cast("int").alias("bit")).count().collect()}
+    n = {(h, b): n.get((h, b), 0) for h in (0, 1) for b in (0, 1)}
+    c = {x: F.col(x) for x in ("n00", "n01", "n10", "n11")}
+    hashes = [
+        _telling(counts, c["n01"], c["n00"], n[0, 1], n[0, 0], most), _telling(counts, c["n11"], c["n10"], n[1, 1], n[1, 0], most),
+        _telling(counts, c["n01"] + c["n11"], c["n00"] + c["n10"], n[0, 1] + n[1, 1], n[0, 0] + n[1, 0], most),
+    ]
+    if not len(hashes[2]):
+        return BLIND
+    found, grades, halves = _occurrences(rows, hashes)
+    grades = np.maximum(grades, 0)
+    if grades.max(initial=0) == 1:
+        models = []
+        for half in (0, 1):
+            text, place = found[half]
+            own = np.flatnonzero(halves == half)
+            at = np.full(len(grades), -1)
+            at[own] = np.arange(len(own))
+            keep = at[text] >= 0
+            models.append(Model(hashes[half], *ordinal_fit(at[text[keep]], place[keep], len(hashes[half]), grades[own])) if len(hashes[half]) else BLIND)
+        extent = _extents(rows, models)
+        grades = np.where(grades > 0, 1 + sum((extent >= s).astype(np.int64) for s in STEPS), 0)
+    return Model(hashes[2], *ordinal_fit(*found[2], len(hashes[2]), grades))
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", into: str = "toxicity") -> DataFrame:
     """The documents with a struct: expected `severity`, `grade` (likeliest) and `p_toxic` = P(grade >= 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     kind = "struct<severity:double,grade:int,p_toxic:double>"
     schema = docs.drop(into).withColumn(into, F.lit(None).cast(kind)).schema
 
