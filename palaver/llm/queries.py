@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palaver.llm.common import new_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # texts go to Python workers in batches of so many rows, which bounds what a worker holds
@@ -12,15 +14,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import decontaminate
 
@@ -70,7 +63,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import warc
 
-    path = shared(spark, "warc")
+    path = f"{new_folder(spark, 'warc')}/archive"
     warc.write(table(spark, folder, "pages"), path)
     back = warc.read(spark, path)
     return back.select("page_id", "payload_bytes", F.coalesce("payload_sha256", "payload_digest").alias("payload_digest"), "record_type", "refers_to")

@@ -2,20 +2,29 @@
 
 Writing: one gzip member a record (or plain records).  Each task writes one file under a name of its
 own; the commit writes the list of the files that count, so files of lost or repeated attempts are
-never read.  A member's header says how long it is compressed, in the extra field "sl".
-
-Reading: files, and ranges of records in large files, are planned on the driver by hopping from record
-to record.  Equality and IN predicates on `record_type`, `page_id` and other header columns are pushed down.
-A record's header is parsed first; the payload is neither read nor inflated when a predicate fails or no payload
-column is asked for (option `payload=false`).
-
-Paths may be of any file system that pyarrow knows.  Null html is an empty payload; repeated page ids
-give as many records; an empty table gives an archive without records.
+never read.  The list also has the places at which a large file may be split, each the start of a record.  A
+member's header says how long it is compressed, in the extra field "sl".
+
+Reading: partitions are planned from that list, without opening an archive; files of others, which have none, are
+read by one task each.  Members without "sl", as other programs write them, are inflated up to their end.
+Equality and IN predicates on `record_type`, `page_id` and other header columns are pushed down.  A record's
+header is parsed first; the payload is neither read nor inflated (with "sl") when a predicate fails or no payload
+column is asked for (option `payload=false`).  Rows leave a task in Arrow batches.
+
+`page_id` is null for records whose id isn't `<urn:page:NUMBER>`; `record_id` always has the id as it stands.
+`payload_bytes` and `payload_digest` come from the header: the number is Content-Length where there is no
+WARC-Payload-Length, the digest is null where there is none and has its prefix where it isn't SHA-256.
+
+Paths may be of any file system that pyarrow knows.  Null html is an empty payload; a payload may have any
+length that one row can have; repeated page ids give as many records; an empty table gives an archive without
+records; extra columns of a page table aren't written.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -25,14 +34,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, WriterCommitMessage
 
+from palaver.llm.common import attach
+
 LIST = "_records.json"
-COLUMNS = "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload string, payload_sha256 string"
-INPUT = "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload string"
-#: Bytes of an archive file that one partition reads.
-SPLIT = 64 << 20
+COLUMNS = "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, record_id string, payload string, payload_sha256 string"
+#: Bytes of an archive file that one partition reads, and bytes and rows of a batch.
+SPLIT, BATCH_BYTES, BATCH_ROWS = 64 << 20, 4 << 20, 1024
 HEAD = 1 << 13
 
 
+PAGE = re.compile(r"<urn:page:(-?\d{1,19})>")
+
+
 def file_system(uri: str):
     """The file system and path of a URI or of a local path."""
     from pyarrow import fs
@@ -63,8 +76,9 @@ def member(data: bytes) -> bytes:
 
 
 def _number(text: str | None) -> int | None:
-    digits = (text or "").strip("<>").rpartition(":")[2]
-    return int(digits) if digits.lstrip("-").isdigit() else None
+    """The page of a record id that this module wrote."""
+    found = PAGE.fullmatch(text or "")
+    return int(found[1]) if found else None
 
 
 def header(lines: bytes) -> dict[str, str]:
@@ -108,7 +122,7 @@ class Records:
 
     def _member(self, head: bytes):
         if not head[3] & 4 or head[12:14] != b"sl":
-            raise ValueError(f"the member at {self.at} doesn't say how long it is")
+            return self._unsized()
         size = struct.unpack_from("<I", head, 16)[0]
         begin, first = self.at, head[24:]
         self.at += size
@@ -125,6 +139,24 @@ class Records:
 
         return fields, payload
 
+    def _unsized(self):
+        """A member of unknown length: it is inflated to its end, and only then is the next one's start known."""
+        self.source.seek(self.at)
+        opened, parts, taken = zlib.decompressobj(31), [], 0
+        while not opened.eof:
+            more = self.source.read(1 << 16)
+            if not more:
+                raise ValueError(f"the member at {self.at} has no end")
+            taken += len(more)
+            parts.append(opened.decompress(more))
+        self.at += taken - len(opened.unused_data)
+        whole = b"".join(parts)
+        end = whole.find(b"\r\n\r\n")
+        if end < 0:
+            raise ValueError(f"the record of the member that ends at {self.at} has no end of header")
+        fields = header(whole[:end])
+        return fields, lambda: whole[end + 4 : end + 4 + int(fields.get("content-length", 0))]
+
 
 @dataclass
 class Part(InputPartition):
@@ -137,6 +169,9 @@ class Part(InputPartition):
         self.path, self.start, self.stop = path, start, stop
 
 
+NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.split = options["path"], int(options.get("split", SPLIT))
@@ -160,74 +195,95 @@ class WarcReader(DataSourceReader):
         listed = files.get_file_info(f"{path}/{LIST}")
         if listed.type == fs.FileType.File:
             with files.open_input_stream(f"{path}/{LIST}") as f:
-                names = [f"{path}/{n}" for n in json.loads(f.read())]
-        elif files.get_file_info(path).type == fs.FileType.File:
-            names = [path]
+                return [p for name, splits in json.loads(f.read()) for p in self._ranges(f"{path}/{name}", splits)]
+        if files.get_file_info(path).type == fs.FileType.File:
+            found = [files.get_file_info(path)]
         else:
-            names = sorted(i.path for i in files.get_file_info(fs.FileSelector(path)) if i.path.endswith((".warc", ".warc.gz")))
-        return [p for name in names for p in self._ranges(files, name)]
+            found = sorted((i for i in files.get_file_info(fs.FileSelector(path)) if i.path.endswith((".warc", ".warc.gz"))), key=lambda i: i.path)
+        return [Part(i.path, 0, i.size) for i in found if i.size]
 
-    def _ranges(self, files, name: str):
-        size = files.get_file_info(name).size
-        if size <= self.split:
-            return [Part(name, 0, size)] if size else []
+    def _ranges(self, name: str, splits: list[int]):
+        """Parts of about `split` bytes; `splits` are starts of records and, last, the file's size."""
         out, start = [], 0
-        with files.open_input_file(name) as source:
-            walk = Records(source, 0, size)
-            for _ in walk:
-                if walk.at - start >= self.split or walk.at >= size:
-                    out.append(Part(name, start, walk.at))
-                    start = walk.at
-        return out
+        for at in splits:
+            if at - start >= self.split or at == splits[-1]:
+                out.append(Part(name, start, at))
+                start = at
+        return [p for p in out if p.stop > p.start]
 
     def read(self, part):
-        import hashlib
+        import pyarrow as pa
 
         if part is None:  # an archive without files
             return
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        schema = pa.schema(list(zip(NAMES, kinds, strict=True)))
         files, _ = file_system(self.path)
+        rows, held = [], 0
         with files.open_input_file(part.path) as source:
             for fields, payload in Records(source, part.start, part.stop):
-                row = {
-                    "page_id": _number(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": fields.get("warc-type"),
-                    "refers_to": _number(fields.get("warc-refers-to")), "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-                    "payload_bytes": int(fields.get("warc-payload-length", fields.get("content-length", 0))),
-                }
+                row = self._row(fields)
                 if any(row[k] not in v for k, v in self.wanted.items()):
                     continue
                 body = payload() if self.payload and row["record_type"] != "revisit" else None
-                yield (*row.values(), body if body is None else body.decode("utf-8", "replace"), body if body is None else hashlib.sha256(body).hexdigest())
+                if body is not None:
+                    row |= {"payload": body.decode("utf-8", "replace"), "payload_sha256": hashlib.sha256(body).hexdigest()}
+                    held += len(body)
+                rows.append(row)
+                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    @staticmethod
+    def _row(fields: dict[str, str]) -> dict:
+        digest = fields.get("warc-payload-digest", "")
+        return {
+            "page_id": _number(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": fields.get("warc-type"),
+            "refers_to": _number(fields.get("warc-refers-to")), "payload_digest": digest.removeprefix("sha256:") or None,
+            "payload_bytes": int(fields.get("warc-payload-length", fields.get("content-length", 0))), "record_id": fields.get("warc-record-id"),
+        }
 
 
 @dataclass
 class Written(WriterCommitMessage):
+    """A file and the places at which it may be split, its size last."""
+
     name: str | None
+    splits: list[int]
 
 
 class WarcWriter(DataSourceWriter):
     def __init__(self, options, overwrite: bool):
         self.path, self.plain, self.overwrite = options["path"], options.get("compression", "gzip") == "none", overwrite
+        self.split = int(options.get("split", SPLIT))
 
     def write(self, iterator):
         files, path = file_system(self.path)
         files.create_dir(path, recursive=True)
         name, out = f"part-{uuid.uuid4().hex}.warc" + ("" if self.plain else ".gz"), None
+        at, splits = 0, [0]
         try:
             for row in iterator:
                 out = out or files.open_output_stream(f"{path}/{name}", compression=None)
-                out.write(record(row) if self.plain else member(record(row)))
+                if at - splits[-1] >= self.split:
+                    splits.append(at)
+                data = record(row) if self.plain else member(record(row))
+                out.write(data)
+                at += len(data)
         finally:
             if out:
                 out.close()
-        return Written(name if out else None)
+        return Written(name if out else None, [*splits[1:], at])
 
     def commit(self, messages):
         files, path = file_system(self.path)
         files.create_dir(path, recursive=True)
-        names = [m.name for m in messages if m and m.name]
+        names = [(m.name, m.splits) for m in messages if m and m.name]
         if not self.overwrite and files.get_file_info(f"{path}/{LIST}").size:
             with files.open_input_stream(f"{path}/{LIST}") as f:
-                names += json.loads(f.read())
+                names += map(tuple, json.loads(f.read()))
         with files.open_output_stream(f"{path}/{LIST}.new") as f:
             f.write(json.dumps(sorted(names)).encode())
         files.move(f"{path}/{LIST}.new", f"{path}/{LIST}")
@@ -265,12 +321,13 @@ def records(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     """What to write for each page: of equal payloads of `least` bytes or more, the smallest id answers and the others refer to it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.sha2(text, 256).alias("payload_digest"), F.octet_length(text).cast("bigint").alias("payload_bytes"), text.alias("payload"))
+    # digests that occur once need no look-up; those of very many pages are broadcast
     known = rows.where(F.col("payload_bytes") >= least)
-    # digests that occur once need no look-up; only revisits and their targets go on, without payloads
     first = known.groupBy("payload_digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = known.select("page_id", "payload_digest").join(first, "payload_digest").where("page_id > _first").select("page_id", "payload_digest", F.col("_first").alias("refers_to")).distinct()
-    return rows.join(again, ["page_id", "payload_digest"], "left").select(
-        "page_id", "url", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"), "refers_to", "payload_digest", "payload_bytes", "payload",
+    found = attach(rows, first, "payload_digest", ["_first"], rows.count(), F.col("page_id"))
+    again = F.coalesce(F.col("page_id") > F.col("_first"), F.lit(False))
+    return found.select(
+        "page_id", "url", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("_first")).alias("refers_to"), "payload_digest", "payload_bytes", "payload",
     )
 
 

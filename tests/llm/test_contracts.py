@@ -308,7 +308,9 @@ def test_warc(spark, tmp_path, compression):
     warc.register(spark)
     warc.records(pages).write.format("warc").option("compression", compression).mode("overwrite").save(path)
     want = brute.revisits([(k, t) for k, _, t in rows])
-    for split in (str(1 << 26), "100"):
+    cut = str(tmp_path / "cut")
+    warc.records(pages).write.format("warc").option("compression", compression).option("split", "100").mode("overwrite").save(cut)
+    for split, path in ((str(1 << 26), path), ("100", path), ("100", cut)):
         back = spark.read.format("warc").option("split", split).load(path)
         got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back.collect()}
         assert got == want and back.count() == len(rows)
@@ -317,10 +319,33 @@ def test_warc(spark, tmp_path, compression):
     assert all(r.payload_sha256 == r.payload_digest for r in back.where("record_type = 'response'").collect())
     bare = spark.read.format("warc").option("payload", "false").load(path)
     assert bare.where("payload is not null").count() == 0
+    assert spark.read.format("warc").option("split", "100").load(cut).rdd.getNumPartitions() >= 5
     warc.write(pages.limit(0), str(tmp_path / "none"))
     assert warc.read(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_warc_of_other_programs(spark, tmp_path):
+    """Ordinary gzip members, one a record, plain headers and random record ids."""
+    import gzip
+    import hashlib
+
+    from palaver.llm import warc
+
+    bodies = [b"<p>one</p>", "\u00e9".encode() * 70_000, b"", b"\r\n\r\nWARC/1.0\r\n"]
+    record = lambda k, body: f"WARC/1.0\r\nWARC-Type: {'warcinfo' if k == 2 else 'response'}\r\nWARC-Record-ID: <urn:uuid:0000-{k}>\r\nWARC-Target-URI: http://x/{k}\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(record(k, b)) for k, b in enumerate(bodies)))
+    (tmp_path / "b.warc").write_bytes(b"".join(record(k, b) for k, b in enumerate(bodies)))
+    for path in ("", "a.warc.gz", "b.warc"):
+        back = warc.read(spark, str(tmp_path / path) if path else str(tmp_path))
+        rows = back.collect()
+        assert len(rows) == (8 if not path else 4)
+        for r in rows:
+            k = int(r.record_id[-2])
+            assert (r.page_id, r.url, r.payload_bytes, r.payload_digest) == (None, f"http://x/{k}", len(bodies[k]), None)
+            assert r.payload == bodies[k].decode() and r.payload_sha256 == hashlib.sha256(bodies[k]).hexdigest()
+        assert back.where("record_type = 'warcinfo'").count() == len(rows) // 4
+
+
 def test_words_longer_than_a_chunk():
     import pyarrow as pa
 
