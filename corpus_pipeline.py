@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm import decontaminate, packing, secrets, setjoin, toxicity
-from palaver.llm.queries import shared, table
+from palaver.llm.common import delete, new_folder
+from palaver.llm.queries import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -46,10 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """The last stage's rows over `documents`."""
-    docs = table(spark, folder, "documents")
+    """The last stage's rows over `documents`; each stage's rows go when the next one has written its own."""
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES:
-        path = shared(spark, f"pipeline-{name}")
-        stage(spark, docs, folder).write.parquet(path)
-        docs = spark.read.parquet(path)
+        path = new_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, folder).write.parquet(f"{path}/rows")
+        docs = spark.read.parquet(f"{path}/rows")
+        if before:
+            delete(spark, before)
+        before = path
     return docs
