@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm.common import new_folder
+from palaver.llm.oracles import ORACLE  # noqa: F401
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,4 +91,3 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin, op10_packing)}
-ORACLE: dict[str, str] = {}
