@@ -81,12 +81,12 @@ def partitions(session) -> int:
     return max(1, int(session.conf.get("spark.sql.shuffle.partitions")))
 
 
-def ranked(df: DataFrame, groups: list[str], order: list[str], into: str) -> DataFrame:
+def ranked(df: DataFrame, groups: list[str], order: list[str], into: str, few: bool = True) -> DataFrame:
     """Rows numbered from 0 without gaps within `groups`, by `order` (nulls first).
 
     The rows are dealt by sampled ranges of (groups, order), so a hot group is spread over tasks whatever its
-    values are.  A row's number is its place in its range plus the group's rows in the ranges before; what is
-    broadcast is one row for each group and range that holds it.
+    values are.  A row's number is its place in its range plus the group's rows in the ranges before: one row for each
+    group and range that holds it, which is broadcast if there are few groups (as many as shards or lengths).
     """
     laid = df.repartitionByRange(partitions(df.sparkSession), *groups, *order).sortWithinPartitions(*groups, *order)
     laid = cut(laid.withColumn("_at", F.monotonically_increasing_id()))
@@ -97,7 +97,7 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], into: str) -> Dat
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
     starts = counts.select(*(F.col(g).alias(f"_{g}") for g in groups), F.col("_range"), shift.alias("_shift"))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
-    joined = laid.join(F.broadcast(starts), [own == F.col("_range"), *same])
+    joined = laid.join(F.broadcast(starts) if few else starts, [own == F.col("_range"), *same])
     return joined.withColumn(into, (F.col("_at") + F.col("_shift")).cast("bigint")).drop("_at", "_range", "_shift", *(f"_{g}" for g in groups))
 
 

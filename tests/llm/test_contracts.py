@@ -171,8 +171,12 @@ def test_setjoin_near_copies(spark, batch):
             words[rng.randrange(len(words))] = f"v{rng.randrange(6)}"
         rows.append((k, " ".join(words + (["the same passage in many of them"] if k % 3 else []))))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for boundary in (None, 0, 13):
-        assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame, boundary=boundary).collect()} == brute.set_components(rows)
+    want = brute.set_components(rows)
+    for options in ({}, {"boundary": 0}, {"boundary": 13}, {"split": 8, "block": 16}, {"boundary": 0, "split": 8, "block": 5, "most_bits": 8}):
+        assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame, **options).collect()} == want
+    kept = {k for k, (_, c) in want.items() if k == c}
+    for options in ({}, {"most_bits": 8}):
+        assert {r[0] for r in setjoin.keep_one(frame, **options).select("doc_id").collect()} == kept
 
 
 def test_setjoin_long_sets_of_unequal_sketches(spark):
@@ -188,6 +192,31 @@ def test_setjoin_long_sets_of_unequal_sketches(spark):
     assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame).collect()} == brute.set_components(rows)
 
 
+def test_setjoin_blocks_of_a_long_list(spark):
+    """One list with members of other components throughout: pairs come from blocks, and only close ones."""
+    from palaver.llm import setjoin
+
+    passage = [f"p{k}" for k in range(60)]
+    rng, rows = random.Random(8), []
+    for k in range(400):
+        own = [f"x{k}y{j}" for j in range(rng.randrange(0, 14))]
+        rows.append((k, " ".join(passage[: rng.randrange(44, 61)] + own)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    want = brute.set_components(rows)
+    for options in ({"split": 64, "block": 32}, {"frequent": 4, "split": 16, "block": 64}):
+        assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame, **options).collect()} == want
+
+
+def test_setjoin_boundary_follows_counts():
+    from palaver.llm.setjoin import boundary_of, subsets_of
+
+    # few small sets among many large ones don't move it, long lists favour subsets
+    assert boundary_of({}, 85, 1.0) == 0
+    assert boundary_of({8: 100, 30: 100}, 85, 0.0) < 30
+    assert boundary_of({8: 100, 30: 100}, 85, 11.0) >= boundary_of({8: 100, 30: 100}, 85, 0.0)
+    assert boundary_of({8: 1}, 85, 11.0) >= 8 > 0 and subsets_of(8, 85) == sum((8, 1, 1))
+
+
 def test_setjoin_order_of_frequent_shingles():
     from palaver.llm.setjoin import Order
 
