@@ -1,31 +1,39 @@
 """Best-fit packing into sequences by bin completion.
 
 Texts become token ids and are cut, only if longer, into pieces of at most `room` ids.  What is solved
-on the driver is the histogram of piece lengths, `room` numbers whatever the input: around the largest
-length left, undominated fillings of any number of pieces are tried, fullest first, each taken as often
-as its lengths last and, after all others, fewer times.  A branch is pruned when its waste exceeds what
-the incumbent minus one sequence leaves; best-fit decreasing gives the first incumbent.  The search ends
-at the lower bound or after `nodes` fillings, dominated ones that it met included; nothing else limits
-it.  Pieces then find their place by their rank among pieces of equal length.
-
-Null and empty texts are the closing id alone; repeated rows are packed one by one; an empty table
-gives no rows.
+on the driver is the histogram of piece lengths, `room` numbers whatever the input.  Best-fit decreasing gives the
+first incumbent.  Around the largest length left, undominated fillings of any number of pieces are tried, fullest
+first, each taken as often as its lengths last and, after all others, fewer times.  A branch is pruned when its
+waste exceeds what the incumbent minus one sequence leaves.  This search ends at the lower bound, or when it has
+tried all, or after `nodes` fillings, dominated ones that it met included.
+
+If the bound isn't reached, the incumbent is mended: a few of its sequences, those with the most waste first, are
+opened and completed anew around their largest pieces with the fullest fillings, and taken over if they need fewer
+sequences or have their waste in fewer of them.  This ends at the bound or after `tries` such attempts; nothing else
+limits either search, and `solve` says whether its result is proven least.  Pieces then find their place by their
+rank among pieces of equal length.
+
+Null and empty texts are the closing id alone; texts of any length are cut whole; repeated rows are packed one by
+one; pieces of equal length take their places in the order of id and piece; an empty table gives no rows; other columns
+aren't read.
 """
 
 from __future__ import annotations
 
 import bisect
 import json
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import cut, ranked
+from palaver.llm.common import Shared, cut, ranked
 
-ROOM, CLOSING, NODES = 1024, 2, 5_000
+ROOM, CLOSING, NODES, TRIES = 1024, 2, 5_000, 20_000
 
 
 class Encoder:
@@ -35,20 +43,22 @@ class Encoder:
     that library fails, go through tokenizers itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, content: str, pattern: str):
         import tiktoken
-        from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)
+        model = json.loads(content)
         special = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         # the other bytes stand as the characters from U+0100 on, in their order
         letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in plain)}
         ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        self.slow, self.special = Tokenizer.from_file(path), list(special)
-        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.slow, self.special = Tokenizer.from_str(content), list(special)
+        self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        return cls(*vocabulary(path))
 
     def __call__(self, text: str) -> list[int]:
         if not any(s in text for s in self.special):
@@ -60,14 +70,23 @@ class Encoder:
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
+def vocabulary(path: str) -> tuple[str, str]:
+    """The file's content and the pattern that splits texts before merging; read on the driver, shipped to executors."""
+    from public_tokenizers import PATTERN
+
+    with open(path, encoding="utf-8") as f:
+        return f.read(), PATTERN
+
+
 def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM, closing: int = CLOSING) -> DataFrame:
     """One row a piece: the first may be shorter than `room`, the others are full."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    shared = Shared(docs.sparkSession, vocabulary(path))
 
     def run(batches):
         encode = None
         for batch in batches:
-            encode = encode or Encoder(path)
+            encode = encode or Encoder(*shared.value)
             columns = ([], [], [], [], [])
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.array([*encode(text.as_py() or ""), closing], "<u4")
@@ -188,9 +207,8 @@ def _choices(counts: list[int], room: int):
                 yield filling, times
 
 
-def solve(counts: list[int], room: int = ROOM, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
-    """Fillings and how often each is used; `counts[s]` pieces have length s."""
-    bound, best = lower_bound(counts, room), _best_fit(counts, room)
+def _searched(counts: list[int], room: int, bound: int, best: list, nodes: int) -> list[tuple[tuple[int, ...], int]]:
+    """The fewest fillings that the branch and bound finds from the incumbent `best` on."""
     fewest, total = sum(n for _, n in best), sum(s * n for s, n in enumerate(counts))
     # depth first; an entry is the state before a filling: lengths left, its choices, waste so far
     left, path, waste = counts[:], [], 0
@@ -224,6 +242,70 @@ def solve(counts: list[int], room: int = ROOM, nodes: int = NODES) -> list[tuple
     return best
 
 
+def _completed(left: Counter, room: int, rng: random.Random, width: int) -> list[tuple[int, ...]]:
+    """Sequences of a few pieces: around the largest one left the fullest filling, its lengths drawn from the `width` largest that allow it."""
+    left, out = +left, []
+    while left:
+        size = max(left)
+        left[size] -= 1
+        left = +left
+        sizes = sorted(s for s in left if s <= room - size)
+        have = [left[s] for s in sizes]
+        reach = _sums(sizes, have, room - size)
+        rest, k, filling = reach[-1].bit_length() - 1, len(sizes), [size]
+        while rest:
+            k, found = min(k, bisect.bisect_right(sizes, rest)), []
+            while k and len(found) < width:
+                k -= 1
+                most = min(have[k], rest // sizes[k])
+                found += [(k, n) for n in range(most, 0, -1) if reach[k] >> (rest - n * sizes[k]) & 1][:1]
+            k, n = rng.choice(found)
+            filling += [sizes[k]] * n
+            rest -= n * sizes[k]
+        left -= Counter(filling[1:])
+        out.append(tuple(filling))
+    return out
+
+
+def _mended(room: int, bound: int, best: list, tries: int) -> list[tuple[tuple[int, ...], int]]:
+    """The incumbent after up to `tries` attempts at completing a few of its sequences anew."""
+    rng, held = random.Random(0), Counter()
+    for filling, times in best:
+        held[filling] += times
+    # a full piece alone can't be mended
+    fewest = sum(held.values())
+    order = sorted((sum(f) - room, f) for f in held if f != (room,))
+    unused = lambda fillings: sum((room - sum(f)) ** 2 for f in fillings)
+    while fewest > bound and tries and order:
+        tries -= 1
+        picked = Counter([order[0][1]] if rng.random() < 0.5 else [])
+        for _ in range(rng.randrange(2, 9) - len(picked)):
+            filling = order[int(rng.random() ** 2 * len(order))][1]
+            if picked[filling] < held[filling]:
+                picked[filling] += 1
+        opened = list(picked.elements())
+        made = _completed(Counter(s for f in opened for s in f), room, rng, rng.choice((1, 2, 4)))
+        if len(made) > len(opened) or len(made) == len(opened) and unused(made) < unused(opened):
+            continue
+        fewest += len(made) - len(opened)
+        for filling, change in ((f, d) for fs, d in ((opened, -1), (made, 1)) for f in fs):
+            before, entry = held[filling], (sum(filling) - room, filling)
+            held[filling] += change
+            if filling != (room,) and not before:
+                bisect.insort(order, entry)
+            if filling != (room,) and not held[filling]:
+                del order[bisect.bisect_left(order, entry)]
+    return sorted((+held).items(), reverse=True)
+
+
+def solve(counts: list[int], room: int = ROOM, nodes: int = NODES, tries: int = TRIES) -> tuple[list[tuple[tuple[int, ...], int]], bool]:
+    """Fillings and how often each is used (`counts[s]` pieces have length s), and whether they are as few as the lower bound."""
+    bound = lower_bound(counts, room)
+    best = _searched(counts, room, bound, _best_fit(counts, room), nodes)
+    best = _mended(room, bound, best, tries)
+    return best, sum(n for _, n in best) == bound
+
+
 def _places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple]:
     """For every length: where its ranks go, as (from, each, sequence, offset) in order of `from`."""
     taken, out, sequence = {}, {}, 0
@@ -238,18 +320,18 @@ def _places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple]:
     return [(size, places) for size, places in out.items()]
 
 
-def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM, closing: int = CLOSING, nodes: int = NODES) -> DataFrame:
+def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM, closing: int = CLOSING, nodes: int = NODES, tries: int = TRIES) -> DataFrame:
     """One row a piece with `sequence_id` and `offset`."""
     cutout = cut(pieces(docs, path, id_col=id_col, text_col=text_col, room=room, closing=closing))
     counts = [0] * (room + 1)
     for size, n in cutout.groupBy("length").count().collect():
         counts[size] = n
     kind = "length bigint, places array<struct<from:bigint,each:bigint,sequence:bigint,at:bigint>>"
-    table = docs.sparkSession.createDataFrame(_places(solve(counts, room, nodes)), kind)
+    table = docs.sparkSession.createDataFrame(_places(solve(counts, room, nodes, tries)[0]), kind)
     rows = ranked(cutout, ["length"], [id_col, "piece"], "_rank").join(F.broadcast(table), "length")
     place = F.element_at(F.filter("places", lambda p: p["from"] <= F.col("_rank")), -1)
     rows = rows.withColumn("_place", place)
     past = F.col("_rank") - F.col("_place.from")
-    return rows.select(
-        id_col, "piece", "start", "length", "ids_crc32", (F.col("_place.sequence") + F.floor(past / F.col("_place.each"))).alias("sequence_id"), (F.col("_place.at") + past % F.col("_place.each") * F.col("length")).alias("offset"),
-    )
+    sequence = F.col("_place.sequence") + F.floor(past / F.col("_place.each"))
+    offset = F.col("_place.at") + past % F.col("_place.each") * F.col("length")
+    return rows.select(id_col, "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))

@@ -282,7 +282,7 @@ def test_packing_search_against_brute_force():
     for _ in range(60):
         lengths = [rng.randrange(1, 21) for _ in range(9)]
         counts = [lengths.count(s) for s in range(21)]
-        found = solve(counts, 20)
+        found, _ = solve(counts, 20)
         assert lower_bound(counts, 20) <= best(lengths, 20) == sum(n for _, n in found)
 
 
@@ -297,7 +297,7 @@ def test_packing_search_of_long_fillings():
 
     # 300 + 4 x 181 fills a sequence; best-fit decreasing takes 520
     lengths = [300] * 300 + [200] * 900 + [181] * 1200
-    found = solve(counted(lengths, 1024))
+    found, _ = solve(counted(lengths, 1024))
     assert placed(found) == sorted(lengths) and all(sum(filling) <= 1024 for filling, _ in found)
     assert sum(n for _, n in found) <= 480
     # sequences cut into five to seven pieces each, so that the best is known
@@ -306,12 +306,29 @@ def test_packing_search_of_long_fillings():
         full = [sorted(rng.sample(range(1, 60), rng.randrange(4, 7))) for _ in range(6)]
         lengths = [b - a for cuts in full for a, b in zip([0, *cuts], [*cuts, 60], strict=True)]
         counts = counted(lengths, 60)
-        found = solve(counts, 60)
+        found, least = solve(counts, 60)
+        assert least
         assert placed(found) == sorted(lengths) and sum(n for _, n in found) == 6
         better += sum(n for _, n in _best_fit(counts, 60)) > 6
     assert better
 
 
+def test_packing_beats_best_fit_on_documents():
+    """The lengths of sf0.01's pieces: 962 sequences, as many as the bound, where best-fit decreasing takes 964."""
+    import duckdb
+    import public_tokenizers
+
+    from palaver.llm.packing import Encoder, _best_fit, lower_bound, solve
+
+    encode, counts = Encoder.of(public_tokenizers.path("byte_bpe_50k.json")), [0] * 1025
+    for (text,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall():
+        n = len(encode(text or "")) + 1
+        counts[n % 1024 or 1024] += 1
+        counts[1024] += (n - 1) // 1024
+    found, least = solve(counts)
+    assert least and sum(n for _, n in found) == lower_bound(counts, 1024) < sum(n for _, n in _best_fit(counts, 1024))
+
+
 def test_encoder_special_tokens():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -319,7 +336,7 @@ def test_encoder_special_tokens():
     from palaver.llm.packing import Encoder
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encode, slow = Encoder(path), Tokenizer.from_file(path)
+    encode, slow = Encoder.of(path), Tokenizer.from_file(path)
     for text in ("a <|endoftext|> b", "", "  　x", "don't  stop\n\n\n  x", "ΩΩΩ 日本 😀", "a" * 3000, " " * 2000):
         assert encode(text) == slow.encode(text, add_special_tokens=False).ids
 
