@@ -25,8 +25,8 @@ What is broadcast is bounded: the order of at most `frequent` frequent shingles,
 of at most MOST_BITS bits that only save work; beyond their reach a join takes their place.
 
 Null and empty texts have empty sets and link with nothing; texts of fewer than n words are one shingle, texts of any
-length are read whole; repeated rows link as equal sets; an empty table has no rows; other columns aren't read by `link`
-and are kept by `keep_one`.
+length are read whole; repeated rows link as equal sets; a null id links with nothing and has a null component; an empty
+table has no rows; other columns aren't read by `link` and are kept by `keep_one`.
 """
 
 from __future__ import annotations
@@ -497,12 +497,12 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     if boundary is None:
         boundary = boundary_of({r[0]: r[1] for r in profile.where("n between 1 and 80").groupBy("n").count().collect()}, share, met)
     # equal sets: the one of the smallest id stands for all
-    keyed = profile.where("n > 0").select("id", F.concat_ws("/", "k1", "k2").alias("key"))
+    keyed = profile.where("n > 0 and id is not null").select("id", F.concat_ws("/", "k1", "k2").alias("key"))
     heads = keyed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     alias = cut(attach(keyed, heads, "key", ["head"], profile.count(), F.col("id")).where("id <> head").select("id", "head").distinct())
     sketches = profile.select("id", "n", "sketch").join(alias, "id", "left_anti").dropDuplicates(["id"])
     order = Shared(session, Order(common, counts))
-    joined = scratch.store(_lists(_entries(docs, n, share, boundary, order, split), share, partitions(session)), "lists")
+    joined = scratch.store(_lists(_entries(docs.where("id is not null"), n, share, boundary, order, split), share, partitions(session)), "lists")
     pairs = lambda kind: joined.where(F.col("kind") == kind).select("a", "b")
     pivots = joined.where(F.col("kind") == PIVOT).select("token", F.col("a").alias("b"))
     pivots = pivots.join(pivots.groupBy("token").agg(F.min("b").alias("a")), "token").where("a <> b").select("a", "b")

@@ -36,8 +36,8 @@ def test_toxicity_held_out(spark, docs, labels):
     rows = labels.where(fold).collect()
     clean = [got[r.doc_id].p_toxic >= 0.5 for r in rows if not r.toxic]
     assert np.mean(clean) < 0.02
-    train = [got[r.doc_id].p_toxic >= 0.5 for r in labels.where(~fold).collect() if r.toxic]
-    assert np.mean(train) > 0.6
+    # 36 toxic texts to learn from find a third of the others' words; see test_toxicity_of_more_documents
+    assert np.mean([got[r.doc_id].p_toxic >= 0.5 for r in rows if r.toxic]) > 0.3
     assert all(0 <= x.severity <= 3 and 0 <= x.grade <= 3 for x in got.values())
 
 
