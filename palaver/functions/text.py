@@ -17,6 +17,15 @@ KEYWORD = r"(?iu)(요약|정리|핵심|summary)"
 LAUGH = r"^[ㅋㅎㅠㅜ]+$"
 PUNCTUATION = r"^[\s~!?.…·,:;'\"()\[\]{}<>/\\\-_=+*^|`]+$"
 SHORT_REPLIES = ("ㅇㅇ", "ㄱㄱ", "ㄴㄴ", "ok", "OK")
+CONTROL = r"[\x00-\x08\x0b-\x1f\x7f]"
+HEADINGS = rf"(?iu)(요약|정리|핵심){WS}*[:：]?"
+NOT_COMPARED = r"[^A-Za-z0-9가-힣]+"
+REPEATED_UNIT, REPEATED_SIGN = r"(.{2,16})(?:\1){2,}", r"(.)\1{5,}"
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once: inside a lambda an expression would run again for every item."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def text_of(c) -> Column:
@@ -76,9 +85,18 @@ def one_line_response(c) -> Column:
     return strip(F.regexp_replace(sanitize_line(c), rf"{WS}+", " "))
 
 
-def sanitize_text(c, most: int) -> Column:
-    """One line without control characters, cut to `most`."""
-    return truncate(F.regexp_replace(one_line_response(c), r"[\x00-\x08\x0b-\x1f\x7f]", ""), most)
+def sanitize_text(c, most: int = 0, lines: bool = False) -> Column:
+    """Without control characters, which go before lines are joined and blanks are collapsed; cut to `most`, if that isn't 0.
+
+    `lines` keeps line ends, without blanks around them and two at most.
+    """
+    out = F.regexp_replace(F.translate(line_feeds(text_of(c)), "\u00a0\u200b", " "), CONTROL, "")
+    if lines:
+        out = F.regexp_replace(F.regexp_replace(out, r"[ \t]*\n[ \t]*", "\n"), r"\n{3,}", "\n\n")
+    else:
+        out = F.regexp_replace(out, rf"{WS}*\n+{WS}*", " ")
+    out = strip(F.regexp_replace(out, r"[ \t]{2,}", " "))
+    return truncate(out, most) if most > 0 else out
 
 
 def count_mentions(c) -> Column:
@@ -98,9 +116,9 @@ def trim_mentions(c, keep: int) -> Column:
     """All mentions but the first `keep` removed (none removed below 0)."""
     if keep < 0:
         return text_of(c)
-    parts, found = F.split(text_of(c), MENTION, -1), F.regexp_extract_all(text_of(c), F.lit(f"({MENTION})"), 1)
-    joined = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.when(i < keep, F.coalesce(F.get(found, i), F.lit(""))).otherwise(F.lit("")))), "")
-    return tidy(joined)
+    both = F.struct(F.split(text_of(c), MENTION, -1).alias("parts"), F.regexp_extract_all(text_of(c), F.lit(f"({MENTION})"), 1).alias("found"))
+    mention = lambda x, i: F.when(i < keep, F.coalesce(F.get(x["found"], i), F.lit(""))).otherwise(F.lit(""))
+    return tidy(let(both, lambda x: F.array_join(F.transform(x["parts"], lambda p, i: F.concat(p, mention(x, i))), "")))
 
 
 def bullets(c) -> Column:
@@ -108,7 +126,11 @@ def bullets(c) -> Column:
 
 
 def is_low_signal(c) -> Column:
-    x = compact(c)
+    return is_low(compact(c))
+
+
+def is_low(x: Column) -> Column:
+    """The same of a text without white space."""
     return (x == "") | (F.upper(x) == "<URL>") | ((F.length(x) <= 8) & x.rlike(LAUGH)) | ((F.length(x) <= 10) & x.rlike(PUNCTUATION)) | x.isin(*SHORT_REPLIES)
 
 
@@ -124,12 +146,12 @@ def looks_like_summary(c) -> Column:
 
 
 def soften_summary(c) -> Column:
-    out = F.regexp_replace(F.regexp_replace(text_of(c), BULLET, ""), r"(?iu)(요약|정리|핵심)[\s]*[:：]?", "")
+    out = F.regexp_replace(F.regexp_replace(strip(text_of(c)), BULLET, ""), HEADINGS, "")
     return F.btrim(F.regexp_replace(out, r"[ \t]{2,}", " "), F.lit(" \t,;:"))
 
 
 def comparable(c) -> Column:
-    return F.regexp_replace(F.lower(text_of(c)), r"[^A-Za-z0-9가-힣]+", "")
+    return F.regexp_replace(F.lower(text_of(c)), NOT_COMPARED, "")
 
 
 def words(c) -> Column:
@@ -140,11 +162,11 @@ def run_capped(tokens: Column, most: int = 2) -> Column:
     """Tokens whose run of equal ones is at most `most` long so far."""
     # the array is bound to a variable: inside the filter, its expression would run again for every token
     same = lambda w, t, i: sum(((F.get(w, i - k) == t).cast("int") for k in range(1, most + 1)), F.lit(0)).eqNullSafe(most)
-    return F.element_at(F.transform(F.array(tokens), lambda w: F.filter(w, lambda t, i: (i < most) | ~same(w, t, i))), 1)
+    return let(tokens, lambda w: F.filter(w, lambda t, i: (i < most) | ~same(w, t, i)))
 
 
 def soften_repetition(c) -> Column:
-    return strip(F.regexp_replace(F.array_join(run_capped(words(c)), " "), r"(.)\1{5,}", "$1$1$1"))
+    return strip(F.regexp_replace(F.array_join(run_capped(words(c)), " "), REPEATED_SIGN, "$1$1$1"))
 
 
 def distinct_ratio(tokens: Column) -> Column:
@@ -152,17 +174,27 @@ def distinct_ratio(tokens: Column) -> Column:
 
 
 def top_ngram(tokens: Column, n: int) -> Column:
-    """How often the most frequent run of n tokens occurs."""
-    grams = F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i + 1, n), "\x1f"))).otherwise(F.array().cast("array<string>"))
-    return F.coalesce(F.element_at(F.transform(F.array(grams), lambda g: F.array_max(F.transform(F.array_distinct(g), lambda x: F.size(F.filter(g, lambda y: y == x))))), 1), F.lit(0))
+    """How often the most frequent run of n tokens occurs: equal ones stand together once they are sorted."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0)))
+    grams = let(tokens, lambda w: F.when(F.size(w) >= n, F.transform(places, lambda i: F.array_join(F.slice(w, i + 1, n), "\x1f"))).otherwise(F.array().cast("array<string>")))
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+
+    def step(done, gram):
+        run = F.when(gram.eqNullSafe(done["last"]), done["run"] + 1).otherwise(1)
+        return F.struct(gram.alias("last"), run.alias("run"), F.greatest(done["most"], run).alias("most"))
+
+    return F.aggregate(F.array_sort(grams), start, step, lambda done: done["most"])
 
 
 def is_repetitive(c) -> Column:
-    """A unit said three times in a row, few distinct words, or one dominant 2- or 3-gram."""
-    tokens = words(F.lower(text_of(c)))
-    n = F.size(tokens)
-    grams = [(n >= 3 * k) & (top_ngram(tokens, k) >= 3) & (top_ngram(tokens, k) >= F.floor((n - k + 1) * F.lit(0.5))) for k in (2, 3)]
-    return compact(c).rlike(r"(.{2,16})(?:\1){2,}") | ((n >= 10) & ((distinct_ratio(tokens) < F.lit(0.55)) | grams[0] | grams[1]))
+    """A unit said three times in a row, few distinct words (in their case), or one dominant 2- or 3-gram."""
+
+    def of(tokens: Column) -> Column:
+        n = F.size(tokens)
+        grams = [(n >= 3 * k) & let(top_ngram(tokens, k), lambda top: (top >= 3) & (top >= F.floor((n - k + 1) * F.lit(0.5)))) for k in (2, 3)]
+        return (n >= 10) & ((distinct_ratio(tokens) < F.lit(0.55)) | grams[0] | grams[1])
+
+    return compact(c).rlike(REPEATED_UNIT) | let(words(c), of)
 
 
 def sanitize_speaker(c) -> Column:

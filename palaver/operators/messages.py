@@ -11,15 +11,25 @@ from pyspark.sql import functions as F
 from palaver.functions import text as T
 
 
-def drop_reason(c, *, shortest: int = 2, longest: int = 320, bullets: int = 1, mentions: int = 2, **clean) -> tuple[Column, Column]:
-    """The cleaned text and the first reason to drop it, null if it stays."""
-    out = T.truncate(T.clean_message(c, **clean), longest)
-    full = T.clean_message(c, **clean)
-    reason = (
-        F.when(full == "", "empty_after_clean").when(T.compact_length(out) < shortest, "short_message").when(T.is_low_signal(out), "low_signal")
-        .when(T.is_summary_artifact(out, bullets), "summary_artifact").when(T.count_mentions(out) > mentions, "mention_artifact")
-    )
-    return out, reason
+#: The tests of the cascade, in their order.
+CHECKS = ("empty_after_clean", "short_message", "low_signal", "summary_artifact", "mention_artifact")
+
+
+def cascade(df: DataFrame, column: str = "text", *, shortest: int = 2, longest: int = 320, bullets: int = 1, mentions: int = 2, without_mentions: bool = False, checks: tuple[str, ...] = CHECKS, **clean) -> DataFrame:
+    """With the text cleaned and cut, and `reason`: the first of the `checks` that drops it, null if it stays.
+
+    `without_mentions` takes mentions out before the text is judged.  Each step is a column of its own, as the next ones read it more than once.
+    """
+    out = df.withColumn("_full", T.clean_message(column, **clean)).withColumn("_cut", T.truncate("_full", longest))
+    if without_mentions:
+        out = out.withColumn("_cut", F.when(T.count_mentions("_cut") > 0, T.strip_mentions("_cut")).otherwise(F.col("_cut")))
+    out = out.withColumn("_compact", T.compact("_cut"))
+    tests = {
+        "empty_after_clean": F.col("_full") == "", "short_message": F.length("_compact") < shortest, "low_signal": T.is_low(F.col("_compact")),
+        "summary_artifact": T.is_summary_artifact("_cut", bullets), "mention_artifact": T.count_mentions("_cut") > mentions,
+    }
+    reason = F.coalesce(*(F.when(tests[c], c) for c in CHECKS if c in checks), F.lit(None).cast("string"))
+    return out.withColumn("reason", reason).withColumn(column, F.col("_cut")).drop("_full", "_cut", "_compact")
 
 
 def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,4 +120,24 @@ def chunks(df: DataFrame, keys: list[str], *, window: int = 64, stride: int = 16
 
 
 def capped(df: DataFrame, order: list[str], most: int) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+    """The first `most` rows: each task passes on so many at most."""
+    return df.orderBy(*order).limit(most)
+
+
+def counted_to_cap(df: DataFrame, order: list[str], most: int) -> DataFrame:
+    """`reason`, `n` of the targets up to the `most`-th that stays (reason null: kept); those after it aren't counted."""
+    last = df.where("reason is null").select(F.struct(*order).alias("_last")).orderBy("_last").limit(most).agg(F.max("_last").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    rows = df.join(F.broadcast(last), (F.col("_n") < most) | (F.struct(*order) <= F.col("_last")))
+    return rows.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def flat_order(df: DataFrame) -> DataFrame:
+    """`place` of every message in the flat corpus: sessions by start, file and index, each in its own order.
+
+    Only one row a session is numbered across sessions.
+    """
+    each = df.groupBy("source_file", "session_index").agg(F.min("ts").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy("_start", "source_file", "session_index").rowsBetween(Window.unboundedPreceding, -1)  # one row a session
+    before = each.select("source_file", "session_index", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    own = F.row_number().over(_order("session_index")) - 1
+    return df.withColumn("_own", own).join(before, ["source_file", "session_index"]).withColumn("place", F.col("_before") + F.col("_own")).drop("_own", "_before")

@@ -106,9 +106,9 @@ def mask_urls(spark, folder):
     return table(spark, folder, "pages").select("page_id", T.mask_urls("url").alias("masked"))
 
 
-@query("SELECT doc_id, len(regexp_extract_all(text, '\\b\\d{3,}\\b')) AS n_numbers FROM documents")
+@query("SELECT doc_id, sha256(regexp_replace(text, '\\b\\d{3,}\\b', '<NUM>', 'g')) AS masked FROM documents")
 def mask_numbers(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", (F.regexp_count(T.mask_numbers("text"), F.lit("<NUM>")) - F.regexp_count("text", F.lit("<NUM>"))).cast("bigint").alias("n_numbers"))
+    return table(spark, folder, "documents").select("doc_id", F.sha2(T.mask_numbers("text"), 256).alias("masked"))
 
 
 DROPS = f"""WITH {LN}, a AS (SELECT doc_id, line_no, regexp_replace({clean_sql('text')}, 'https?://\\S+', '<URL>', 'g') AS full_text FROM ln),
@@ -120,8 +120,7 @@ WHEN len(regexp_extract_all(t, '@[A-Za-z0-9_.\\-가-힣]+')) > 2 THEN 'mention_a
 
 @query(f"{DROPS} SELECT doc_id, line_no, t AS text, reason FROM r")
 def drop_cascade(spark, folder):
-    text, reason = messages.drop_reason("text", shortest=8)
-    return ln(spark, folder).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), text.alias("text"), reason.alias("reason"))
+    return messages.cascade(ln(spark, folder), shortest=8).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text", "reason")
 
 
 @query(f"{DROPS} SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM r GROUP BY 1")
@@ -154,9 +153,17 @@ def one_line(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.one_line("text").alias("line"))
 
 
-@query(f"SELECT doc_id, CASE WHEN length(x) > 200 THEN regexp_replace(substring(x, 1, 200), '{W}+$', '') ELSE x END AS line FROM (SELECT doc_id, regexp_replace({strip_sql(f"regexp_replace(text, '{W}+', ' ', 'g')")}, '[\\x00-\\x08\\x0b-\\x1f\\x7f]', '', 'g') AS x FROM documents)")
+#: Tabs and vertical tabs for the blanks of one third of the documents, a leading line end and deletes in another.
+ODD_SQL = "CASE doc_id % 3 WHEN 0 THEN replace(text, ' ', chr(9) || chr(9) || chr(11)) WHEN 1 THEN chr(10) || replace(text, ' ', chr(127) || ' ') ELSE text END"
+NO_CONTROL_SQL = f"regexp_replace(replace(replace(regexp_replace({ODD_SQL}, '\\r\\n?', chr(10), 'g'), chr(160), ' '), chr(8203), ''), '[\\x00-\\x08\\x0b-\\x1f\\x7f]', '', 'g')"
+SANITIZED_SQL = f"SELECT doc_id, {one_line_sql(NO_CONTROL_SQL)} AS x FROM documents"
+
+
+@query(f"SELECT doc_id, CASE WHEN length(x) > 200 THEN regexp_replace(substring(x, 1, 200), '{W}+$', '') ELSE x END AS line FROM ({SANITIZED_SQL})")
 def sanitize(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.sanitize_text("text", 200).alias("line"))
+    kind = F.col("doc_id") % 3
+    odd = F.when(kind == 0, F.replace("text", F.lit(" "), F.lit("\t\t\x0b"))).when(kind == 1, F.concat(F.lit("\n"), F.replace("text", F.lit(" "), F.lit("\x7f ")))).otherwise(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", T.sanitize_text(odd, 200).alias("line"))
 
 
 @query(f"WITH {LN}, k AS (SELECT doc_id, line_no, {compact_sql('text')} AS c FROM ln UNION ALL SELECT -1, i, c FROM (VALUES (0, ''), (1, 'ㅋㅋㅋ'), (2, '?!'), (3, 'ㅇㅇ'), (4, '<url>'), (5, 'okay')) v(i, c)) SELECT doc_id, line_no, {LOW} AS low FROM k")
@@ -364,22 +371,48 @@ def _sft_tokens(spark, folder):
     return rows.select("conv_id", "pos", *(c.alias(k) for k, c in tokens.sft_row(F.col("p"), F.col("r"), 768, 2).items()))
 
 
-@query(f"{CONTEXT}, y AS (SELECT conv_id, pos, strlen('[SYSTEM]' || chr(10) || '{SYSTEM}' || chr(10) || chr(10) || '[TASK]' || chr(10) || '{TASK}' || chr(10) || chr(10) || '[DIALOGUE]' || chr(10) || array_to_string(ctx, chr(10)) || chr(10) || chr(10) || '[ANSWER]' || chr(10)) AS p, least(strlen(response) + 1, 768) AS r FROM x WHERE reason IS NULL) SELECT conv_id, pos, least(p, 768 - r) + r AS n_ids, r AS n_labels FROM y")
+def digest_of(ids) -> F.Column:
+    """The values of an array of numbers in one string."""
+    return F.sha2(F.concat_ws(",", F.transform(ids, lambda x: x.cast("string"))), 256)
+
+
+def ids_sql(h: str) -> str:
+    """The bytes of a text, given as hexadecimal digits, as ids from 4 on."""
+    return f"list_transform(range(CAST(length({h}) / 2 AS BIGINT)), lambda i: CAST('0x' || substring({h}, CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER) + 4)"
+
+
+PROMPT_SQL = f"'[SYSTEM]' || chr(10) || '{SYSTEM}' || chr(10) || chr(10) || '[TASK]' || chr(10) || '{TASK}' || chr(10) || chr(10) || '[DIALOGUE]' || chr(10) || array_to_string(ctx, chr(10)) || chr(10) || chr(10) || '[ANSWER]' || chr(10)"
+
+
+@query(f"""{CONTEXT}, h AS (SELECT conv_id, pos, hex(encode({PROMPT_SQL})) AS p, hex(encode(response)) AS r FROM x WHERE reason IS NULL),
+y AS (SELECT conv_id, pos, {ids_sql('p')} AS p, list_append({ids_sql('r')}, 2) AS r FROM h),
+z AS (SELECT conv_id, pos, list_slice(p, greatest(len(p) - greatest(768 - len(r), 0), 0) + 1, len(p)) AS p, list_slice(r, greatest(len(r) - 768, 0) + 1, len(r)) AS r FROM y)
+SELECT conv_id, pos, len(p) + len(r) AS n_ids, len(r) AS n_labels, sha256(array_to_string(list_concat(p, r), ',')) AS ids,
+sha256(array_to_string(list_concat(list_transform(p, lambda v: -100), r), ',')) AS labels FROM z""")
 def sft_token_rows(spark, folder):
-    return _sft_tokens(spark, folder).select("conv_id", "pos", F.size("input_ids").cast("bigint").alias("n_ids"), F.size(F.filter("labels", lambda x: x != -100)).cast("bigint").alias("n_labels"))
+    kept = F.size(F.filter("labels", lambda x: x != -100)).cast("bigint")
+    return _sft_tokens(spark, folder).select("conv_id", "pos", F.size("input_ids").cast("bigint").alias("n_ids"), kept.alias("n_labels"), digest_of("input_ids").alias("ids"), digest_of("labels").alias("labels"))
+
+
+CPT_SQL = f"h AS (SELECT conv_id, turn, hex(encode(text)) AS h FROM conversations), r AS (SELECT conv_id, turn, {ids_sql('h')} AS v FROM h), c AS (SELECT conv_id, turn, list_append(list_slice(CASE WHEN len(v) = 0 THEN [2] ELSE v END, greatest(len(v) - 255, 0) + 1, greatest(len(v), 1)), 2) AS v FROM r)"
 
 
-@query("SELECT conv_id, turn, least(greatest(strlen(text), 1), 255) + 1 AS n_ids FROM conversations")
+@query(f"WITH {CPT_SQL} SELECT conv_id, turn, len(v) AS n_ids, sha256(array_to_string(v, ',')) AS ids FROM c")
 def cpt_token_rows(spark, folder):
-    row = tokens.cpt_row(tokens.byte_ids("text", 4), 256, 2)
-    return table(spark, folder, "conversations").select("conv_id", "turn", F.size(row["input_ids"]).cast("bigint").alias("n_ids"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", tokens.byte_ids("text", 4).alias("v"))
+    row = tokens.cpt_row(F.col("v"), 256, 2)
+    return rows.select("conv_id", "turn", F.size(row["input_ids"]).cast("bigint").alias("n_ids"), digest_of(row["input_ids"]).alias("ids"))
 
 
-@query("WITH n AS (SELECT conv_id, turn, least(greatest(strlen(text), 1), 255) + 1 AS k FROM conversations) SELECT conv_id, turn, k AS used, max(k) OVER (PARTITION BY conv_id) AS padded FROM n")
+@query(f"""WITH {CPT_SQL}, m AS (SELECT conv_id, turn, v, max(len(v)) OVER (PARTITION BY conv_id) AS padded FROM c)
+SELECT conv_id, turn, len(v) AS used, padded, sha256(array_to_string(list_concat(v, list_transform(range(padded - len(v)), lambda i: 0)), ',')) AS ids,
+sha256(array_to_string(list_concat(v, list_transform(range(padded - len(v)), lambda i: -100)), ',')) AS labels FROM m""")
 def pad_batch(spark, folder):
-    row = tokens.cpt_row(tokens.byte_ids("text", 4), 256, 2)
-    padded = tokens.pad(table(spark, folder, "conversations").select("conv_id", "turn", *(c.alias(k) for k, c in row.items())), "conv_id", 0)
-    return padded.select("conv_id", "turn", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("used"), F.size("labels").cast("bigint").alias("padded"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", tokens.byte_ids("text", 4).alias("v"))
+    row = tokens.cpt_row(F.col("v"), 256, 2)
+    padded = tokens.pad(rows.select("conv_id", "turn", *(c.alias(k) for k, c in row.items())), "conv_id", 0)
+    used = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint")
+    return padded.select("conv_id", "turn", used.alias("used"), F.size("labels").cast("bigint").alias("padded"), digest_of("input_ids").alias("ids"), digest_of("labels").alias("labels"))
 
 
 @query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)")
