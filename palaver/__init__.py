@@ -1 +1,10 @@
-"""A dialogue-data engine on Spark: logs to messages, sessions, training examples and tokens."""
+"""Chat logs to clean, analysable and training-ready dialogue data, on DataFrames.
+
+Functions that run in Python workers are pickled by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

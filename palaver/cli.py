@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from palaver.plans import more, registry  # noqa: F401
+from palaver.plans import further, more, registry  # noqa: F401
 
 
 def main(args: list[str] | None = None) -> int:

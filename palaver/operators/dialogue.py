@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions import replies as R
 from palaver.functions import text as T
+from palaver.functions import turns as N
 
 
 def reply_gate(df: DataFrame, *, last: int = 8, spacing: int = 4, most: int = 2, bot: str = "assistant") -> DataFrame:
@@ -82,3 +83,16 @@ def confidence(logs, least: int = 4) -> tuple[Column, Column]:
     n = F.size(logs)
     mean = F.when(n >= least, F.aggregate(logs, F.lit(0.0), lambda a, x: a + x) / n).otherwise(F.lit(0.0))
     return mean, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.exp(mean)))
+
+
+def prepared(df: DataFrame, names, *, user: str = "", bot: str = "", anonymous: bool = False, turns: int = 4, budget: int = 200, tokens=None) -> DataFrame:
+    """Turns as a dialogue: sanitised, empty ones dropped, of known speakers, trimmed to the last turns and the token budget.
+
+    An unknown speaker counts as the user; `anonymous` dialogues know only the two roles.
+    """
+    none = F.lit(None).cast("string")
+    own_user, own_bot = N.speakers_of(none, none, names, user, bot)
+    side = F.when(R.role("role", bot) == "user", own_user).otherwise(own_bot)
+    speaker = side if anonymous else F.when(F.col("role").isin(*names), F.col("role")).otherwise(own_user)
+    rows = df.withColumn("text", T.sanitize_text("text")).where("text <> ''").withColumn("speaker", speaker)
+    return token_trim(rows, F.octet_length("text") + 4 if tokens is None else tokens, turns=turns, budget=budget)

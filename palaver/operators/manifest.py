@@ -30,3 +30,16 @@ def config_diff(old: DataFrame, new: DataFrame, fixed: tuple[str, ...] = ()) ->
     for prefix in fixed:
         locked = locked | F.col("key").startswith(prefix)
     return both.withColumn("immutable", locked)
+
+
+def summary(plan: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
+    """How many items a plan has, and how many of them a run would create and skip as recorded."""
+    known = manifest.select(*keys).distinct().withColumn("_known", F.lit(True))
+    skipped = F.count_if(F.col("_known").isNotNull())
+    return plan.join(known, keys, "left").agg(F.count(F.lit(1)).alias("planned"), (F.count(F.lit(1)) - skipped).alias("created"), skipped.alias("skipped"))
+
+
+def listed(files: DataFrame, name: str, exclude: tuple[str, ...] = (), suffix: str = ".txt") -> DataFrame:
+    """Files of one suffix, in any case, but the excluded ones."""
+    rows = files.where(F.lower(name).endswith(suffix.lower()))
+    return rows.where(~F.col(name).isin(*exclude)) if exclude else rows

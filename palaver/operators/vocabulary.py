@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
@@ -89,3 +89,19 @@ def mask_of(before, target, full: bool = False) -> Column:
 def aligned(ids, mask) -> Column:
     """The ids; an error where the mask has another length."""
     return F.when(F.size(ids) == F.size(mask), ids).otherwise(F.raise_error(F.lit("mask and ids differ in length")).cast("array<int>"))
+
+
+def context_examples(df: DataFrame, keys: list[str], words: Vocabulary, *, turns: int = 16, least: int = 3, stride: int = 2, shortest: int = 2, full: bool = False) -> DataFrame:
+    """Targets with `ids` of their context and themselves, and `mask`: 0 on the context, on the target as `mask_of` has it.
+
+    The target's text counts as it stands; groups of one message give nothing and aren't counted.
+    """
+    order = Window.partitionBy(*keys).orderBy("ts", "seq")
+    line = words.row(F.col("speaker"), "text")
+    rows = df.withColumns({"pos": F.row_number().over(order) - 1, "_line": line}).withColumn("_before", F.collect_list("_line").over(order.rowsBetween(-turns, -1)))
+    rows = rows.where((F.col("pos") >= 1) & ((F.col("pos") - 1) % max(1, stride) == 0) & (T.compact_length("text") >= shortest) & (F.size("_before") >= least))
+    rows = rows.withColumn("_past", F.array_join("_before", ""))
+    rows = rows.withColumns({"_ids": words.encode(F.concat("_past", "_line")), "_lead": words.count(F.concat(F.lit(BASE[1]), words.token_of(F.col("speaker")))), "_n": words.count("_line"), "_m": words.count("_past")})
+    mask = F.concat(F.array_repeat(F.lit(0), F.col("_m")), mask_of(F.col("_lead"), F.col("_n") - F.col("_lead"), full))
+    out = rows.withColumn("mask", mask).withColumn("ids", aligned(F.col("_ids"), F.col("mask")))
+    return out.drop("_line", "_before", "_past", "_ids", "_lead", "_n", "_m")

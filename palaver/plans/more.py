@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from palaver.functions import replies as R
@@ -170,7 +167,6 @@ def fallback_rate(spark, folder):
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def lines_roundtrip(spark, folder):
     """Conversations written as JSON lines and read back."""
-    base = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lines-")).rstrip("/")
-    path, rows = f"{base}/lines-{uuid.uuid4().hex}", table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    path, rows = f"{streams.folder(spark, 'lines')}/rows", table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     datasets.write_lines(rows, path, ["conv_id", "turn"])
     return datasets.read_lines(spark, path, rows.schema)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -457,7 +454,7 @@ def seen_buffer(spark, folder):
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, folder):
     """Users' event types, each once, through a file stream."""
-    base = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = streams.folder(spark, "stream")
     schema = table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder).select("user_id", "event_type")
     return streams.run_available(streams.unique_rows(stream, ["user_id", "event_type"]), f"{base}/out", f"{base}/state")

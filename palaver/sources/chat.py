@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -34,13 +34,21 @@ def decoded(content: pd.Series) -> pd.Series:
 
 
 def files(spark: SparkSession, paths) -> DataFrame:
-    """`source_file`, `text`: UTF-8 is decoded in the JVM, other encodings in a vectorised function."""
+    """`source_file`, `text`, `rank` (place in the order of paths), an error where no file matches.
+
+    UTF-8 is decoded in the JVM, other encodings in a vectorised function.
+    """
     raw = spark.read.format("binaryFile").load(paths)
-    fast = F.regexp_replace(F.decode("content", "utf-8"), "^﻿", "")
+    if raw.select("path").isEmpty():
+        raise ValueError(f"no file matches {paths}")
+    fast = F.regexp_replace(F.decode("content", "utf-8"), "^\ufeff", "")
     valid = F.is_valid_utf8(F.col("content").cast("string"))
+    order = F.row_number().over(Window.orderBy("path")) - 1  # one row a file, without its content
+    ranks = raw.select("path").withColumn("rank", order.cast("bigint"))
     name = F.element_at(F.split("path", "/"), -1).alias("source_file")
-    rows = raw.select(name, "content", valid.alias("_valid"))
-    return rows.where("_valid").select("source_file", fast.alias("text")).union(rows.where("not _valid").select("source_file", decoded("content").alias("text")))
+    rows = raw.select("path", name, "content", valid.alias("_valid"))
+    texts = rows.where("_valid").select("path", "source_file", fast.alias("text")).union(rows.where("not _valid").select("path", "source_file", decoded("content").alias("text")))
+    return texts.join(ranks, "path").select("source_file", "text", "rank")
 
 
 def lines(texts: DataFrame) -> DataFrame:
@@ -93,7 +101,7 @@ def snapshots(texts: DataFrame) -> DataFrame:
     return out.withColumn("uid", T.message_uid(F.col("day"), T.to_24h(F.col("ampm"), F.col("hm")), F.col("speaker"), F.col("text")))
 
 
-def inline(c) -> DataFrame:
+def inline(c) -> Column:
     """`speaker:text||speaker:text` as an array of structs; an item without a colon is an error."""
     parts = F.transform(F.split(c, r"\|\|"), lambda x: F.split(x, ":", 2))
     return F.transform(parts, lambda p: F.struct(T.strip(p[0]).alias("speaker"), T.strip(F.when(F.size(p) == 2, F.get(p, 1)).otherwise(F.raise_error(F.lit("no colon")))).alias("text")))

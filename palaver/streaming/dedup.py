@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import random
+import tempfile
+import uuid
 from collections import deque
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -78,12 +80,32 @@ def fallback_rate(df: DataFrame, group: str, *, threshold: float = 0.5, target:
     return df.select(F.col(group).cast("string").alias(group), F.col("seq").cast("bigint").alias("seq"), F.col("confidence").cast("double").alias("confidence")).groupBy(group).applyInPandas(run, f"{group} string, seq bigint, fallback boolean")
 
 
-def poll(snapshots: Iterator[DataFrame], handle, stop) -> int:
-    """Calls `handle` with each snapshot until `stop()`; the number handled."""
-    n = 0
-    for snapshot in snapshots:
-        if stop():
-            break
-        handle(snapshot)
-        n += 1
-    return n
+def folder(spark, name: str) -> str:
+    """A new folder below `spark.checkpoint.dir`, deleted when the driver ends; a local one only where driver and executors are one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    path = f"{(named or tempfile.mkdtemp(prefix='shared-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
+def poll(stream: DataFrame, handle, checkpoint: str, every: float = 5.0, stop=lambda: False, tries: int = 3) -> int:
+    """Runs `handle` on each batch of the stream until `stop()`; a batch that fails is logged and tried again with the query.
+
+    The number of batches handled.  `every` is in seconds, 0.3 at least.
+    """
+    done, failed = [], 0
+    while True:
+        query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=f"{max(300, int(every * 1000))} milliseconds")
+        query = query.foreachBatch(lambda rows, number: (handle(rows, number), done.append(number))[0]).start()
+        while query.isActive and not stop():
+            query.awaitTermination(0.2)
+        if query.exception() is None or failed == tries:
+            query.stop()
+            return len(done)
+        failed += 1
+        logging.getLogger(__name__).warning("a batch failed: %s", query.exception())
