@@ -20,9 +20,8 @@ def speaker_tokens(df: DataFrame) -> DataFrame:
 
 def byte_ids(text, offset: int) -> Column:
     """Ids of a text's bytes."""
-    one = lambda h, i: F.conv(h.substr(2 * i + 1, F.lit(2)), 16, 10).cast("int") + offset
-    ids = lambda h: F.transform(F.sequence(F.lit(0), F.shiftright(F.length(h), 1) - 1), lambda i: one(h, i))
-    return T.let(F.hex(F.encode(T.text_of(text), "utf-8")), lambda h: F.when(h == "", F.array().cast("array<int>")).otherwise(ids(h)))
+    pairs = F.regexp_extract_all(F.hex(F.encode(T.text_of(text), "utf-8")), F.lit(".."), 0)
+    return F.transform(pairs, lambda x: F.conv(x, 16, 10).cast("int") + offset)
 
 
 def row_counts(text) -> tuple[Column, Column]:
