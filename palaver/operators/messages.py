@@ -37,20 +37,34 @@ def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("seq"))).where("_n = 1").drop("_n")
 
 
-def _order(*more) -> Window:
-    return Window.partitionBy("source_file", *more).orderBy("ts", "seq")
+def minutes_between(before: Column, after: Column) -> Column:
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    return (micros(after) - micros(before)) / F.lit(60_000_000.0)
 
 
-def minutes_since_last(order) -> Column:
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    return (micros(F.col("ts")) - micros(F.lag("ts").over(order))) / F.lit(60_000_000.0)
+def _starts_so_far(df: DataFrame, starts, into: str) -> DataFrame:
+    """`into`: how many rows of the file, up to this one in order, start something: `starts(last, own)` of the row before and the row.
+
+    `last` is null for a file's first row.  Files are dealt by days, so a large file is many tasks' work; across days only a
+    row a file and day is read in order.  The key is a struct, which compares equal where a part is null.
+    """
+    own = F.struct("ts", *(c for c in ("speaker",) if c in df.columns))
+    within = Window.partitionBy("_day").orderBy("ts", "seq")
+    rows = df.withColumn("_day", F.struct("source_file", F.to_date("ts").alias("day"))).withColumn("_own", own).withColumn("_last", F.lag("_own").over(within))
+    rows = rows.withColumn("_new", F.when(F.col("_last").isNull(), 0).otherwise(starts(F.col("_last"), F.col("_own")).cast("int")))
+    rows = rows.withColumn("_so_far", F.sum("_new").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    place = F.struct("ts", "seq")
+    days = rows.groupBy("_day").agg(F.min_by("_own", place).alias("_first"), F.max_by("_own", place).alias("_end"), F.sum("_new").alias("_n"))
+    across = Window.partitionBy("_day.source_file").orderBy("_day.day")
+    days = days.withColumn("_lead", starts(F.lag("_end").over(across), F.col("_first")).cast("int"))
+    before = F.sum(F.col("_n") + F.col("_lead")).over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    return rows.join(days.select("_day", before.alias("_before")), "_day").withColumn(into, F.col("_before") + F.col("_so_far")).drop("_day", "_own", "_last", "_new", "_so_far", "_before")
 
 
 def merge(df: DataFrame, gap: float = 2.0, longest: int = 320) -> DataFrame:
     """Neighbouring messages of one speaker as one while gaps and length allow; it has the last one's time."""
-    order = _order()
-    change = F.coalesce((F.lag("speaker").over(order) != F.col("speaker")) | (minutes_since_last(order) > gap), F.lit(True))
-    runs = df.withColumn("_new", change.cast("int")).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    change = lambda last, own: F.coalesce((last["speaker"] != own["speaker"]) | (minutes_between(last["ts"], own["ts"]) > gap), F.lit(True))
+    runs = _starts_so_far(df, change, "_run")
     packed = runs.groupBy("source_file", "speaker", "_run").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "text"))).alias("all"))
     kind = "array<struct<ts:timestamp_ntz,seq:bigint,text:string>>"
 
@@ -69,18 +83,40 @@ def merge(df: DataFrame, gap: float = 2.0, longest: int = 320) -> DataFrame:
 
 def sessions(df: DataFrame, gap: float = 180.0) -> DataFrame:
     """With `session_index` from 0: a new session after more than `gap` minutes."""
-    order = _order()
-    new = F.coalesce(minutes_since_last(order) > gap, F.lit(False)).cast("int")
-    return df.withColumn("_new", new).withColumn("session_index", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")).drop("_new")
+    late = lambda last, own: F.coalesce(minutes_between(last["ts"], own["ts"]) > gap, F.lit(False))
+    return _starts_so_far(df, late, "session_index").withColumn("session_index", F.col("session_index").cast("bigint"))
+
+
+def _before(df: DataFrame, part: Column, order: list, weight: Column, into: str) -> DataFrame:
+    """`into`: the sum of `weight` over the rows before this one, by `part` and then `order`; `_total` over all rows.
+
+    Rows are ordered within a part only; across parts one row a part is.
+    """
+    rows = df.withColumn("_part", F.struct(part.alias("of"))).withColumn("_w", weight)
+    past = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").agg(F.sum("_w").alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(past), F.lit(0)).alias("_past"), F.sum("_sum").over(Window.partitionBy()).alias("_total"))
+    own = F.sum("_w").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_own", F.coalesce(own, F.lit(0))).join(parts, "_part")
+    return rows.withColumn(into, F.col("_past") + F.col("_own")).drop("_part", "_w", "_own", "_past")
+
+
+def _cut_by_share(each: DataFrame, share: float, part: Column, order: list) -> DataFrame:
+    """With `split`: the last `share` of the rows is val, one at least; one row alone is val."""
+    placed = _before(each, part, order, F.lit(1).cast("bigint"), "_place")
+    cut = F.least(F.greatest(F.floor(F.col("_total") * F.lit(1.0 - share)), F.lit(1)), F.col("_total") - 1)
+    return placed.withColumn("split", F.when(F.col("_place") < cut, "train").otherwise("val")).drop("_place", "_total")
+
+
+def _each_session(df: DataFrame) -> DataFrame:
+    return df.groupBy("source_file", "session_index").agg(F.min("ts").alias("start_ts"), F.count(F.lit(1)).alias("n_messages"))
 
 
 def session_split(df: DataFrame, share: float = 0.02) -> DataFrame:
-    """Sessions in order of time with their `split`: the last `share` of them is val, one at least."""
-    each = df.groupBy("source_file", "session_index").agg(F.min("ts").alias("start_ts"), F.count(F.lit(1)).alias("n_messages"))
-    order = Window.orderBy("start_ts", "source_file", "session_index")  # one row a session
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    cut = F.least(F.greatest(F.floor(n * F.lit(1.0 - share)), F.lit(1)), n - 1)
-    return each.withColumn("split", F.when(F.row_number().over(order) <= cut, "train").otherwise("val"))
+    """Sessions in order of time with their `split`: the last `share` of them is val, one at least.
+
+    They are ordered within the hour of their start; a file starts one session an hour at most where its gap is an hour or more.
+    """
+    return _cut_by_share(_each_session(df), share, F.date_trunc("hour", "start_ts"), ["start_ts", "source_file", "session_index"])
 
 
 def single_split(df: DataFrame, keys: list[str], share: float = 0.02) -> DataFrame:
@@ -92,12 +128,9 @@ def single_split(df: DataFrame, keys: list[str], share: float = 0.02) -> DataFra
 
 
 def shuffled_split(df: DataFrame, share: float = 0.02, seed: int = 42) -> DataFrame:
-    """As `session_split`, with the sessions in the order of a hash of their key and the seed."""
-    each = df.groupBy("source_file", "session_index").agg(F.min("ts").alias("start_ts"), F.count(F.lit(1)).alias("n_messages"))
-    order = Window.orderBy(F.xxhash64("source_file", "session_index", F.lit(seed)), "source_file", "session_index")  # one row a session
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    cut = F.least(F.greatest(F.floor(n * F.lit(1.0 - share)), F.lit(1)), n - 1)
-    return each.withColumn("split", F.when(F.row_number().over(order) <= cut, "train").otherwise("val"))
+    """As `session_split`, with the sessions in the order of a hash of their key and the seed, 65,536 parts of it."""
+    key = F.xxhash64("source_file", "session_index", F.lit(seed))
+    return _cut_by_share(_each_session(df), share, F.shiftright(key, 48), [key, "source_file", "session_index"])
 
 
 def contexts(df: DataFrame, keys: list[str], *, turns: int = 8, least: int = 2, stride: int = 1, shortest: int = 2) -> DataFrame:
@@ -134,10 +167,10 @@ def counted_to_cap(df: DataFrame, order: list[str], most: int) -> DataFrame:
 def flat_order(df: DataFrame) -> DataFrame:
     """`place` of every message in the flat corpus: sessions by start, file and index, each in its own order.
 
-    Only one row a session is numbered across sessions.
+    Across sessions, one row a session is placed within the hour of its start, and one row an hour.
     """
-    each = df.groupBy("source_file", "session_index").agg(F.min("ts").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    order = Window.orderBy("_start", "source_file", "session_index").rowsBetween(Window.unboundedPreceding, -1)  # one row a session
-    before = each.select("source_file", "session_index", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    own = F.row_number().over(_order("session_index")) - 1
-    return df.withColumn("_own", own).join(before, ["source_file", "session_index"]).withColumn("place", F.col("_before") + F.col("_own")).drop("_own", "_before")
+    order = ["start_ts", "source_file", "session_index"]
+    before = _before(_each_session(df), F.date_trunc("hour", "start_ts"), order, F.col("n_messages"), "_first").select(F.struct("source_file", "session_index").alias("_key"), "_first")
+    rows = df.withColumn("_key", F.struct("source_file", "session_index"))
+    own = F.row_number().over(Window.partitionBy("_key").orderBy("ts", "seq")) - 1
+    return rows.withColumn("_own", own).join(before, "_key").withColumn("place", F.col("_first") + F.col("_own")).drop("_own", "_first", "_key")
