@@ -143,13 +143,14 @@ def contexts(df: DataFrame, keys: list[str], *, turns: int = 8, least: int = 2,
     return out.withColumn("reason", reason)
 
 
-def chunks(df: DataFrame, keys: list[str], *, window: int = 64, stride: int = 16, least: int = 10, shortest: int = 120, longest: int = 2200) -> DataFrame:
-    """Strided windows of a session's messages as one text, with the reason that drops a chunk."""
+def chunks(df: DataFrame, keys: list[str], *, window: int = 64, stride: int = 16, least: int = 10, shortest: int = 120, longest: int = 2200, times: bool = False) -> DataFrame:
+    """Strided windows of a session's messages as one text, with the reason that drops a chunk and, if asked for, its `first_ts` and `last_ts`."""
     item = F.struct("ts", "seq", F.concat("speaker", F.lit(": "), T.one_line("text")).alias("line"))
     packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("all")).where(F.size("all") >= least)
     each = packed.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("all") - 1, F.lit(stride)))).withColumn("part", F.slice("all", F.col("start") + 1, window)).where(F.size("part") >= least)
     text = T.truncate(T.strip(F.array_join(F.transform("part", lambda m: m["line"]), "\n")), longest)
-    return each.select(*keys, "start", F.size("part").alias("message_count"), text.alias("text"), F.when(T.compact_length(text) < shortest, "short_chunk").alias("reason"))
+    span = [F.element_at("part", k)["ts"].alias(name) for k, name in ((1, "first_ts"), (-1, "last_ts")) if times]
+    return each.select(*keys, "start", F.size("part").alias("message_count"), text.alias("text"), F.when(T.compact_length(text) < shortest, "short_chunk").alias("reason"), *span)
 
 
 def capped(df: DataFrame, order: list[str], most: int) -> DataFrame:

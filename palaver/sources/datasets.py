@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_lines(df: DataFrame, path: str, order: list[str], mode: str = "error") -> None:
-    """JSON lines in order: the files' names sort as their rows do, each file is written by its own task."""
-    df.orderBy(*order).write.mode(mode).json(path)
+def write_lines(df: DataFrame, path: str, order: list[str], mode: str = "error", keep: list[str] | None = None) -> None:
+    """JSON lines in order, of the columns to `keep`: the files' names sort as their rows do, each file is written by its own task."""
+    df.orderBy(*order).select(*(keep or df.columns)).write.mode(mode).json(path)
 
 
 def read_lines(spark: SparkSession, path: str, schema) -> DataFrame:
