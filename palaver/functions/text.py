@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The white space that patterns, trimming and length counting share.
 WS = r"[\t\n\x0B\f\r\x1c-\x20\x85\xa0  -     　]"
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Patterns of masks, placeholders and markers.
 URL = r"https?://[^\t\n\x0B\f\r\x1c-\x20\x85\xa0  -     　]+"
 NUMBER = r"(?U)\b\d{3,}\b"
@@ -33,11 +34,11 @@ def text_of(c) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def line_feeds(c: Column) -> Column:
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def mask_urls(c) -> Column:
@@ -50,14 +51,14 @@ def mask_numbers(c) -> Column:
 
 def clean_message(c, urls: bool = True, numbers: bool = False, media: bool = False) -> Column:
     """Line ends, outer space, zero-width spaces and long gaps normalised; masks as asked for."""
-    out = F.regexp_replace(F.regexp_replace(strip(line_feeds(text_of(c))), "​+", ""), r"\n{3,}", "\n\n")
+    out = F.regexp_replace(F.replace(strip(line_feeds(text_of(c))), F.lit("\u200b"), F.lit("")), r"\n{3,}", "\n\n")
     out = mask_urls(out) if urls else out
     out = mask_numbers(out) if numbers else out
     return F.when(out.rlike(MEDIA), "").otherwise(out) if media else out
 
 
 def compact(c) -> Column:
-    return F.regexp_replace(text_of(c), WS, "")
+    return F.translate(text_of(c), WS_CHARS, "")
 
 
 def compact_length(c) -> Column:
@@ -67,7 +68,7 @@ def compact_length(c) -> Column:
 def truncate(c, most: int) -> Column:
     """Cut to `most` code points and right-trimmed, only if longer."""
     t = text_of(c)
-    return F.when(F.length(t) > most, F.regexp_replace(t.substr(1, most), rf"{WS}+$", "")).otherwise(t)
+    return F.when(F.length(t) > most, F.rtrim(t.substr(1, most), F.lit(WS_CHARS))).otherwise(t)
 
 
 def one_line(c) -> Column:
@@ -136,7 +137,7 @@ def is_low(x: Column) -> Column:
 
 def is_summary_artifact(c, least: int = 1) -> Column:
     n = bullets(c)
-    return (n >= max(1, least)) | (text_of(c).rlike(KEYWORD) & (n > 0))
+    return (n >= max(1, least)) | ((n > 0) & text_of(c).rlike(KEYWORD))
 
 
 def looks_like_summary(c) -> Column:

@@ -167,3 +167,17 @@ print("all ran")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     said = subprocess.run([sys.executable, str(tmp_path / "driver.py")], cwd=tmp_path, capture_output=True, text=True, env=env, timeout=300)
     assert "all ran" in said.stdout, said.stderr[-2000:]
+
+
+def test_white_space_of_patterns_and_trims(spark):
+    same = [c for c in map(chr, range(0x10000)) if not 0xD800 <= ord(c) < 0xE000]
+    assert {c for c in same if re.match(T.WS, c)} == set(T.WS_CHARS)
+    texts = ["", " ", "　a b\x85", "\r\n\r\ra\r", "a​​ b\x0b", "\xa0 x ", "a\x1c\n", None, "x" * 9 + " \t" * 9 + "y", "a\n\n\n\n​\nb"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.orderBy("i").select(T.strip(T.text_of("t")), T.line_feeds(T.text_of("t")), T.compact("t"), T.truncate("t", 12), T.clean_message("t")).collect()
+    for text, row in zip(texts, got):
+        text = text or ""
+        feeds = re.sub("\r\n?", "\n", text)
+        cut = text[:12].rstrip(T.WS_CHARS) if len(text) > 12 else text
+        cleaned = re.sub("\n{3,}", "\n\n", feeds.strip(T.WS_CHARS).replace("​", ""))
+        assert list(row) == [text.strip(T.WS_CHARS), feeds, re.sub(T.WS, "", text), cut, cleaned]
