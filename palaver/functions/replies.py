@@ -85,3 +85,12 @@ def echoes(text, last, similarity: float = 0.9) -> Column:
     same = long & ((own == prev) | ((size >= 12) & (prev.contains(own) | own.contains(prev))))
     open_ = long & ~same & (F.lit(2.0) * F.least(size, other) / (size + other) >= F.lit(similarity))
     return F.coalesce(same, F.lit(False)) | _alike(F.when(open_, own), F.when(open_, prev), F.lit(similarity))
+
+
+def fallback_text(key, texts) -> Column:
+    """One of the `texts`, drawn evenly by a digest of the key, so that a task run again draws the same; null if there are none."""
+    texts = list(texts)
+    if not texts:
+        return F.lit(None).cast("string")
+    drawn = F.conv(F.substring(F.sha2(T.text_of(key), 256), 1, 8), 16, 10).cast("bigint")
+    return F.element_at(F.array(*map(F.lit, texts)), (drawn % len(texts) + 1).cast("int"))

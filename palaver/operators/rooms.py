@@ -92,3 +92,25 @@ def expired(df: DataFrame, keys: list[str], order: str, keep: int) -> DataFrame:
     """Rows past the newest `keep` of their group."""
     k = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
     return df.withColumn("_k", k).where(F.col("_k") > keep).drop("_k")
+
+
+def seeds(df: DataFrame, room: str, order: str, speaker: str, *, last: int = 20, ignore: tuple[str, ...] = (), bot: str = "", reply: bool = True) -> DataFrame:
+    """The last rows of each room as a bridge starts with them, with `slot`: reply for the newest that neither the bot nor an ignored speaker wrote, else bot or user.
+
+    Ignored speakers count among the last rows, but aren't returned; without `reply` no row is a reply.
+    """
+    name = F.coalesce(F.col(speaker), F.lit(""))
+    own, silent = (name == bot) & F.lit(bool(bot)), name.isin(*ignore) if ignore else F.lit(False)
+    rows = df.withColumn("_back", F.row_number().over(Window.partitionBy(room).orderBy(F.desc(order)))).where(F.col("_back") <= last)
+    asks = F.when(~own & ~silent, F.col("_back"))
+    first = F.min(asks).over(Window.partitionBy(room))
+    slot = F.when(F.lit(reply) & (asks == first), "reply").when(own, "bot").otherwise("user")
+    return rows.withColumn("slot", slot).where(~silent).drop("_back")
+
+
+def run_to_serve(runs: DataFrame, group: str, wanted: Column) -> DataFrame:
+    """One of the runs (`run`, `modified`, `adapter`) of each group that have an adapter: the wanted one, else the one of its first stage, else the newest."""
+    first = F.when(~F.endswith(wanted, F.lit("_cpt")), F.concat(wanted, F.lit("_cpt")))
+    choice = F.when(F.col("run") == wanted, 2).when(F.col("run") == first, 1).otherwise(0)
+    usable = runs.where(F.coalesce("adapter", F.lit("")) != "")
+    return usable.groupBy(group).agg(F.max_by(F.struct("run", "adapter"), F.struct(choice, "modified", "run")).alias("_r")).select(group, "_r.run", "_r.adapter")

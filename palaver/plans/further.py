@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from palaver.functions import replies
 from palaver.functions import text as T
 from palaver.functions import turns
-from palaver.operators import dialogue, manifest, messages, tokens, vocabulary
+from palaver.operators import dialogue, manifest, messages, rooms, tokens, vocabulary
 from palaver.plans.more import VOCABULARY
 from palaver.plans.registry import CONTEXT, DROPS, SESSIONS, W, _contexts, compact_sql, cv, ev, ln, one_line_sql, query, strip_sql, table
 from palaver.sources import chat
@@ -151,3 +152,31 @@ def stream_new_messages(spark, folder):
     rows = stream.select(room.alias("room"), F.col("event_id").alias("seq"), F.concat_ws("/", "event_type", "user_id").alias("uid"), at.alias("at"), (F.col("event_type") == "view").alias("wants_reply"))
     found = streams.run_available(bridge.actions(rows, most=1 << 20), f"{base}/out", f"{base}/state")
     return found.groupBy("room").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH b AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events),
+l AS (SELECT *, min(CASE WHEN event_type NOT IN ('click', 'error') THEN back END) OVER (PARTITION BY user_id) AS ask FROM b WHERE back <= 6)
+SELECT user_id, event_id, CASE WHEN back = ask THEN 'reply' WHEN event_type = 'click' THEN 'bot' ELSE 'user' END AS slot FROM l WHERE event_type <> 'error'""")
+def seed_messages(spark, folder):
+    """The last six events of every user as a bridge starts with them; clicks stand for the bot, errors for an ignored speaker."""
+    rows = rooms.seeds(table(spark, folder, "events"), "user_id", "event_id", "event_type", last=6, ignore=("error",), bot="click")
+    return rows.select("user_id", "event_id", "slot")
+
+
+@query("""WITH r AS (SELECT source, 'run' || (doc_id % 9) || CASE WHEN doc_id % 2 = 0 THEN '_cpt' ELSE '' END AS run, doc_id AS modified, CASE WHEN doc_id % 5 > 0 THEN 'adapter' || doc_id END AS adapter FROM documents),
+k AS (SELECT *, 'run' || (length(source) % 12) AS wanted FROM r WHERE adapter IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN run = wanted THEN 2 WHEN run = wanted || '_cpt' THEN 1 ELSE 0 END DESC, modified DESC) AS k FROM k)
+SELECT source, run, adapter FROM n WHERE k = 1""")
+def run_to_serve(spark, folder):
+    """The run that each source would be served by: the wanted one, its first stage, or the newest."""
+    end = F.when(F.col("doc_id") % 2 == 0, "_cpt").otherwise("")
+    runs = table(spark, folder, "documents").select(
+        "source", F.concat(F.lit("run"), F.col("doc_id") % 9, end).alias("run"), F.col("doc_id").alias("modified"),
+        F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("adapter"), "doc_id")).alias("adapter"),
+    )
+    return rooms.run_to_serve(runs, "source", F.concat(F.lit("run"), F.length("source") % 12))
+
+
+@query("SELECT conv_id, turn, ['yes', 'no', 'later'][1 + CAST('0x' || substr(sha256(coalesce(text, '')), 1, 8) AS BIGINT) % 3] AS reply FROM conversations")
+def fallback_texts(spark, folder):
+    return table(spark, folder, "conversations").select("conv_id", "turn", replies.fallback_text("text", ("yes", "no", "later")).alias("reply"))

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from palaver.functions import text as T
-from palaver.functions import turns
-from palaver.operators import messages
+from palaver.functions import replies, turns
+from palaver.operators import messages, rooms
 from palaver.plans import config
 from palaver.sources import chat
 from palaver.streaming import bridge
@@ -181,3 +181,21 @@ def test_white_space_of_patterns_and_trims(spark):
         cut = text[:12].rstrip(T.WS_CHARS) if len(text) > 12 else text
         cleaned = re.sub("\n{3,}", "\n\n", feeds.strip(T.WS_CHARS).replace("​", ""))
         assert list(row) == [text.strip(T.WS_CHARS), feeds, re.sub(T.WS, "", text), cut, cleaned]
+
+
+def test_seeds_and_runs(spark):
+    rows = spark.createDataFrame([("r", i, s) for i, s in enumerate(["a", "b", "bot", "x", "bot", "x"])] + [("s", 0, "bot"), ("s", 1, None)], "room string, seq int, who string")
+    slots = lambda **k: {(r.room, r.seq): r.slot for r in rooms.seeds(rows, "room", "seq", "who", ignore=("x",), bot="bot", **k).collect()}
+    assert slots(last=5) == {("r", 1): "reply", ("r", 2): "bot", ("r", 4): "bot", ("s", 0): "bot", ("s", 1): "reply"}
+    assert slots(last=1) == {("s", 1): "reply"} and slots(last=0) == {}
+    assert set(slots(reply=False).values()) == {"user", "bot"}
+    runs = spark.createDataFrame([("g", "a", 1, "p"), ("g", "b_cpt", 2, "q"), ("g", "b", 3, None), ("g", "c", 4, "s"), ("g", "d", 9, "")], "g string, run string, modified int, adapter string")
+    served = lambda name: rooms.run_to_serve(runs, "g", F.lit(name)).first().run
+    assert [served(n) for n in ("a", "b", "b_cpt", "none")] == ["a", "b_cpt", "b_cpt", "c"]
+
+
+def test_fallback_text(spark):
+    df = spark.range(3000).select(replies.fallback_text(F.col("id").cast("string"), ("x", "y", "z")).alias("t"), replies.fallback_text("id", ()).alias("none"))
+    counts = {r.t: r["count"] for r in df.groupBy("t").count().collect()}
+    assert set(counts) == {"x", "y", "z"} and min(counts.values()) > 850
+    assert df.where("none is not null").count() == 0
