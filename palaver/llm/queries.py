@@ -90,4 +90,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin, op10_packing)}
+def op13_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from palaver.llm import idfiles
+
+    path = f"{new_folder(spark, 'ids')}/parts"
+    idfiles.write(idfiles.encode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")), path)
+    return idfiles.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin,
+        op10_packing, op13_token_ids,
+    )
+}
