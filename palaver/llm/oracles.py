@@ -62,4 +62,23 @@ reach(doc_id, other) AS (SELECT a, a FROM edges UNION SELECT reach.doc_id, edges
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1) r USING (doc_id)"""
 
-ORACLE: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op5_secrets": SECRETS, "op7_warc": WARC, "op9_setjoin": SETJOIN}
+PHRASES = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({FOLD.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k AS words, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM w, unnest(range(1, 5)) AS s(k), unnest(range(1, greatest(len(w) - k + 2, 1))) AS u(i)),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS head,
+  array_to_string(list_slice(string_split(phrase, ' '), k + 1, words), ' ') AS rest FROM f, unnest(range(1, words)) AS u(k)),
+scored AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * a // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ones AS (SELECT lang, f, array_to_string(list_slice(string_split(phrase, ' '), i, i + k - 1), ' ') AS phrase
+  FROM f, unnest(range(2, words)) AS s(k), unnest(range(1, words - k + 2)) AS u(i)),
+longer AS (SELECT lang, phrase, max(f) AS longest FROM inner_ones GROUP BY 1, 2),
+kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE NOT coalesce(100::HUGEINT * longest >= 80::HUGEINT * a, false))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+ORACLE: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op5_secrets": SECRETS, "op7_warc": WARC, "op9_setjoin": SETJOIN, "op12_phrases": PHRASES}

@@ -90,6 +90,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    from palaver.llm import phrases
+
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op13_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -103,6 +109,6 @@ def op13_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin,
-        op10_packing, op13_token_ids,
+        op10_packing, op12_phrases, op13_token_ids,
     )
 }
