@@ -38,7 +38,7 @@ from pyspark.sql.datasource import (
     LessThan, LessThanOrEqual, WriterCommitMessage,
 )
 
-from palaver.llm.common import Shared, partitions
+from palaver.llm.common import partitions
 from palaver.llm.packing import CLOSING, Encoder, vocabulary
 from palaver.sources.files import commit_list, file_system, read_list
 
@@ -190,19 +190,27 @@ class Wrote(WriterCommitMessage):
 class IdWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.path, self.width = options["path"], int(options.get("width", 2))
-        self.part_bytes = int(options.get("partbytes", PART_BYTES))
+        self.part_bytes, self.closing = int(options.get("partbytes", PART_BYTES)), int(options.get("closing", CLOSING))
+        # read on the driver; executors need no copy of the file
+        self.vocabulary = vocabulary(options["vocabulary"]) if "vocabulary" in options else None
+
+    def _rows(self, iterator):
+        encoder = Encoder(*self.vocabulary) if self.vocabulary else None
+        for batch in iterator:
+            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text" if encoder else "ids"), strict=True):
+                ids = np.array([*encoder(value.as_py() or ""), self.closing], "<u4") if encoder else np.frombuffer(value.as_buffer(), "<u4")
+                yield key, ids
 
     def write(self, iterator):
         files, path = file_system(self.path)
         files.create_dir(path, recursive=True)
         part, done = None, []
-        for batch in iterator:
-            for key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                part = part or Part(files, path, self.width)
-                part.add(key, np.frombuffer(ids.as_buffer(), "<u4"))
-                if part.n_ids * self.width >= self.part_bytes:
-                    done.append(part.close())
-                    part = None
+        for key, ids in self._rows(iterator):
+            part = part or Part(files, path, self.width)
+            part.add(key, ids)
+            if part.n_ids * self.width >= self.part_bytes:
+                done.append(part.close())
+                part = None
         return Wrote([*done, *([part.close()] if part else [])])
 
     def commit(self, messages):
@@ -289,7 +297,7 @@ class IdReader(DataSourceReader):
 
 
 class IdDataSource(DataSource):
-    """`spark.read.format("token_ids")` and `df.write.format("token_ids")`, of rows (doc_id, ids)."""
+    """`spark.read.format("token_ids")` and `df.write.format("token_ids")`, of rows (doc_id, ids), or (doc_id, text) with the option vocabulary."""
 
     @classmethod
     def name(cls):
@@ -312,30 +320,18 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", closing: int = CLOSING) -> DataFrame:
-    """`doc_id` and `ids`, little-endian unsigned numbers of 32 bits, in ascending order of id over the partitions."""
-    shared = Shared(docs.sparkSession, vocabulary(path))
+def write(rows: DataFrame, folder: str, width: int = 2, part_bytes: int = PART_BYTES, **options) -> None:
+    """Writes rows (doc_id, ids) that are sorted over the partitions; `width` is 2 for vocabularies of up to 65,536 ids, else 4."""
+    register(rows.sparkSession)
+    rows.write.format("token_ids").options(width=width, partbytes=part_bytes, **options).mode("overwrite").save(folder)
+
+
+def write_texts(docs: DataFrame, path: str, folder: str, *, id_col: str = "doc_id", text_col: str = "text", closing: int = CLOSING, **options) -> None:
+    """Writes the ids of whole texts by the vocabulary file at `path`, each text's followed by `closing`."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     # a hot id is spread by its texts' hashes
     laid = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange(partitions(docs.sparkSession), "doc_id", "_hash")
-    laid = laid.sortWithinPartitions("doc_id", "_hash").select("doc_id", "text")
-
-    def run(batches):
-        encoder = None
-        for batch in batches:
-            encoder = encoder or Encoder(*shared.value)
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                ids = [np.array([*encoder(t.as_py() or ""), closing], "<u4").tobytes() for t in some.column(1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    return laid.mapInArrow(run, "doc_id bigint, ids binary")
-
-
-def write(ids: DataFrame, folder: str, width: int = 2, part_bytes: int = PART_BYTES) -> None:
-    """Writes the rows of `encode`; `width` is 2 for vocabularies of up to 65,536 ids, else 4."""
-    register(ids.sparkSession)
-    ids.write.format("token_ids").option("width", width).option("partbytes", part_bytes).mode("overwrite").save(folder)
+    write(laid.sortWithinPartitions("doc_id", "_hash").select("doc_id", "text"), folder, vocabulary=path, closing=closing, **options)
 
 
 def read(spark: SparkSession, folder: str, ids: bool = True, split: int = SPLIT) -> DataFrame:

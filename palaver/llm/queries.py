@@ -102,7 +102,7 @@ def op13_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import idfiles
 
     path = f"{new_folder(spark, 'ids')}/parts"
-    idfiles.write(idfiles.encode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")), path)
+    idfiles.write_texts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return idfiles.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
