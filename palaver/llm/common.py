@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -46,6 +47,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def settings(session, values: dict):
+    """Settings that hold inside, and are as before afterwards."""
+    before = {k: session.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        session.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            session.conf.unset(k) if v is None else session.conf.set(k, v)
+
+
 class Scratch:
     """Tables written as Parquet under the shared folder, deleted by `drop`."""
 

@@ -62,6 +62,19 @@ reach(doc_id, other) AS (SELECT a, a FROM edges UNION SELECT reach.doc_id, edges
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1) r USING (doc_id)"""
 
+NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS same, CAST(list_inner_product(a.q, e.q) AS BIGINT) AS score
+  FROM e a JOIN e ON a.vec_id % 50 = 0 AND a.vec_id <> e.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
 PHRASES = f"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({FOLD.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
@@ -81,4 +94,4 @@ kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE NOT
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
 
-ORACLE: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op5_secrets": SECRETS, "op7_warc": WARC, "op9_setjoin": SETJOIN, "op12_phrases": PHRASES}
+ORACLE: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op5_secrets": SECRETS, "op7_warc": WARC, "op9_setjoin": SETJOIN, "op11_negatives": NEGATIVES, "op12_phrases": PHRASES}

@@ -90,6 +90,13 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from palaver.llm import negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label_col=label)
+
+
 def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
     from palaver.llm import phrases
 
@@ -109,6 +116,6 @@ def op13_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_language, op3_toxicity, op4_fingerprints, op5_secrets, op6_quality, op7_warc, op8_sharding, op9_setjoin,
-        op10_packing, op12_phrases, op13_token_ids,
+        op10_packing, op11_negatives, op12_phrases, op13_token_ids,
     )
 }
