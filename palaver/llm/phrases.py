@@ -34,7 +34,9 @@ from palaver.llm.kernel import Q, mix, string_bytes
 
 LEAST, MOST, LONGEST = 30, 2000, 4
 #: Bytes of text that a task counts at a time, bits of the filter and its segments, what duckdb may hold.
-CHUNK_BYTES, FILTER_BITS, SEGMENTS, MEMORY = 12 << 20, 1 << 28, 256, "400MB"
+CHUNK_BYTES, FILTER_BITS, SEGMENTS, MEMORY = 6 << 20, 1 << 27, 256, "200MB"
+#: Sums that a task keeps until they are summed again and, if they are still more than half as many, handed on.
+HELD = 1 << 21
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", "abcdefghijklmnopqrstuvwxyz "
 END = "[.,;:!?\\x0A-\\x0D]"
 
@@ -74,12 +76,12 @@ class Chunk:
         langs = table["lang"].combine_chunks().dictionary_encode()
         self.texts, self.langs = coded.dictionary, langs.dictionary
         first = np.searchsorted(starts, off)
-        self.piece = np.repeat(np.arange(table.num_rows), np.diff(first))
-        self.lang = langs.indices.to_numpy()[self.piece].astype(np.int64)
-        self.text = coded.indices.to_numpy().astype(np.int64)
+        self.piece = np.repeat(np.arange(table.num_rows, dtype=np.int32), np.diff(first))
+        self.lang = langs.indices.to_numpy()[self.piece]
+        self.text = coded.indices.to_numpy()
         self.weight = table["weight"].to_numpy()[self.piece]
         self.range = max(1, len(self.texts) * len(self.langs))
-        self.word = self.lang * len(self.texts) + self.text
+        self.word = self.lang.astype(np.int64) * len(self.texts) + self.text
         self.pair = self.piece[1:] == self.piece[:-1]
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +118,7 @@ def duck(rows: pa.RecordBatchReader, query: str, schema: pa.Schema):
     try:
         with duckdb.connect(config={"memory_limit": MEMORY, "threads": 1, "temp_directory": folder, "preserve_insertion_order": False}) as con:
             con.register("rows", rows)
-            for batch in con.execute(query).to_arrow_reader(1 << 16):
+            for batch in con.sql(query).to_arrow_reader(1 << 16):
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, schema, strict=True)], schema=schema)
     finally:
         shutil.rmtree(folder, ignore_errors=True)
@@ -208,36 +210,54 @@ def counts(rows: DataFrame, least: int, passes: Filter) -> DataFrame:
     shared = Shared(rows.sparkSession, passes)
     schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
+    def found(c: Chunk):
+        """Tables of the sums of a chunk's phrases that may be frequent, and of all its words."""
+        one, two = (shared.value(h) for h in c.hashes())
+        two &= c.pair & one[:-1] & one[1:]
+        n = max(1, len(c.texts))
+
+        def made(words, sums):
+            lang = c.langs.take(pa.array(words[0] // n)).cast(pa.string())
+            return pa.Table.from_arrays([lang, pa.array(np.full(len(sums), len(words), np.int32)), c.phrase(words).cast(pa.string()), pa.array(sums)], schema=schema)
+
+        lang, every = summed(c.lang, c.weight)
+        none = [pa.array(np.zeros(len(lang), np.int32)), pa.array([""] * len(lang), pa.string())]
+        yield pa.Table.from_arrays([c.langs.take(pa.array(lang)).cast(pa.string()), *none, pa.array(every)], schema=schema)
+        keys, sums = summed(c.word[one], c.weight[one])
+        yield made([keys], sums)
+        at = np.flatnonzero(two)
+        pairs, which = np.unique(c.word[at] * c.range + c.word[at + 1], return_inverse=True)
+        first, second = pairs // c.range, pairs % c.range
+        own = np.full(len(c.word) + 2, -1)
+        own[at] = which
+        yield made([first, second], summed(which, c.weight[at])[1])
+        at = at[own[at + 1] >= 0]
+        keys, sums = summed(own[at] * c.range + c.word[at + 2], c.weight[at])
+        yield made([first[keys // c.range], second[keys // c.range], keys % c.range], sums)
+        at = at[own[at + 2] >= 0]
+        keys, sums = summed(own[at] * len(pairs) + own[at + 2], c.weight[at])
+        a, b = (keys // len(pairs), keys % len(pairs)) if len(pairs) else (keys, keys)
+        yield made([first[a], second[a], first[b], second[b]], sums)
+
     def met(batches):
-        held = shared.value
+        held, size = [], 0
+
+        def again():
+            sums = pa.concat_tables(held).group_by(["lang", "words", "phrase"]).aggregate([("f", "sum")])
+            return sums.select(["lang", "words", "phrase", "f_sum"]).rename_columns(schema.names)
+
         for c in chunks(batches):
-            one, two = (held(h) for h in c.hashes())
-            two &= c.pair & one[:-1] & one[1:]
-            n = max(1, len(c.texts))
-
-            def made(words, sums, c=c, n=n):
-                lang = c.langs.take(pa.array(words[0] // n)).cast(pa.string())
-                phrase = c.phrase(words).cast(pa.string())
-                yield from pa.Table.from_arrays([lang, pa.array(np.full(len(sums), len(words), np.int32)), phrase, pa.array(sums)], schema=schema).to_batches(1 << 16)
-
-            lang, every = summed(c.lang, c.weight)
-            none = [pa.array(np.zeros(len(lang), np.int32)), pa.array([""] * len(lang), pa.string())]
-            yield pa.RecordBatch.from_arrays([c.langs.take(pa.array(lang)).cast(pa.string()), *none, pa.array(every)], schema=schema)
-            keys, sums = summed(c.word[one], c.weight[one])
-            yield from made([keys], sums)
-            at = np.flatnonzero(two)
-            pairs, which = np.unique(c.word[at] * c.range + c.word[at + 1], return_inverse=True)
-            first, second = pairs // c.range, pairs % c.range
-            own = np.full(len(c.word) + 2, -1)
-            own[at] = which
-            yield from made([first, second], summed(which, c.weight[at])[1])
-            at = at[own[at + 1] >= 0]
-            keys, sums = summed(own[at] * c.range + c.word[at + 2], c.weight[at])
-            yield from made([first[keys // c.range], second[keys // c.range], keys % c.range], sums)
-            at = at[own[at + 2] >= 0]
-            keys, sums = summed(own[at] * len(pairs) + own[at + 2], c.weight[at])
-            a, b = (keys // len(pairs), keys % len(pairs)) if len(pairs) else (keys, keys)
-            yield from made([first[a], second[a], first[b], second[b]], sums)
+            for sums in found(c):
+                held.append(sums)
+                size += sums.num_rows
+            if size > HELD:
+                held = [again()]
+                if held[0].num_rows > HELD // 2:
+                    yield from held[0].to_batches(1 << 16)
+                    held = []
+                size = sum(t.num_rows for t in held)
+        if held:
+            yield from again().to_batches(1 << 16)
 
     def whole(batches):
         query = f"SELECT lang, words, phrase, CAST(sum(f) AS BIGINT) FROM rows GROUP BY ALL HAVING sum(f) >= {least} OR words = 0"
