@@ -7,7 +7,8 @@ pseudo-counts.  All of these tables are grouped sums of the text-only posteriors
 takes its own share out of its host's and suffix's sums, so no text is its own evidence.
 
 The trigram models are fitted on at most `sample` texts of each language that a labelled table declares, taken by hash
-of the id; every declared language has a model, however rare it is.  Null and empty texts have no likelihood and follow
+of the id; every declared language has a model, however rare it is, in whatever case it is written; blank codes declare
+nothing, and texts under three bytes add nothing to their language's model.  Null and empty texts have no likelihood and follow
 markup and address; null declarations, hosts and suffixes give no evidence; an empty table has no rows; repeated rows are
 judged one by one, each with the other's evidence for its host; texts of any length are read whole; of languages that are
 equally likely the first by its code is taken.  `evidence` and `fuse` replace columns of the names that they add (`like`,
@@ -28,6 +29,8 @@ from palaver.llm.kernel import LOWER, slices, string_bytes
 
 SPACE, SAMPLE, EVIDENCE = 1 << 15, 400, 60.0
 HOST, SUFFIX, DECLARED = 5.0, 20.0, 1.0
+#: The model takes 128 kB a language; more codes than this, 512 MB, are refused.
+LANGUAGES = 4_096
 #: What isn't prose in a page: comments, scripts, styles, tags, entities.
 OPENING = re.compile(r"<!--|<(script|style)\b|<|&#?\w+;", re.IGNORECASE)
 CLOSING = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE), "<!--": re.compile("-->"), "<": re.compile(">")}
@@ -94,8 +97,12 @@ class Trigrams:
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Trigrams:
     """Trigram models of all declared languages from at most `sample` texts each."""
-    named = labelled.where(F.col(lang_col).isNotNull())
-    languages = sorted(r[0] for r in named.select(lang_col).distinct().collect())
+    # codes as `of_documents` and `of_pages` give them
+    code = F.lower(F.trim(F.col(lang_col)))
+    named = labelled.where(code != "")
+    languages = sorted(r[0] for r in named.select(code).distinct().limit(LANGUAGES + 1).collect())
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} declared languages: the column isn't one of language codes")
     table = np.ones((max(1, len(languages)), SPACE))
 
     def run(batches):
@@ -106,12 +113,12 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 sums[language] = sums.get(language, 0) + np.bincount(grams, minlength=SPACE)
             for language, count in sums.items():
                 used = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays([pa.array([language] * len(used)), pa.array(used, pa.int32()), pa.array(count[used], pa.int64())], names=["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(count[used], pa.int64())], names=["lang", "gram", "n"])
 
     if languages:
         # each task passes on `sample` ids of a language at most
         order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-        chosen = named.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
+        chosen = named.select(F.col(id_col).alias("_id"), code.alias("_lang")).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
         texts = labelled.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen.distinct()), "_id").select("_lang", "_text")
         counted = texts.mapInArrow(run, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
         place = {x: k for k, x in enumerate(languages)}
@@ -237,4 +244,4 @@ def of_pages(pages: DataFrame) -> DataFrame:
 
 def of_documents(docs: DataFrame) -> DataFrame:
     """The same for plain documents: their source stands for the host, their declared language for the markup."""
-    return docs.select("doc_id", F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"), F.lower("lang").alias("declared"), "text")
+    return docs.select("doc_id", F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"), F.when(F.trim("lang") != "", F.lower(F.trim("lang"))).alias("declared"), "text")

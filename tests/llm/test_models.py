@@ -133,6 +133,21 @@ def test_language_evidence_fuses(spark, docs):
     assert empty.count() == 0
 
 
+def test_language_texts_without_trigrams_and_case_of_codes(spark):
+    """Null, empty and two-letter texts as the only ones of their language beside others; one code in two cases; blank codes."""
+    from palaver.llm import langid
+
+    english = [(k, f"the quick brown fox number {k} jumps over the lazy dog", "EN" if k % 2 else "en ") for k in range(40)]
+    rows = [*english, (900, None, "xx"), (901, "ab", "yy"), (902, "", "zz"), (903, "der schnelle braune fuchs", "de"), (904, "no code", ""), (905, "no code", "  "), (906, "none", None)]
+    frame = spark.createDataFrame([(*r, "host") for r in rows], "doc_id bigint, text string, lang string, source string").coalesce(1)
+    model = langid.fit(frame)
+    assert model.languages == ["de", "en", "xx", "yy", "zz"]
+    found = langid.fuse(langid.evidence(langid.of_documents(frame), model, text_col="text", markup=False), model.languages).collect()
+    got = {r.doc_id: r for r in found}
+    assert len(found) == len(rows) and {got[k].declared for k in range(40)} == {"en"} and {got[k].language for k in range(40)} == {"en"}
+    assert [got[k].declared for k in (904, 905, 906)] == [None] * 3 and got[903].text_language == "de"
+
+
 def test_language_of_many_languages(spark):
     from palaver.llm import langid
 
