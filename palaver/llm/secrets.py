@@ -196,16 +196,29 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
     )
 
 
+def _covered(text: str, spans) -> str:
+    """The text with its spans, in order of start, replaced by their kinds; each piece is copied once."""
+    out, upto = [], 0
+    for span in spans:
+        if span["start"] >= upto:
+            out += [text[upto : span["start"]], f"<{span['kind']}>"]
+        upto = max(upto, span["end"])
+    return "".join([*out, text[upto:]])
+
+
 def redact(docs: DataFrame, *, text_col: str = "text", rules=RULES) -> DataFrame:
     """The documents with every secret replaced by its kind in angle brackets; overlapping spans become one."""
-    found = find(docs, text_col=text_col, into="_secrets", rules=rules)
-    text = F.col(text_col)
+    found, names = find(docs, text_col=text_col, into="_secrets", rules=rules), docs.columns
 
-    def step(done, s):
-        start = F.greatest(s["start"], done["upto"])
-        piece = F.concat(done["text"], text.substr((done["upto"] + 1).cast("int"), (start - done["upto"]).cast("int")), F.when(s["start"] >= done["upto"], F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise(F.lit("")))
-        return F.struct(piece.alias("text"), F.greatest(s["end"], done["upto"]).alias("upto"))
-
-    done = F.aggregate("_secrets", F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("upto")), step)
-    clean = F.concat(done["text"], text.substr((done["upto"] + 1).cast("int"), F.length(text)))
-    return found.withColumn(text_col, F.when(F.size("_secrets") > 0, clean).otherwise(text)).select(*docs.columns)
+    def run(batches):
+        for batch in batches:
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            with_any = np.flatnonzero(np.diff(columns["_secrets"].offsets.to_numpy()))
+            if len(with_any):
+                texts = columns[text_col].to_pylist()
+                for k in with_any.tolist():
+                    texts[k] = _covered(texts[k], columns["_secrets"][k].as_py())
+                columns[text_col] = pa.array(texts, columns[text_col].type)
+            yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
+
+    return found.mapInArrow(run, docs.schema)

@@ -489,8 +489,32 @@ def _met(rows: DataFrame, share: int, block: int) -> DataFrame:
 
 
 def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, share: int = 85, frequent: int = FREQUENT, boundary: int | None = None, split: int = SPLIT, block: int = BLOCK, most_bits: int = MOST_BITS) -> DataFrame:
-    """One row a document: the id, `n_shingles` and `component_id`, the smallest id that links reach."""
+    """One row a document: the id, `n_shingles` and `component_id`, the smallest id that links reach.
+
+    Rows that share an id are one document in several texts: what links to one of them links to all.
+    """
+    options = {"n": n, "share": share, "frequent": frequent, "boundary": boundary, "split": split, "block": block, "most_bits": most_bits}
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    repeated = docs.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if repeated.isEmpty():
+        return _linked_rows(docs, **options).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+    # by places in the order of id, so that the smallest place has the smallest id
+    placed = cut(ranked(docs.where("id is not null"), [], ["id"], "_place"))
+    rows = placed.select("_place", "id").join(_linked_rows(placed.select(F.col("_place").alias("id"), "text"), **options).withColumnRenamed("id", "_place"), "_place")
+    rows = cut(rows)
+    first = rows.groupBy("id").agg(F.min("component_id").alias("b"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    same = attach(rows, first, "id", ["b"], rows.count(), F.col("_place")).where("b is not null")
+    joined = components(same.select(F.col("component_id").alias("a"), "b"))
+    ids = placed.select(F.col("_place").alias("component"), F.col("id").alias("component_id"))
+    rows = rows.withColumnRenamed("component_id", "node").join(joined, "node", "left")
+    rows = rows.select("id", "n_shingles", F.coalesce("component", "node").alias("component")).join(ids, "component")
+    rest = docs.where("id is null")
+    found = rows.select("id", "n_shingles", "component_id").union(_linked_rows(rest, **options))
+    return found.withColumnRenamed("id", id_col)
+
+
+def _linked_rows(docs: DataFrame, *, n: int, share: int, frequent: int, boundary: int | None, split: int, block: int, most_bits: int) -> DataFrame:
+    """The same for rows (id, text) whose ids differ, or are null."""
     scratch, session = Scratch(docs.sparkSession), docs.sparkSession
     profile = scratch.store(_profile(docs, n), "profile")
     common, counts, met = frequent_shingles(docs, n, most=frequent)
@@ -532,7 +556,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n:
     scratch.drop()
     found = sizes.join(alias, "id", "left").withColumn("head", F.coalesce("head", "id")).join(known.select(F.col("node").alias("head"), "component"), "head", "left")
     # a component's smallest set head is its smallest document: heads are the smallest ids of their copies
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "head").alias("component_id"))
+    return found.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "head").alias("component_id"))
 
 
 def _ids(pairs: DataFrame) -> DataFrame:

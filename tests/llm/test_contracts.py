@@ -92,6 +92,23 @@ def test_redact(spark):
     assert got == {1: 'é <assign>" end', 2: None, 3: "clean", 4: "<hex>", 5: "<assign>!"}
 
 
+def test_redact_many_secrets_in_one_text(spark):
+    """Linear in the number of secrets: sixteen times as many take far less than 16 squared times as long."""
+    import time
+
+    from palaver.llm import secrets
+
+    took = []
+    for n in (1_000, 16_000):
+        text = "".join(f"word {k} token=abcdefghijkl{k:06d} " for k in range(n))
+        frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        began = time.time()
+        got = secrets.redact(frame).first().text
+        took.append(time.time() - began)
+        assert got.count("<assign>") == n and "abcdefghijkl" not in got and got.startswith("word 0 ")
+    assert took[1] < 30 * max(took[0], 0.5)
+
+
 @pytest.mark.parametrize("which", ["small", "odd", "empty", "clash"])
 def test_fingerprints(spark, docs, which):
     from palaver.llm import fingerprint
@@ -207,6 +224,20 @@ def test_setjoin_blocks_of_a_long_list(spark):
         assert {r[0]: (r[1], r[2]) for r in setjoin.link(frame, **options).collect()} == want
 
 
+def test_setjoin_ids_that_repeat(spark):
+    """An id in several texts is one document: it links what any of its texts links, and no row multiplies."""
+    from palaver.llm import setjoin
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (2, b), (5, a), (5, b), (6, a), (7, c), (7, None), (7, ""), (9, c), (9, c), (11, "alone one two three four"), (None, a), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter(tuple(r) for r in setjoin.link(frame).select("doc_id", "n_shingles", "component_id").collect())
+    n, group = {a: 57, b: 57, c: 57, None: 0, "": 0}, {1: 1, 2: 1, 5: 1, 6: 1, 7: 7, 9: 7, 11: 11, None: None}
+    assert got == Counter((k, n.get(t, 2), group[k]) for k, t in rows)
+    kept = Counter(r.doc_id for r in setjoin.keep_one(frame).collect())
+    assert kept == Counter({1: 1, 7: 3, 11: 1, None: 2})
+
+
 def test_setjoin_boundary_follows_counts():
     from palaver.llm.setjoin import boundary_of, subsets_of
 
