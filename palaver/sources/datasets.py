@@ -1,11 +1,10 @@
-"""Datasets on disk: JSON lines, JSON documents, and binary token and mask files."""
+"""Datasets on disk: JSON lines and JSON documents; token and mask files are in `token_files`."""
 
 from __future__ import annotations
 
 import json
 from pathlib import Path
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,26 +28,3 @@ def write_document(row: DataFrame, path: str) -> None:
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
-
-
-def export_tokens(df: DataFrame, ids: str, mask: str, order: list[str], path: str) -> int:
-    """`path`.ids (16 bits each) and `path`.mask (8 bits) in order, a partition at a time; the number of ids."""
-    total = 0
-    with open(f"{path}.ids", "wb") as a, open(f"{path}.mask", "wb") as b:
-        for one, two in df.orderBy(*order).select(ids, mask).toLocalIterator():
-            if len(one) != len(two):
-                raise ValueError("mask and ids differ in length")
-            a.write(np.array(one, np.uint16).tobytes())
-            b.write(np.array(two, np.uint8).tobytes())
-            total += len(one)
-    return total
-
-
-def import_tokens(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids and mask as mapped arrays; an error if they differ in length."""
-    if not Path(f"{path}.ids").stat().st_size:
-        return np.zeros(0, np.uint16), np.zeros(0, np.uint8)
-    ids, mask = np.memmap(f"{path}.ids", np.uint16, "r"), np.memmap(f"{path}.mask", np.uint8, "r")
-    if len(ids) != len(mask):
-        raise ValueError("mask and ids differ in length")
-    return ids, mask

@@ -78,13 +78,6 @@ def test_rooms(spark):
 
 
 def test_datasets(spark, tmp_path):
-    rows = spark.createDataFrame([(2, [3, 4], [0, 1]), (1, [70], [1])], "k int, ids array<int>, mask array<int>")
-    assert datasets.export_tokens(rows, "ids", "mask", ["k"], str(tmp_path / "t")) == 3
-    ids, mask = datasets.import_tokens(str(tmp_path / "t"))
-    assert ids.tolist() == [70, 3, 4] and mask.tolist() == [1, 0, 1]
-    np.zeros(5, np.uint8).tofile(tmp_path / "t.mask")
-    with pytest.raises(ValueError, match="differ"):
-        datasets.import_tokens(str(tmp_path / "t"))
     datasets.write_document(spark.range(1).selectExpr("id", "'가' AS name"), str(tmp_path / "d.json"))
     assert datasets.read_document(spark, str(tmp_path / "d.json")).first().name == "가"
 

@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from palaver.plans import further, more, registry  # noqa: F401
+from palaver.plans import further, more, registry, scale  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.01"
 
