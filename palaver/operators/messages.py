@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.functions import text as T
+from palaver.operators.ordered import merge  # noqa: F401
 
 
 #: The tests of the cascade, in their order.
@@ -61,26 +62,6 @@ def _starts_so_far(df: DataFrame, starts, into: str) -> DataFrame:
     return rows.join(days.select("_day", before.alias("_before")), "_day").withColumn(into, F.col("_before") + F.col("_so_far")).drop("_day", "_own", "_last", "_new", "_so_far", "_before")
 
 
-def merge(df: DataFrame, gap: float = 2.0, longest: int = 320) -> DataFrame:
-    """Neighbouring messages of one speaker as one while gaps and length allow; it has the last one's time."""
-    change = lambda last, own: F.coalesce((last["speaker"] != own["speaker"]) | (minutes_between(last["ts"], own["ts"]) > gap), F.lit(True))
-    runs = _starts_so_far(df, change, "_run")
-    packed = runs.groupBy("source_file", "speaker", "_run").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "text"))).alias("all"))
-    kind = "array<struct<ts:timestamp_ntz,seq:bigint,text:string>>"
-
-    def step(done, m):
-        last = F.element_at(done, -1)
-        grown = F.struct(m["ts"].alias("ts"), last["seq"].alias("seq"), F.concat(last["text"], F.lit("\n"), m["text"]).alias("text"))
-        fits = (F.size(done) > 0) & (F.length(F.coalesce(F.try_element_at(done, F.lit(-1))["text"], F.lit(""))) + F.length(m["text"]) + 1 <= longest)
-        return F.when(fits, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(done, F.array(m)))
-
-    def safe(done, m):
-        return F.when(F.size(done) == 0, F.array(m)).otherwise(step(done, m))
-
-    folded = packed.withColumn("m", F.explode(F.aggregate("all", F.array().cast(kind), safe)))
-    return folded.select("source_file", F.col("m.seq").alias("seq"), F.col("m.ts").alias("ts"), "speaker", F.col("m.text").alias("text"))
-
-
 def sessions(df: DataFrame, gap: float = 180.0) -> DataFrame:
     """With `session_index` from 0: a new session after more than `gap` minutes."""
     late = lambda last, own: F.coalesce(minutes_between(last["ts"], own["ts"]) > gap, F.lit(False))
