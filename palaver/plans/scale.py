@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from palaver.operators import tokens
 from palaver.plans.registry import digest_of, query, table
-from palaver.sources import token_files
+from palaver.sources import chat, token_files
 from palaver.streaming.dedup import folder as new_folder
 
 
@@ -24,3 +24,39 @@ def token_blocks(spark, folder):
     blocks = token_files.read(spark, path, block=512)
     n_loss = F.aggregate("mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return blocks.select("start", F.size("ids").cast("bigint").alias("n_ids"), n_loss.alias("n_loss"), digest_of("ids").alias("ids"))
+
+
+#: Lines of an export for each kind of event, and the text that a message keeps of them.
+LINES = {
+    "view": (["{time}, u{user} : {props}", "", "goes on"], "{props}\n\ngoes on"),
+    "click": (["{time}, u{user} : {props}", "2024년 1월 1일 월요일", "more"], "{props}\nmore"),
+    "signup": (["{time}, u{user} : {props}", "Saved Date : 2024"], "{props}"),
+    "purchase": (["{time}, u{user} : ", ""], None),
+    "error": (["{time}: u{user} left", "no message is open here"], None),
+}
+SIZES = "CASE event_type " + " ".join(f"WHEN '{kind}' THEN {len(lines)}" for kind, (lines, _) in LINES.items()) + " END"
+KEPT = "CASE event_type " + " ".join(f"WHEN '{kind}' THEN " + (f"replace('{text}', '{{props}}', props)" if text else "NULL") for kind, (_, text) in LINES.items()) + " END"
+
+
+@query(f"""WITH e AS (SELECT *, user_id % 4 AS room, {SIZES} AS n FROM events),
+p AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY room ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS seq FROM e)
+SELECT room, CAST(seq AS BIGINT) AS seq, date_trunc('minute', ts) AS ts, 'u' || user_id AS speaker, {KEPT} AS text FROM p WHERE {KEPT} IS NOT NULL""")
+def parse_ranges(spark, folder):
+    """Events as one export file a room, with system, blank, date and marker lines, parsed by ranges of 8,192 bytes."""
+    events = table(spark, folder, "events").withColumn("room", F.col("user_id") % 4)
+    time = F.date_format("ts", "yyyy. M. d. H:mm")
+
+    def filled(line: str):
+        for name, value in (("{time}", time), ("{user}", F.col("user_id").cast("string")), ("{props}", F.col("props"))):
+            head, found, rest = line.partition(name)
+            if found:
+                return F.concat(filled(head), value, filled(rest))
+        return F.lit(line)
+
+    of = F.coalesce(*(F.when(F.col("event_type") == kind, F.array(*map(filled, lines))) for kind, (lines, _) in LINES.items()))
+    rows = events.select("room", "ts", "event_id", F.posexplode(of).alias("k", "value"))
+    title = events.select("room").distinct().select("room", F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"), F.lit(-1).cast("bigint").alias("event_id"), F.lit(0).alias("k"), F.lit("room 카카오톡 대화").alias("value"))
+    rows, path = rows.union(title).repartition("room").sortWithinPartitions("room", "ts", "event_id", "k"), new_folder(spark, "exports")
+    rows.select("room", "value").write.mode("overwrite").partitionBy("room").text(path)
+    found, _ = chat.export_messages(spark, path, split=8_192)
+    return found.select(F.regexp_extract("path", "room=([0-9]+)", 1).cast("bigint").alias("room"), "seq", "ts", "speaker", "text")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from palaver.functions import text as T
+from palaver.sources import export_ranges
 
 # The encodings to try in order, the line ends, and the line patterns of the format.
 ENCODINGS = ("utf-8-sig", "utf-8", "cp949", "euc-kr", "utf-16")
@@ -16,6 +17,8 @@ HEADER = r"^(\d{4}\. \d{1,2}\. \d{1,2}\. \d{1,2}:\d{2}), ([^:]+) : (.*)$"
 SYSTEM = r"^(\d{4}\. \d{1,2}\. \d{1,2}\. \d{1,2}:\d{2}): (.*)$"
 DATE_LINE = r"^\d{4}\s*[./년]\s*\d{1,2}\s*[./월]\s*\d{1,2}"
 MARKERS = r"(?iu)저장한 날짜|saved\s*date|메시지가 삭제되었습니다|deleted message|카카오톡 대화|kakaotalk chats"
+#: Lines of a text that one task takes together.
+LINES = 65_536
 SNAPSHOT_DAY = r"^(\d{4})년 (\d{1,2})월 (\d{1,2})일"
 SNAPSHOT = r"^\[([^\]]+)\] \[(오전|오후) (\d{1,2}:\d{2})\] (.*)$"
 
@@ -57,22 +60,43 @@ def lines(texts: DataFrame) -> DataFrame:
 
 def messages(texts: DataFrame, include_system: bool = False) -> DataFrame:
     """Messages of export files: headers begin one, system lines end one, other lines continue it."""
-    order = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines(texts).select("source_file", (F.col("line_no") / LINES).cast("bigint").alias("range"), (F.col("line_no") % LINES).cast("bigint").alias("at"), "raw")
+    return _messages(rows, ["source_file"], include_system)
+
+
+def export_messages(spark: SparkSession, path: str, include_system: bool = False, split: int = export_ranges.SPLIT) -> tuple[DataFrame, list[str]]:
+    """The same of a folder's or pattern's files, with their `path`, each read by a task for every `split` bytes; and the files that no encoding reads."""
+    rows, lost = export_ranges.lines(spark, path, LINE_END, split)
+    return _messages(rows, ["path", "source_file"], include_system), lost
+
+
+def _messages(rows: DataFrame, file: list[str], include_system: bool) -> DataFrame:
+    """Messages of lines (`range`, `at`, `raw`).
+
+    A range's lines are counted, and how many of them begin or end a message; sums of these over the ranges before tell each
+    range its first line's number and the message that is open at its beginning.
+    """
     line = T.strip(F.col("raw"))
     kind = F.when(line.rlike(HEADER), "header").when(line.rlike(SYSTEM), "system").when(line == "", "blank").when(line.rlike(DATE_LINE) | line.rlike(MARKERS), "skip").otherwise("more")
-    rows = lines(texts).withColumns({"line": line, "kind": kind})
-    rows = rows.withColumn("block", F.sum(F.col("kind").isin("header", "system").cast("int")).over(order)).where((F.col("block") > 0) & (F.col("kind") != "skip"))
+    rows = rows.withColumns({"line": line, "kind": kind}).withColumn("_edge", F.col("kind").isin("header", "system").cast("int"))
+    order = Window.partitionBy(*file, "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    past = Window.partitionBy(*file).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy(*file, "range").agg(F.count(F.lit(1)).alias("_n"), F.sum("_edge").alias("_edges"))
+    ranges = ranges.select(*file, "range", *(F.coalesce(F.sum(c).over(past), F.lit(0)).alias(into) for c, into in (("_n", "_line"), ("_edges", "_block"))))
+    rows = rows.withColumn("_own", F.sum("_edge").over(order)).join(ranges, [*file, "range"])
+    rows = rows.withColumns({"line_no": F.col("_line") + F.col("at"), "block": F.col("_block") + F.col("_own")}).where((F.col("block") > 0) & (F.col("kind") != "skip"))
     pattern = F.when(F.col("kind") == "header", F.regexp_extract("line", HEADER, 1)).when(F.col("kind") == "system", F.regexp_extract("line", SYSTEM, 1))
     ts = F.try_to_timestamp(pattern, F.lit("yyyy. M. d. H:mm")).cast("timestamp_ntz")
     piece = F.when(F.col("kind") == "header", F.regexp_extract("line", HEADER, 3)).when(F.col("kind") == "system", F.regexp_extract("line", SYSTEM, 2)).when(F.col("kind") == "blank", "").otherwise(F.col("raw"))
     rows = rows.withColumns({"ts": ts, "piece": piece, "speaker": F.when(F.col("kind") == "header", T.strip(F.regexp_extract("line", HEADER, 2))).when(F.col("kind") == "system", "SYSTEM")})
-    bad = rows.where(F.col("kind").isin(["header", "system"] if include_system else ["header"]) & F.col("ts").isNull()).select("source_file").distinct()
-    item = F.struct("line_no", "piece", "kind")
-    each = rows.join(bad, "source_file", "left_anti").groupBy("source_file", "block").agg(F.min("line_no").alias("seq"), F.first("ts", True).alias("ts"), F.first("speaker", True).alias("speaker"), F.max(F.col("kind") == "system").alias("system"), F.array_sort(F.collect_list(item)).alias("all"))
-    whole = T.strip(F.array_join(F.transform(F.filter("all", lambda m: (m["kind"] != "more") & (m["kind"] != "blank") | ~F.col("system")), lambda m: m["piece"]), "\n"))
-    out = each.withColumn("text", whole)
+    bad = rows.where(F.col("kind").isin(["header", "system"] if include_system else ["header"]) & F.col("ts").isNull()).select(*file).distinct()
+    # lines that a system line ends aren't gathered
+    rows = rows.withColumn("_system", F.max(F.col("kind") == "system").over(Window.partitionBy(*file, "block"))).where(~F.col("_system") | (F.col("kind") == "system"))
+    item = F.struct("line_no", "piece")
+    each = rows.join(bad, file, "left_anti").groupBy(*file, "block").agg(F.min("line_no").alias("seq"), F.first("ts", True).alias("ts"), F.first("speaker", True).alias("speaker"), F.max("_system").alias("system"), F.array_sort(F.collect_list(item)).alias("all"))
+    out = each.withColumn("text", T.strip(F.array_join(F.transform("all", lambda m: m["piece"]), "\n")))
     keep = (F.col("text") != "") & ~F.col("system")
-    return out.where(keep | F.col("system") if include_system else keep).select("source_file", F.col("seq").cast("bigint").alias("seq"), "ts", "speaker", "text")
+    return out.where(keep | F.col("system") if include_system else keep).select(*file, F.col("seq").cast("bigint").alias("seq"), "ts", "speaker", "text")
 
 
 def parse_errors(texts: DataFrame, include_system: bool = False) -> DataFrame:
