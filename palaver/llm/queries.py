@@ -66,9 +66,8 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
 
     path = f"{new_folder(spark, 'warc')}/archive"
     warc.write(table(spark, folder, "pages"), path)
-    # the record type is pushed down; revisits have no payload, so their headers are all that is read
-    back = warc.read(spark, path).where(F.col("record_type") == "response")
-    back = back.union(warc.read(spark, path, payload=False).where(F.col("record_type") == "revisit"))
+    # pushed down to the headers; the payload is read of responses alone
+    back = warc.read(spark, path).where(F.col("record_type").isin("response", "revisit"))
     return back.select("page_id", "payload_bytes", F.coalesce("payload_sha256", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
 
 
