@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from palaver.operators import tokens
 from palaver.plans.registry import digest_of, query, table
 from palaver.sources import chat, token_files
+from palaver.streaming import bridge, windows
 from palaver.streaming.dedup import folder as new_folder
+from palaver.streaming.dedup import run_available
 
 
 @query("""WITH b AS (SELECT conv_id, turn, role, i, CAST('0x' || substr(hex(encode(text)), CAST(2 * i - 1 AS INTEGER), 2) AS BIGINT) + 4 AS id
@@ -60,3 +62,81 @@ def parse_ranges(spark, folder):
     rows.select("room", "value").write.mode("overwrite").partitionBy("room").text(path)
     found, _ = chat.export_messages(spark, path, split=8_192)
     return found.select(F.regexp_extract("path", "room=([0-9]+)", 1).cast("bigint").alias("room"), "seq", "ts", "speaker", "text")
+
+
+ROOMS = """e AS (SELECT 'room_' || (user_id % 8) AS room, event_id AS seq, event_type || props AS uid, epoch(date_trunc('second', ts)) AS sec,
+  event_type IN ('view', 'click') AS wants, row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) AS k FROM events)"""
+
+
+@query(f"""WITH RECURSIVE {ROOMS},
+s(room, k, seq, uid, action, seen, sends) AS (
+  SELECT DISTINCT room, CAST(0 AS BIGINT), CAST(-1 AS BIGINT), '', 'none', CAST([] AS VARCHAR[]), CAST([] AS DOUBLE[]) FROM e
+  UNION ALL
+  SELECT room, k, seq, uid, CASE WHEN NOT fresh THEN 'none' WHEN NOT wants THEN 'context' WHEN free THEN 'reply' ELSE 'limited' END,
+    CASE WHEN fresh THEN list_slice(list_append(seen, uid), greatest(len(seen) + 1 - 100, 0) + 1, len(seen) + 1) ELSE seen END,
+    CASE WHEN fresh AND wants AND free THEN list_append(near, sec) WHEN fresh AND wants THEN near ELSE sends END
+  FROM (SELECT *, len(near) < 2 AND (len(near) = 0 OR sec - near[-1] >= 600) AS free
+    FROM (SELECT e.*, s.seen, s.sends, NOT list_contains(s.seen, e.uid) AS fresh, list_filter(s.sends, lambda x: e.sec - x < 3600) AS near
+      FROM s JOIN e ON e.room = s.room AND e.k = s.k + 1)))
+SELECT room, seq, uid, action FROM s WHERE action <> 'none'""")
+def stream_actions(spark, folder):
+    """What a bridge does about every new message of its rooms, in a stream with state: 100 ids remembered, 2 replies an hour."""
+    base = new_folder(spark, "actions")
+    events = spark.readStream.schema(table(spark, folder, "events").schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    at = F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")
+    rows = events.select(
+        F.concat(F.lit("room_"), F.col("user_id") % 8).alias("room"), F.col("event_id").alias("seq"), F.concat("event_type", "props").alias("uid"),
+        at.alias("at"), F.col("event_type").isin("view", "click").alias("wants_reply"),
+    )
+    found = bridge.actions(rows, most=100, per_hour=2, spacing=600.0, per_batch=1 << 40, first_is_old=False)
+    return run_available(found, f"{base}/out", f"{base}/state")
+
+
+@query("""WITH RECURSIVE e AS (SELECT 'room_' || (user_id % 8) AS room, event_id AS seq, CASE WHEN event_id < 200 THEN 1.0 ELSE value / 500 END AS sure,
+  row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) AS k FROM events),
+s(room, k, seq, fallback, past) AS (
+  SELECT DISTINCT room, CAST(0 AS BIGINT), CAST(-1 AS BIGINT), false, CAST([] AS BOOLEAN[]) FROM e
+  UNION ALL
+  SELECT room, k, seq, own, list_slice(list_append(past, own), greatest(len(past) + 1 - 41, 0) + 1, len(past) + 1)
+  FROM (SELECT e.room, e.k, e.seq, s.past, e.sure < 0.5 AND len(s.past) > 0 AND len(list_filter(s.past, lambda x: x)) / len(s.past) < 0.3001 AS own
+    FROM s JOIN e ON e.room = s.room AND e.k = s.k + 1))
+SELECT room, seq, fallback FROM s WHERE k > 0""")
+def stream_fallbacks(spark, folder):
+    """Fallbacks by a rolling share of the last 41 decisions, in a stream with state; no share of so many is the target, so nothing is drawn."""
+    base = new_folder(spark, "fallbacks")
+    events = spark.readStream.schema(table(spark, folder, "events").schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    # the first decisions, before there is a share, are certain ones
+    sure = F.when(F.col("event_id") < 200, 1.0).otherwise(F.col("value") / 500)
+    rows = events.select(F.concat(F.lit("room_"), F.col("user_id") % 8).alias("room"), F.col("event_id").alias("seq"), sure.alias("confidence"))
+    return run_available(bridge.fallbacks(rows, target=0.3001, window=41), f"{base}/out", f"{base}/state")
+
+
+WINDOWS = {"tumbling": {"size": "6 hours"}, "sliding": {"size": "12 hours", "slide": "6 hours"}, "session": {"gap": "3 hours"}}
+
+
+@query("""WITH e AS (SELECT user_id % 4 AS room, event_id, ts FROM events),
+b AS (SELECT room, event_id, ts, time_bucket(INTERVAL 6 hours, ts, TIMESTAMP '1970-01-01') AS t FROM e),
+w AS (SELECT 'tumbling' AS kind, room, event_id, t AS started, t + INTERVAL 6 hours AS ended FROM b
+  UNION ALL SELECT 'sliding', room, event_id, t - INTERVAL 6 hours * i, t + INTERVAL 12 hours - INTERVAL 6 hours * i FROM b, unnest([0, 1]) AS u(i)
+  UNION ALL SELECT 'session', room, event_id, min(ts) OVER p, max(ts) OVER p + INTERVAL 3 hours FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY room ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (
+      SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY room ORDER BY ts, event_id) <= INTERVAL 3 hours THEN 0 ELSE 1 END AS fresh FROM e)) WINDOW p AS (PARTITION BY room, s))
+SELECT kind, room, started, ended, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM w
+WHERE ended <= (SELECT max(ts) - INTERVAL 1 hour FROM events) GROUP BY ALL""")
+def stream_windows(spark, folder):
+    """Events in windows of three kinds through a stream of three batches, the last one of rows that come late and count nowhere."""
+    base = new_folder(spark, "windows")
+    events = table(spark, folder, "events").select((F.col("user_id") % 4).alias("room"), "event_id", "ts")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    half = first + (last - first) / 2
+    # the source takes files in the order they were written, eight a batch
+    old = events.where(F.col("ts") < first + (last - first) / 10).withColumn("event_id", -F.col("event_id") - 1)
+    for rows in (events.where(F.col("ts") < half), events.where(F.col("ts") >= half), old):
+        rows.repartition(8).write.mode("append").parquet(f"{base}/in")
+    out = []
+    for kind, options in WINDOWS.items():
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{base}/in")
+        sums = [F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")]
+        found, _ = windows.run(windows.windowed(stream, "ts", ["room"], sums, delay="1 hour", **options), f"{base}/{kind}", f"{base}/{kind}-state")
+        out.append(found.select(F.lit(kind).alias("kind"), "room", "started", "ended", "n", "ids"))
+    return out[0].union(out[1]).union(out[2])

@@ -1,7 +1,10 @@
-"""Snapshots of chat rooms as a stream: new messages once, a first snapshot that only fills the memory, limited replies.
+"""Snapshots of chat rooms as a stream: new messages once, a first snapshot that only fills the memory, limited replies, fallbacks.
 
-State is kept by room with `transformWithState`: what was seen, in the order it was added, when replies were
-sent, and whether the room is new.  A room's rows of one batch are taken in order of `seq`.
+State is kept by room with `transformWithState`, in entries that are read and written one by one: a map of what was seen and
+one of the order in which it was added, so a message costs a few entries however much is remembered; a queue of the times
+of the replies of the last hour; a ring of the last fallback decisions with their sum.  With `idle`, entries that weren't
+written for so long are forgotten.  A room's rows of one batch are taken in order of `seq`; a restart goes on from the
+checkpoint.
 """
 
 from __future__ import annotations
@@ -12,49 +15,128 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from palaver.streaming.dedup import falls_back
+
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "seen array<string>, sends array<double>, started boolean"
 OUT = "room string, seq bigint, uid string, action string"
 
 
+def _in_order(rows) -> pd.DataFrame:
+    return pd.concat(list(rows)).sort_values("seq", kind="stable")
+
+
+class Queue:
+    """Values at places from `head` to `tail`, in a map; the caller keeps the two ends."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, kind: str, idle: int | None):
+        self.held = handle.getMapState(name, "place bigint", f"value {kind}", idle)
+
+    def get(self, place: int):
+        """None at a place that has been idle for too long."""
+        found = self.held.getValue((place,))
+        return found[0] if found else None
+
+    def put(self, place: int, value) -> None:
+        self.held.updateValue((place,), (value,))
+
+    def drop(self, place: int) -> None:
+        if self.held.containsKey((place,)):
+            self.held.removeKey((place,))
+
+
 class Rooms(StatefulProcessor):
     """Actions: `seen` (dropped from the output), `context`, `reply` or `limited`."""
 
-    def __init__(self, most: int, per_hour: int, spacing: float, per_batch: int, first_is_old: bool):
-        self.most, self.per_hour, self.spacing, self.per_batch, self.first_is_old = most, per_hour, spacing, per_batch, first_is_old
+    def __init__(self, most: int, per_hour: int, spacing: float, per_batch: int, first_is_old: bool, idle: int | None):
+        self.most, self.per_hour, self.spacing, self.per_batch, self.first_is_old, self.idle = most, per_hour, spacing, per_batch, first_is_old, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("room", STATE)
+        self.seen = handle.getMapState("seen", "uid string", "place bigint", self.idle)
+        self.order, self.sends = Queue(handle, "order", "string", self.idle), Queue(handle, "sends", "double", self.idle)
+        self.ends = handle.getValueState("ends", "head bigint, tail bigint, first bigint, next bigint", self.idle)
+
+    def _add(self, uid: str, head: int, tail: int) -> int:
+        """Remembers the id, and forgets the one that was added first if they are too many; the new head."""
+        self.seen.updateValue((uid,), (tail,))
+        self.order.put(tail, uid)
+        if tail + 1 - head <= self.most:
+            return head
+        oldest = self.order.get(head)
+        if oldest is not None and self.seen.containsKey((oldest,)):
+            self.seen.removeKey((oldest,))
+        self.order.drop(head)
+        return head + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        seen, sends, started = self.state.get() if self.state.exists() else ([], [], False)
-        memory, sends, out, replies = dict.fromkeys(seen), list(sends), [], 0
-        batch = pd.concat(list(rows)).sort_values("seq")
-        for seq, uid, at, wants in zip(batch["seq"], batch["uid"], batch["at"], batch["wants_reply"], strict=True):
-            if uid in memory:
+        started = self.ends.exists()
+        head, tail, first, then = self.ends.get() if started else (0, 0, 0, 0)
+        batch, out, replies = _in_order(rows), [], 0
+        for seq, uid, at, wants in zip(batch["seq"].tolist(), batch["uid"].tolist(), batch["at"].tolist(), batch["wants_reply"].tolist(), strict=True):
+            if self.seen.containsKey((uid,)):
                 continue
-            memory[uid] = None
-            if len(memory) > self.most:
-                del memory[next(iter(memory))]
+            head, tail = self._add(uid, head, tail), tail + 1
             action = "context"
             if wants and (started or not self.first_is_old) and replies < self.per_batch:
-                sends = [x for x in sends if at - x < 3600]
-                free = len(sends) < self.per_hour and (not sends or at - sends[-1] >= self.spacing)
+                while first < then and ((x := self.sends.get(first)) is None or at - x >= 3600):
+                    self.sends.drop(first)
+                    first += 1
+                free = then - first < self.per_hour and (first == then or at - self.sends.get(then - 1) >= self.spacing)
                 action, replies = ("reply" if free else "limited"), replies + 1
-                sends += [at] if free else []
+                if free:
+                    self.sends.put(then, at)
+                    then += 1
             out.append((key[0], seq, uid, action))
-        self.state.update((list(memory), sends, True))
+        self.ends.update((head, tail, first, then))
         yield pd.DataFrame(out, columns=["room", "seq", "uid", "action"])
 
     def close(self) -> None:
         pass
 
 
-def actions(messages: DataFrame, *, most: int = 2000, per_hour: int = 40, spacing: float = 12.0, per_batch: int = 2, first_is_old: bool = True) -> DataFrame:
+class Fallbacks(StatefulProcessor):
+    """`fallback` as `dedup.fallback_rate` decides it, a ring of the last decisions being the state."""
+
+    def __init__(self, threshold: float, target: float, window: int, idle: int | None):
+        self.threshold, self.target, self.window, self.idle = threshold, target, window, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ring = handle.getMapState("ring", "place int", "flag int", self.idle)
+        self.sums = handle.getValueState("sums", "n bigint, total int", self.idle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        n, total = self.sums.get() if self.sums.exists() else (0, 0)
+        batch, out = _in_order(rows), []
+        for seq, sure in zip(batch["seq"], batch["confidence"], strict=True):
+            held = min(n, self.window)
+            flag = falls_back(key[0], seq, sure, total, held, self.threshold, self.target)
+            place = (n % self.window,)
+            if held == self.window:
+                old = self.ring.getValue(place)
+                total -= old[0] if old else 0
+            self.ring.updateValue(place, (int(flag),))
+            n, total = n + 1, total + int(flag)
+            out.append((key[0], seq, flag))
+        self.sums.update((n, total))
+        yield pd.DataFrame(out, columns=["room", "seq", "fallback"])
+
+    def close(self) -> None:
+        pass
+
+
+def _with_state(rows: DataFrame, processor: StatefulProcessor, out: str, idle: int | None) -> DataFrame:
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    mode = "processingTime" if idle else "none"
+    return rows.groupBy("room").transformWithStateInPandas(statefulProcessor=processor, outputStructType=out, outputMode="append", timeMode=mode)
+
+
+def actions(messages: DataFrame, *, most: int = 2000, per_hour: int = 40, spacing: float = 12.0, per_batch: int = 2, first_is_old: bool = True, idle: int | None = None) -> DataFrame:
     """A stream of (`room`, `seq`, `uid`, `at` in seconds, `wants_reply`) as new messages with what to do about them.
 
-    At least 100 ids are remembered a room.  With `first_is_old` a room's first batch gets no replies.
+    At least 100 ids are remembered a room.  With `first_is_old` a room's first batch gets no replies.  `idle` is in milliseconds.
     """
-    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    room = Rooms(max(100, most), per_hour, spacing, per_batch, first_is_old)
-    return messages.groupBy("room").transformWithStateInPandas(statefulProcessor=room, outputStructType=OUT, outputMode="append", timeMode="none")
+    return _with_state(messages, Rooms(max(100, most), per_hour, spacing, per_batch, first_is_old, idle), OUT, idle)
+
+
+def fallbacks(replies: DataFrame, *, threshold: float = 0.5, target: float = 0.2, window: int = 200, idle: int | None = None) -> DataFrame:
+    """A stream of (`room`, `seq`, `confidence`) with `fallback`: low confidence, as long as the share of the last `window` decisions allows it."""
+    return _with_state(replies, Fallbacks(threshold, target, max(20, window), idle), "room string, seq bigint, fallback boolean", idle)

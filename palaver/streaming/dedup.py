@@ -61,6 +61,16 @@ def rate_limited(df: DataFrame, group: str, per_hour: int = 40, spacing: float =
     return df.select(F.col(group).cast("string").alias(group), "seq", "at").groupBy(group).applyInPandas(run, schema)
 
 
+def falls_back(group: str, seq: int, sure: float, total: int, held: int, threshold: float, target: float) -> bool:
+    """Whether a reply falls back, `total` of the `held` decisions before it having done so.
+
+    At the target itself, and before any decision, a draw seeded by group and `seq` decides.
+    """
+    share = total / held if held else target
+    allowed = target > 0 and (share < target or share == target and random.Random(f"{group}/{seq}").random() < target)
+    return bool(sure < threshold and allowed)
+
+
 def fallback_rate(df: DataFrame, group: str, *, threshold: float = 0.5, target: float = 0.2, window: int = 200) -> DataFrame:
     """`fallback`: replies of a confidence below the threshold, as long as the share in the window is below the target.
 
@@ -71,9 +81,7 @@ def fallback_rate(df: DataFrame, group: str, *, threshold: float = 0.5, target:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows, past, out = rows.sort_values("seq"), deque(maxlen=window), []
         for name, seq, sure in zip(rows[group], rows["seq"], rows["confidence"], strict=True):
-            share = sum(past) / len(past) if past else target
-            allowed = target > 0 and (share < target or share == target and random.Random(f"{name}/{seq}").random() < target)
-            out.append(bool(sure < threshold and allowed))
+            out.append(falls_back(name, seq, sure, sum(past), len(past), threshold, target))
             past.append(int(out[-1]))
         return rows.assign(fallback=out)[[group, "seq", "fallback"]]
 
