@@ -132,7 +132,8 @@ def _with_state(rows: DataFrame, processor: StatefulProcessor, out: str, idle: i
 def actions(messages: DataFrame, *, most: int = 2000, per_hour: int = 40, spacing: float = 12.0, per_batch: int = 2, first_is_old: bool = True, idle: int | None = None) -> DataFrame:
     """A stream of (`room`, `seq`, `uid`, `at` in seconds, `wants_reply`) as new messages with what to do about them.
 
-    At least 100 ids are remembered a room.  With `first_is_old` a room's first batch gets no replies.  `idle` is in milliseconds.
+    At least 100 ids are remembered a room.  With `first_is_old` a room's first batch gets no replies.  `idle` is in milliseconds
+    and for triggers by processing time: with it, a query of what is available runs on and on.
     """
     return _with_state(messages, Rooms(max(100, most), per_hour, spacing, per_batch, first_is_old, idle), OUT, idle)
 

@@ -20,12 +20,31 @@ def batches(spark, tmp_path, schema, parts, make):
     return out
 
 
-@pytest.mark.parametrize("idle", [None, 3_600_000])
-def test_actions_over_restarts(spark, tmp_path, idle):
+def test_actions_forget_idle_rooms(spark, tmp_path):
+    """With a time to live of an hour nothing is forgotten within the test; the trigger is one of processing time."""
+    import time
+
+    kind, source = "room string, seq bigint, uid string, at double, wants_reply boolean", tmp_path / "in"
+    rows = [("r", 1, "a", 0.0, True), ("r", 2, "b", 1.0, False), ("r", 3, "a", 2.0, True), ("s", 4, "a", 3.0, True)]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(source))
+    found = bridge.actions(spark.readStream.schema(kind).parquet(str(source)), first_is_old=False, idle=3_600_000)
+    query = found.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="1 second").start()
+    try:
+        until = time.time() + 60
+        while time.time() < until and query.isActive and not any(p["numInputRows"] for p in query.recentProgress):
+            time.sleep(0.5)
+        assert query.exception() is None
+    finally:
+        query.stop()
+    got = spark.read.schema(bridge.OUT).parquet(str(tmp_path / "out")).collect()
+    assert {(r.room, r.uid, r.action) for r in got} == {("r", "a", "reply"), ("r", "b", "context"), ("s", "a", "reply")}
+
+
+def test_actions_over_restarts(spark, tmp_path):
     rng = random.Random(1)
     rows = [(rng.choice("rs"), k, f"u{rng.randrange(160)}", float(30 * k), rng.random() < 0.5) for k in range(500)]
     parts = [rows[:100], rows[100:110], rows[110:]]
-    out = batches(spark, tmp_path, "room string, seq bigint, uid string, at double, wants_reply boolean", parts, lambda s: bridge.actions(s, most=100, per_hour=9, spacing=60.0, per_batch=25, idle=idle))
+    out = batches(spark, tmp_path, "room string, seq bigint, uid string, at double, wants_reply boolean", parts, lambda s: bridge.actions(s, most=100, per_hour=9, spacing=60.0, per_batch=25))
     want, seen, sends, started = {}, {"r": [], "s": []}, {"r": [], "s": []}, set()
     for part in parts:
         replies = dict.fromkeys("rs", 0)
