@@ -2,14 +2,50 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def inventory(rows: DataFrame, name: str, text: str, order: str) -> DataFrame:
-    """A row a name: digest of its texts in order, bytes, lines."""
-    packed = rows.groupBy(name).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text)))), lambda x: x[text]), "\n").alias("all"))
-    return packed.select(name, F.sha2("all", 256).alias("sha256"), F.octet_length("all").cast("bigint").alias("bytes"), F.size(F.split("all", "\n", -1)).cast("bigint").alias("line_count"))
+    """A row a name: digest, bytes and lines of its texts in order, one below the other; null texts are left out.
+
+    A digest is one walk over a name's bytes, so a name is one task's work, but the texts stream through it in batches and are
+    never put together.
+    """
+    kind = rows.schema[name].dataType.simpleString()
+    laid = rows.select(F.col(name).alias("_name"), F.col(order).alias("_order"), F.col(text).alias("_text")).where("_text is not null")
+    # names without any text are there too
+    none = rows.groupBy(F.col(name).alias("_name")).agg(F.count(text).alias("_n")).where("_n = 0").select("_name", F.sha2(F.lit(""), 256).alias("sha256"), F.lit(0).cast("bigint").alias("bytes"), F.lit(1).cast("bigint").alias("line_count"))
+    laid = laid.repartition("_name").sortWithinPartitions("_name", "_order", "_text").select("_name", "_text")
+
+    def run(batches):
+        last, digest, n, lines = None, None, 0, 0
+        schema = None
+
+        def row():
+            values = ([last.as_py()], [digest.hexdigest()], [n], [lines + 1])
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (schema.field(0).type, pa.string(), pa.int64(), pa.int64()), strict=True)], names=["_name", "sha256", "bytes", "line_count"])
+
+        for batch in batches:
+            schema = batch.schema
+            for key, value in zip(*batch.columns, strict=True):
+                data = value.as_py().encode()
+                if digest is None or key != last:
+                    if digest:
+                        yield row()
+                    last, digest, n, lines = key, hashlib.sha256(), 0, 0
+                else:
+                    data = b"\n" + data
+                digest.update(data)
+                n, lines = n + len(data), lines + data.count(b"\n")
+        if digest:
+            yield row()
+
+    found = laid.mapInArrow(run, f"_name {kind}, sha256 string, bytes bigint, line_count bigint")
+    return found.union(none).withColumnRenamed("_name", name)
 
 
 def not_recorded(plan: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,8 +13,6 @@ from palaver.sources import chat, datasets
 from palaver.streaming import dedup as streams
 
 VOCABULARY = Vocabulary({"assistant": "<|spk:assistant|>", "user": "<|spk:user|>"})
-CHECKPOINTS = [("a", f"checkpoint-{n}", f) for n, files in ((5, "sab"), (20, "sab"), (100, "sa")) for f in (("trainer_state.json", "adapter_config.json", "adapter_model.bin")["sab".index(x)] for x in files)] + [("a", "checkpoint-x", "adapter_config.json"), ("b", "checkpoint-7", "trainer_state.json")]
-CHECKPOINTS_SQL = "f AS (SELECT * FROM (VALUES " + ", ".join(f"('{r}', '{d}', '{f}')" for r, d, f in CHECKPOINTS) + ") v(run, dir, file))"
 
 
 def _cut_sql(out: str, source: str) -> str:
@@ -137,9 +135,18 @@ def start_targets(spark, folder):
     return rooms.start_target(table(spark, folder, "conversations"))
 
 
-@query(f"WITH {CHECKPOINTS_SQL}, g AS (SELECT run, dir, CAST(regexp_extract(dir, '^checkpoint-(\\d+)$', 1) AS BIGINT) AS step FROM f WHERE regexp_matches(dir, '^checkpoint-\\d+$') GROUP BY 1, 2 HAVING count(DISTINCT file) = 3) SELECT run, arg_max(dir, step) AS dir, max(step) AS step FROM g GROUP BY 1")
+@query("""WITH f AS (SELECT 'run_' || (user_id % 8) AS run, CASE WHEN event_id % 97 = 0 THEN 'best' ELSE 'checkpoint-' || (event_id // 40) END AS dir,
+  CASE event_type WHEN 'error' THEN 'trainer_state.json' WHEN 'view' THEN 'adapter_config.json' WHEN 'click' THEN 'adapter_model.safetensors' WHEN 'purchase' THEN 'adapter_model.bin' ELSE 'rng.pth' END AS file FROM events),
+g AS (SELECT run, dir, CAST(substr(dir, 12) AS BIGINT) AS step FROM f WHERE starts_with(dir, 'checkpoint-') GROUP BY 1, 2
+  HAVING bool_or(file = 'trainer_state.json') AND bool_or(file = 'adapter_config.json') AND bool_or(starts_with(file, 'adapter_model.')))
+SELECT run, arg_max(dir, step) AS dir, max(step) AS step FROM g GROUP BY 1""")
 def latest_checkpoint(spark, folder):
-    files = spark.createDataFrame(CHECKPOINTS, "run string, dir string, file string")
+    """Events as the files of runs' checkpoints: which ones a folder has is what happened in it."""
+    kind = {"error": rooms.STATE, "view": rooms.ADAPTER, "click": rooms.WEIGHTS[0], "purchase": rooms.WEIGHTS[1]}
+    file = F.coalesce(*(F.when(F.col("event_type") == k, v) for k, v in kind.items()), F.lit("rng.pth"))
+    step = F.floor(F.col("event_id") / 40).cast("string")
+    folder_of = F.when(F.col("event_id") % 97 == 0, "best").otherwise(F.concat(F.lit("checkpoint-"), step))
+    files = table(spark, folder, "events").select(F.concat(F.lit("run_"), F.col("user_id") % 8).alias("run"), folder_of.alias("dir"), file.alias("file"))
     return rooms.latest(rooms.checkpoints(files), ["run"], "dir", "step")
 
 

@@ -422,11 +422,21 @@ def unique_names(spark, folder):
     return manifest.numbered_names(table(spark, folder, "documents").select("lang", "doc_id"), "lang", "doc_id")
 
 
-@query("WITH a AS (SELECT * FROM (VALUES ('model.n', '4'), ('train.lr', '0.1'), ('x', '1')) v(key, value)), b AS (SELECT * FROM (VALUES ('model.n', '8'), ('x', '1'), ('y', '2')) v(key, value)) SELECT key, coalesce(a.value, '<missing>') AS old, coalesce(b.value, '<missing>') AS new, starts_with(key, 'model.') AS immutable FROM a FULL JOIN b USING (key) WHERE coalesce(a.value, '<missing>') <> coalesce(b.value, '<missing>')")
+@query("""WITH d AS (SELECT source, lang FROM documents), l AS (SELECT source, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+a AS (SELECT 'model.' || source AS key, CAST(count(*) AS VARCHAR) AS value FROM d GROUP BY 1 UNION ALL SELECT 'all.' || lang, CAST(count(*) AS VARCHAR) FROM d GROUP BY 1),
+b AS (SELECT 'model.' || source AS key, CAST(count(*) AS VARCHAR) AS value FROM l GROUP BY 1 UNION ALL SELECT 'some.' || lang, CAST(count(*) AS VARCHAR) FROM l GROUP BY 1)
+SELECT key, coalesce(a.value, '<missing>') AS old, coalesce(b.value, '<missing>') AS new, starts_with(key, 'model.') AS immutable
+FROM a FULL JOIN b USING (key) WHERE coalesce(a.value, '<missing>') <> coalesce(b.value, '<missing>')""")
 def config_diff(spark, folder):
-    a = spark.createDataFrame([("model.n", "4"), ("train.lr", "0.1"), ("x", "1")], "key string, value string")
-    b = spark.createDataFrame([("model.n", "8"), ("x", "1"), ("y", "2")], "key string, value string")
-    return manifest.config_diff(a, b, ("model.",))
+    """Counts of all documents and of the labelled ones, by source and language, as two configurations."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang")
+
+    def counted(rows, lang):
+        of = lambda column, prefix: rows.groupBy(F.concat(F.lit(prefix), column).alias("key")).agg(F.count(F.lit(1)).cast("string").alias("value"))
+        return of("source", "model.").union(of("lang", lang))
+
+    labelled = docs.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    return manifest.config_diff(counted(docs, "all."), counted(labelled, "some."), ("model.",))
 
 
 @query("SELECT DISTINCT l_partkey AS step, round(CASE WHEN l_partkey < 100 THEN 0.001 * l_partkey / 100.0 WHEN l_partkey >= 1500 THEN 0.0001 ELSE 0.0001 + 0.5 * (1 + cos(pi() * (l_partkey - 100) / 1400.0)) * (0.001 - 0.0001) END, 9) AS lr FROM lineitem")

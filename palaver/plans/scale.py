@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from palaver.operators import tokens
+from palaver.operators import dictionary, tokens
 from palaver.plans.registry import digest_of, query, table
-from palaver.sources import chat, token_files
+from palaver.sources import chat, digests, token_files
 from palaver.streaming import bridge, windows
 from palaver.streaming.dedup import folder as new_folder
 from palaver.streaming.dedup import run_available
@@ -140,3 +140,23 @@ def stream_windows(spark, folder):
         found, _ = windows.run(windows.windowed(stream, "ts", ["room"], sums, delay="1 hour", **options), f"{base}/{kind}", f"{base}/{kind}-state")
         out.append(found.select(F.lit(kind).alias("kind"), "room", "started", "ended", "n", "ids"))
     return out[0].union(out[1]).union(out[2])
+
+
+@query("""WITH t AS (SELECT token, 3 + row_number() OVER (ORDER BY token) AS id FROM (SELECT DISTINCT '<|spk:u' || user_id || '|>' AS token FROM events WHERE event_type <> 'error'))
+SELECT event_id, coalesce(id, 3) AS token_id FROM events LEFT JOIN t ON token = '<|spk:u' || user_id || '|>'""")
+def speaker_ids(spark, folder):
+    """Ids of a vocabulary learned from the users of all events but errors, saved, loaded and looked up for every event."""
+    events = table(spark, folder, "events").withColumn("speaker", F.concat(F.lit("u"), "user_id"))
+    path = new_folder(spark, "vocabulary")
+    dictionary.save(dictionary.learn(events.where("event_type <> 'error'")), path)
+    return dictionary.look_up(events, dictionary.load(spark, path)).select("event_id", "token_id")
+
+
+@query("""SELECT lang, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes,
+CAST(sum(len(text) - len(replace(text, chr(10), '')) + 1) AS BIGINT) AS line_count FROM documents GROUP BY 1""")
+def file_digests(spark, folder):
+    """A text file for each language, hashed and counted in bounded buffers."""
+    path = new_folder(spark, "files")
+    rows = table(spark, folder, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
+    rows.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
+    return digests.digests(spark, path).select(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), "sha256", "bytes", "line_count")
