@@ -51,9 +51,10 @@ def cut_at_next_turn(c, names, fixed=("<|bos|>", "<|eos|>", "<|pad|>"), tags=TAG
 
 
 def strip_speaker(c, names, fixed=("<|bos|>", "<|eos|>", "<|pad|>"), tags=TAGS) -> Column:
-    """Without the special and speaker tokens, the speaker marks and then one of each tag at the beginning."""
+    """Without speaker tokens, wherever they stand, and without the special tokens, speaker marks and then one of each tag at the beginning."""
     w = f"{T.WS}*"
-    out = F.regexp_replace(F.replace(T.text_of(c), F.lit("﻿"), F.lit("")), rf"^(?:{T.WS}|{_any(fixed)}|{SPEAKER_TOKEN})+", "")
+    plain = F.regexp_replace(F.replace(T.text_of(c), F.lit("﻿"), F.lit("")), SPEAKER_TOKEN, "")
+    out = F.regexp_replace(plain, rf"^(?:{T.WS}|{_any(fixed)})+", "")
     if names:
         out = F.regexp_replace(out, rf"^(?:{w}{_named(names)})+", "")
     for tag in tags:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from palaver.functions import text as T
 from palaver.operators import dictionary, tokens
-from palaver.plans.registry import digest_of, query, table
+from palaver.plans.registry import W, digest_of, query, strip_sql, table
 from palaver.sources import chat, digests, token_files
 from palaver.streaming import bridge, windows
 from palaver.streaming.dedup import folder as new_folder
@@ -160,3 +161,16 @@ def file_digests(spark, folder):
     rows = table(spark, folder, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
     rows.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
     return digests.digests(spark, path).select(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), "sha256", "bytes", "line_count")
+
+
+#: Line ends and blanks that texts of the tables lack, put in after each full stop.
+MARKED = "replace(text, '. ', '.' || chr(160) || chr(13) || chr(10) || chr(8203) || chr(9) || chr(13))"
+LINE_SQL = strip_sql(f"replace(replace(regexp_replace({MARKED}, '\\r\\n?', chr(10), 'g'), chr(160), ' '), chr(8203), '')")
+
+
+@query(f"WITH s AS (SELECT doc_id, {LINE_SQL} AS line FROM documents) SELECT doc_id, sha256(line) AS line, sha256({strip_sql(f"regexp_replace(line, '{W}+', ' ', 'g')")}) AS response FROM s")
+def trainer_lines(spark, folder):
+    """Texts as a trainer cleans them, with their lines and as one line."""
+    marked = F.replace("text", F.lit(". "), F.lit(".\u00a0\r\n\u200b\t\r"))
+    rows = table(spark, folder, "documents").select("doc_id", marked.alias("text"))
+    return rows.select("doc_id", F.sha2(T.sanitize_line("text"), 256).alias("line"), F.sha2(T.one_line_response("text"), 256).alias("response"))

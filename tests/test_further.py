@@ -80,6 +80,12 @@ def test_speakers_and_stages(spark):
         turns.speakers_of(F.lit(""), F.lit(""), ())
 
 
+def test_speaker_tokens_anywhere(spark):
+    texts = ["<|bos|><|spk:a|> hi <|spk:b c|>there<|spk:|> <|eos|>", "<|spk:x|><|eos|> <|pad|>user: you", "a <|spk:q|>", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in frame.select(turns.strip_speaker("t", ("user",))).collect()] == ["hi there<|spk:|> <|eos|>", "you", "a ", ""]
+
+
 def test_snapshots_files_and_inline(spark, tmp_path):
     text = "2024년 5월 1일 수요일\n[Alice] [오전 9:05] hello\ncontinued\n2024년 13월 1일\n[Bob] [오후 12:10] hi\n"
     rows = chat.snapshots(spark.createDataFrame([("s", text)], "source_file string, text string")).orderBy("seq").collect()
