@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from palaver.functions import sql
 from palaver.functions import text as T
-from palaver.operators import dictionary, tokens
-from palaver.plans.registry import W, digest_of, query, strip_sql, table
+from palaver.operators import dictionary, messages, tokens
+from palaver.plans.registry import ORACLE, W, digest_of, ev, query, strip_sql, table
 from palaver.sources import chat, digests, token_files
 from palaver.streaming import bridge, windows
 from palaver.streaming.dedup import folder as new_folder
@@ -174,3 +175,12 @@ def trainer_lines(spark, folder):
     marked = F.replace("text", F.lit(". "), F.lit(".\u00a0\r\n\u200b\t\r"))
     rows = table(spark, folder, "documents").select("doc_id", marked.alias("text"))
     return rows.select("doc_id", F.sha2(T.sanitize_line("text"), 256).alias("line"), F.sha2(T.one_line_response("text"), 256).alias("response"))
+
+
+@query(ORACLE["cpt_chunks"])
+def sql_chunks(spark, folder):
+    """Chunks of sessions by the table function, called from SQL."""
+    sql.register(spark)
+    messages.sessions(ev(spark, folder)).createOrReplaceTempView("session_messages")
+    return spark.sql("""SELECT * FROM chunks(TABLE(
+        SELECT source_file, session_index, ts, seq, concat(speaker, ': ', one_line(text)) AS line FROM session_messages), 8, 4, 4, 60, 600)""")
