@@ -196,29 +196,31 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
     )
 
 
-def _covered(text: str, spans) -> str:
-    """The text with its spans, in order of start, replaced by their kinds; each piece is copied once."""
+def _covered(data: bytes, spans: list[tuple[int, int, int]], rules) -> str:
+    """The text with its spans, in bytes and in order of start, replaced by their kinds; each piece is copied once."""
     out, upto = [], 0
-    for span in spans:
-        if span["start"] >= upto:
-            out += [text[upto : span["start"]], f"<{span['kind']}>"]
-        upto = max(upto, span["end"])
-    return "".join([*out, text[upto:]])
+    for start, k, end in spans:
+        if start >= upto:
+            out += [data[upto:start], f"<{rules[k].kind}>".encode()]
+        upto = max(upto, end)
+    return b"".join([*out, data[upto:]]).decode()
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", rules=RULES) -> DataFrame:
     """The documents with every secret replaced by its kind in angle brackets; overlapping spans become one."""
-    found, names = find(docs, text_col=text_col, into="_secrets", rules=rules), docs.columns
+    scanner = Shared(docs.sparkSession, compiled(tuple(rules)))
 
     def run(batches):
-        for batch in batches:
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            with_any = np.flatnonzero(np.diff(columns["_secrets"].offsets.to_numpy()))
-            if len(with_any):
-                texts = columns[text_col].to_pylist()
-                for k in with_any.tolist():
-                    texts[k] = _covered(texts[k], columns["_secrets"][k].as_py())
-                columns[text_col] = pa.array(texts, columns[text_col].type)
-            yield pa.RecordBatch.from_pydict({n: columns[n] for n in names})
-
-    return found.mapInArrow(run, docs.schema)
+        for whole in batches:
+            for batch in slices(whole, text_col):
+                column = batch.column(text_col)
+                data, off = string_bytes(column)
+                found = scanner.value.scan(data, off)
+                if found:
+                    texts = column.to_pylist()
+                    for d, spans in found.items():
+                        texts[d] = _covered(data[off[d] : off[d + 1]].tobytes(), spans, rules)
+                    column = pa.array(texts, column.type)
+                yield pa.RecordBatch.from_arrays([column if n == text_col else batch.column(n) for n in batch.schema.names], names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
