@@ -37,6 +37,9 @@ def test_registered_query(spark, name):
         rel = con.sql(queries.ORACLE[name])
         assert sorted(rel.columns) == columns
         assert Counter(tuple(r) for r in rows) == Counter(rel.select(*columns).fetchall())
+    if name in ("op11_negatives", "op12_phrases"):  # rows that aren't one a document
+        assert rows
+        return
     key = KEYS.get(name, "doc_id")
     table = "pages" if key == "page_id" else "documents"
     wanted = {r[0] for r in con.sql(f"SELECT {key} FROM {table}").fetchall()}
