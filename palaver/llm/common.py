@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -12,10 +11,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _path(session, path: str):
+    return session._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(session, path: str):
+    return _path(session, path).getFileSystem(session._jsc.hadoopConfiguration())
+
+
 def shared_folder(session) -> str:
     """The cluster's checkpoint folder, from `spark.checkpoint.dir`.
 
     Where that is unset, as in tests, a temporary folder is taken, but only if driver and executors are one process.
+    Spark gives every driver a subfolder of its own there, which goes when the driver ends.
     """
     context = session.sparkContext
     if not context.getCheckpointDir():
@@ -23,22 +31,20 @@ def shared_folder(session) -> str:
         if not named and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    _files(session, context.getCheckpointDir()).deleteOnExit(_path(session, context.getCheckpointDir()))
     return context.getCheckpointDir().rstrip("/")
 
 
 def new_folder(session, name: str) -> str:
     """A new folder in the shared one, deleted when the driver ends."""
     path = f"{shared_folder(session)}/{name}-{uuid.uuid4().hex}"
-    where = session._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(session._jsc.hadoopConfiguration())
-    files.mkdirs(where)
-    files.deleteOnExit(where)
+    _files(session, path).mkdirs(_path(session, path))
+    _files(session, path).deleteOnExit(_path(session, path))
     return path
 
 
 def delete(session, path: str) -> None:
-    where = session._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(session._jsc.hadoopConfiguration()).delete(where, True)
+    _files(session, path).delete(_path(session, path), True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -47,6 +53,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def uncut(df: DataFrame) -> None:
+    """Deletes the files of a copy that `cut` made and that nothing reads any more."""
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        delete(df.sparkSession, file.get())
+
+
 @contextmanager
 def settings(session, values: dict):
     """Settings that hold inside, and are as before afterwards."""
@@ -68,10 +81,9 @@ class Scratch:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
-        # frees the shuffles of what has been stored: their files go when Spark's cleaner sees no reference
-        gc.collect()
-        self.session._jvm.System.gc()
+        # the shuffles of what has been stored aren't read again
+        with settings(self.session, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+            df.write.parquet(path)
         return self.session.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import attach, cut
+from palaver.llm.common import attach, cut, uncut
 
 
 def components(edges: DataFrame) -> DataFrame:
     """`node`, `component` (its smallest node) for all nodes of the edges (`a`, `b`).
 
     A step only takes minima over neighbours and gives them back to the edges; nodes that hold a good share of all
-    edges get theirs by broadcast (see `attach`), so no node's edges are gathered.  It ends when no edge changes.
+    edges get theirs by broadcast (see `attach`), so no node's edges are gathered.  It ends when no edge changes.  A
+    step's copy is deleted once the next one's is written.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs, before = cut(pairs), None
+    pairs = held = cut(pairs)
+    before = None
     total = 2 * pairs.count()
     while True:
         # large star: every neighbour larger than the node moves to the smallest of the neighbourhood
@@ -26,6 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = wide.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
         moved = attach(wide, least, "a", ["m"], total, F.col("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         pairs = cut(moved.union(least.select("a", F.col("m").alias("b"))).distinct())
+        uncut(held)
+        held = pairs
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
         if state == before or state[0] == state[2] and not _chained(pairs):
             break
