@@ -74,17 +74,41 @@ def _alike(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
     return pd.Series([x is not None and y is not None and SequenceMatcher(None, x, y).ratio() >= r for x, y, r in zip(a, b, least, strict=True)])
 
 
+def shared_characters(a: Column, b: Column) -> Column:
+    """How many characters two texts share, each as often as both have it: no matching of blocks can be longer."""
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    # the texts are part of the state: they are computed once, and no lambda lies in another
+    state = lambda n, a, b: F.struct(n.alias("n"), a.alias("a"), b.alias("b"))
+    met = F.array_intersect(F.split(a, ""), F.split(b, ""))
+    add = lambda s, c: state(s["n"] + F.least(times(s["a"], c), times(s["b"], c)), s["a"], s["b"])
+    return F.aggregate(met, state(F.lit(0), a, b), add, lambda s: s["n"])
+
+
+def _echo_parts(text, last, similarity: float) -> tuple[Column, Column]:
+    """Whether a reply equals, holds or is held by the last one; whether only a matching of blocks can tell if they are alike."""
+    pair = F.element_at(F.transform(F.array(F.struct(T.comparable(text).alias("own"), T.comparable(last).alias("prev"))), lambda p: p), 1)
+    own, prev = pair["own"], pair["prev"]
+    size, other = F.length(own), F.length(prev)
+    long = (size >= 8) & (other >= 8)
+    same = long & ((own == prev) | ((size >= 12) & (prev.contains(own) | own.contains(prev))))
+    # bounds: a ratio with more matched than there can be, so none that reaches the similarity is lost
+    reaches = lambda matched: F.lit(2.0) * matched / (size + other) >= F.lit(similarity)
+    open_ = F.when(long & ~same & reaches(F.least(size, other)), reaches(shared_characters(own, prev)))
+    return F.coalesce(same, F.lit(False)), F.coalesce(open_, F.lit(False))
+
+
+def echo_undecided(text, last, similarity: float = 0.9) -> Column:
+    """Whether `echoes` has to match blocks for the pair."""
+    return _echo_parts(text, last, similarity)[1]
+
+
 def echoes(text, last, similarity: float = 0.9) -> Column:
     """Whether a reply repeats the bot's last one: equal, held by it, holding it, or alike by matching blocks.
 
-    Only pairs that the native tests leave open and whose lengths leave room for the ratio reach Python.
+    Only pairs that the native tests leave open, and whose lengths and characters leave room for the ratio, reach Python.
     """
-    own, prev = T.comparable(text), T.comparable(last)
-    size, other = F.length(own), F.length(prev)
-    long = (size >= 8) & (other >= 8)
-    same = long & ((own == prev) | ((size >= 12) & (prev.contains(own) | own.contains(prev))))
-    open_ = long & ~same & (F.lit(2.0) * F.least(size, other) / (size + other) >= F.lit(similarity))
-    return F.coalesce(same, F.lit(False)) | _alike(F.when(open_, own), F.when(open_, prev), F.lit(similarity))
+    same, open_ = _echo_parts(text, last, similarity)
+    return same | _alike(F.when(open_, T.comparable(text)), F.when(open_, T.comparable(last)), F.lit(similarity))
 
 
 def fallback_text(key, texts) -> Column:

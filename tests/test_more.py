@@ -1,9 +1,11 @@
 """Replies, vocabulary, rooms, datasets and configurations against plain Python."""
 
+import random
 from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palaver import cli
@@ -47,6 +49,40 @@ def test_echo(spark):
     assert {(r.a, r.b): r.e for r in rows} == {p: want(*p) for p in pairs}
 
 
+def test_echo_of_edited_texts(spark):
+    """Texts of all alphabets with edits, held against the ratio itself: the bounds decide only what it decides."""
+    rng, pairs = random.Random(4), []
+    for k in range(1500):
+        letters = ["ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz0123456789", "가나다라마바사아자차카타파하힣각"][k % 4]
+        own = [rng.choice(letters) for _ in range(rng.randrange(8, 60 if k % 5 else 400))]
+        last = list(own)
+        for _ in range(rng.randrange(0, 2 + len(own) // rng.choice((4, 8, 16, 40)))):
+            at = rng.randrange(len(last) + 1)
+            last[at : at + rng.randrange(2)] = [rng.choice(letters)] * rng.randrange(2)
+        pairs.append(("".join(own), "".join(last)))
+    pairs += [(a, c) for (a, _), (_, c) in zip(pairs, pairs[4:], strict=False)]
+
+    def alike(a, b):
+        return SequenceMatcher(None, a, b).ratio() >= 0.9
+
+    def same(a, b):
+        return a == b or len(a) >= 12 and (a in b or b in a)
+
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    rows = frame.select("a", "b", R.echoes("a", "b").alias("e"), R.echo_undecided("a", "b").alias("u")).collect()
+    want = [min(len(r.a), len(r.b)) >= 8 and (same(r.a, r.b) or alike(r.a, r.b)) for r in rows]
+    assert [r.e for r in rows] == want
+    assert any(r.u and r.e for r in rows) and sum(w for w in want) > 300
+
+
+def test_echo_pairs_that_reach_python(spark):
+    """Of the turns of the tables, one in seven needs a matching of blocks at most: long ones of the same letters."""
+    bots = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").where("role = 'assistant'")
+    last = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    n, open_ = bots.withColumn("last", last).agg(F.count("last"), F.sum(R.echo_undecided("text", F.col("last")).cast("int"))).first()
+    assert n > 0 and open_ <= n / 7
+
+
 def test_scored(spark):
     rows = [("fine reply here", None), ("", None), ("a", None), ("haha haha haha haha haha", None), ("the same reply", "the same reply")]
     got = dialogue.scored(spark.createDataFrame(rows, "text string, last string"), "text", "last").collect()
