@@ -46,7 +46,7 @@ KEPT = "CASE event_type " + " ".join(f"WHEN '{kind}' THEN " + (f"replace('{text}
 p AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY room ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS seq FROM e)
 SELECT room, CAST(seq AS BIGINT) AS seq, date_trunc('minute', ts) AS ts, 'u' || user_id AS speaker, {KEPT} AS text FROM p WHERE {KEPT} IS NOT NULL""")
 def parse_ranges(spark, folder):
-    """Events as one export file a room, with system, blank, date and marker lines, parsed by ranges of 8,192 bytes."""
+    """Events as one export file in parts a room, with system, blank, date and marker lines, parsed by ranges of 8,192 bytes."""
     events = table(spark, folder, "events").withColumn("room", F.col("user_id") % 4)
     time = F.date_format("ts", "yyyy. M. d. H:mm")
 
@@ -58,11 +58,11 @@ def parse_ranges(spark, folder):
         return F.lit(line)
 
     of = F.coalesce(*(F.when(F.col("event_type") == kind, F.array(*map(filled, lines))) for kind, (lines, _) in LINES.items()))
-    rows = events.select("room", "ts", "event_id", F.posexplode(of).alias("k", "value"))
-    title = events.select("room").distinct().select("room", F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"), F.lit(-1).cast("bigint").alias("event_id"), F.lit(0).alias("k"), F.lit("room 카카오톡 대화").alias("value"))
-    rows, path = rows.union(title).repartition("room").sortWithinPartitions("room", "ts", "event_id", "k"), new_folder(spark, "exports")
-    rows.select("room", "value").write.mode("overwrite").partitionBy("room").text(path)
-    found, _ = chat.export_messages(spark, path, split=8_192)
+    rows = events.select("room", "ts", "event_id", of.alias("lines"))
+    title = events.select("room").distinct().select("room", F.lit("2000-01-01").cast("timestamp_ntz").alias("ts"), F.lit(-1).cast("bigint").alias("event_id"), F.array(F.lit("room 카카오톡 대화")).alias("lines"))
+    rows, path = rows.union(title).repartitionByRange("room", "ts", "event_id").sortWithinPartitions("room", "ts", "event_id"), new_folder(spark, "exports")
+    rows.select("room", F.explode("lines").alias("value")).write.mode("overwrite").partitionBy("room").text(path)
+    found, _ = chat.export_messages(spark, path, split=8_192, parts=True)
     return found.select(F.regexp_extract("path", "room=([0-9]+)", 1).cast("bigint").alias("room"), "seq", "ts", "speaker", "text")
 
 

@@ -64,9 +64,12 @@ def messages(texts: DataFrame, include_system: bool = False) -> DataFrame:
     return _messages(rows, ["source_file"], include_system)
 
 
-def export_messages(spark: SparkSession, path: str, include_system: bool = False, split: int = export_ranges.SPLIT) -> tuple[DataFrame, list[str]]:
-    """The same of a folder's or pattern's files, with their `path`, each read by a task for every `split` bytes; and the files that no encoding reads."""
-    rows, lost = export_ranges.lines(spark, path, LINE_END, split)
+def export_messages(spark: SparkSession, path: str, include_system: bool = False, split: int = export_ranges.SPLIT, parts: bool = False) -> tuple[DataFrame, list[str]]:
+    """The same of a folder's or pattern's files, with their `path`, each read by ranges of `split` bytes; and the files that no encoding reads.
+
+    With `parts`, each folder is one file, its files being the parts.
+    """
+    rows, lost = export_ranges.lines(spark, path, LINE_END, split, parts)
     return _messages(rows, ["path", "source_file"], include_system), lost
 
 
@@ -74,26 +77,26 @@ def _messages(rows: DataFrame, file: list[str], include_system: bool) -> DataFra
     """Messages of lines (`range`, `at`, `raw`).
 
     A range's lines are counted, and how many of them begin or end a message; sums of these over the ranges before tell each
-    range its first line's number and the message that is open at its beginning.
+    range its first line's number and the message that is open at its beginning.  Bad times are counted likewise over the file.
     """
     line = T.strip(F.col("raw"))
     kind = F.when(line.rlike(HEADER), "header").when(line.rlike(SYSTEM), "system").when(line == "", "blank").when(line.rlike(DATE_LINE) | line.rlike(MARKERS), "skip").otherwise("more")
     rows = rows.withColumns({"line": line, "kind": kind}).withColumn("_edge", F.col("kind").isin("header", "system").cast("int"))
+    pattern = F.when(F.col("kind") == "header", F.regexp_extract("line", HEADER, 1)).when(F.col("kind") == "system", F.regexp_extract("line", SYSTEM, 1))
+    ts = F.try_to_timestamp(pattern, F.lit("yyyy. M. d. H:mm")).cast("timestamp_ntz")
+    bad = F.col("kind").isin(["header", "system"] if include_system else ["header"]) & ts.isNull()
     order = Window.partitionBy(*file, "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     past = Window.partitionBy(*file).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = rows.groupBy(*file, "range").agg(F.count(F.lit(1)).alias("_n"), F.sum("_edge").alias("_edges"))
-    ranges = ranges.select(*file, "range", *(F.coalesce(F.sum(c).over(past), F.lit(0)).alias(into) for c, into in (("_n", "_line"), ("_edges", "_block"))))
+    ranges = rows.groupBy(*file, "range").agg(F.count(F.lit(1)).alias("_n"), F.sum("_edge").alias("_edges"), F.count_if(bad).alias("_bad"))
+    ranges = ranges.select(*file, "range", *(F.coalesce(F.sum(c).over(past), F.lit(0)).alias(into) for c, into in (("_n", "_line"), ("_edges", "_block"))), F.sum("_bad").over(Window.partitionBy(*file)).alias("_lost"))
     rows = rows.withColumn("_own", F.sum("_edge").over(order)).join(ranges, [*file, "range"])
-    rows = rows.withColumns({"line_no": F.col("_line") + F.col("at"), "block": F.col("_block") + F.col("_own")}).where((F.col("block") > 0) & (F.col("kind") != "skip"))
-    pattern = F.when(F.col("kind") == "header", F.regexp_extract("line", HEADER, 1)).when(F.col("kind") == "system", F.regexp_extract("line", SYSTEM, 1))
-    ts = F.try_to_timestamp(pattern, F.lit("yyyy. M. d. H:mm")).cast("timestamp_ntz")
+    rows = rows.withColumns({"line_no": F.col("_line") + F.col("at"), "block": F.col("_block") + F.col("_own")}).where((F.col("block") > 0) & (F.col("kind") != "skip") & (F.col("_lost") == 0))
     piece = F.when(F.col("kind") == "header", F.regexp_extract("line", HEADER, 3)).when(F.col("kind") == "system", F.regexp_extract("line", SYSTEM, 2)).when(F.col("kind") == "blank", "").otherwise(F.col("raw"))
     rows = rows.withColumns({"ts": ts, "piece": piece, "speaker": F.when(F.col("kind") == "header", T.strip(F.regexp_extract("line", HEADER, 2))).when(F.col("kind") == "system", "SYSTEM")})
-    bad = rows.where(F.col("kind").isin(["header", "system"] if include_system else ["header"]) & F.col("ts").isNull()).select(*file).distinct()
     # lines that a system line ends aren't gathered
     rows = rows.withColumn("_system", F.max(F.col("kind") == "system").over(Window.partitionBy(*file, "block"))).where(~F.col("_system") | (F.col("kind") == "system"))
     item = F.struct("line_no", "piece")
-    each = rows.join(bad, file, "left_anti").groupBy(*file, "block").agg(F.min("line_no").alias("seq"), F.first("ts", True).alias("ts"), F.first("speaker", True).alias("speaker"), F.max("_system").alias("system"), F.array_sort(F.collect_list(item)).alias("all"))
+    each = rows.groupBy(*file, "block").agg(F.min("line_no").alias("seq"), F.first("ts", True).alias("ts"), F.first("speaker", True).alias("speaker"), F.max("_system").alias("system"), F.array_sort(F.collect_list(item)).alias("all"))
     out = each.withColumn("text", T.strip(F.array_join(F.transform("all", lambda m: m["piece"]), "\n")))
     keep = (F.col("text") != "") & ~F.col("system")
     return out.where(keep | F.col("system") if include_system else keep).select(*file, F.col("seq").cast("bigint").alias("seq"), "ts", "speaker", "text")

@@ -68,3 +68,29 @@ def test_patterns_and_no_file(spark, folder):
     assert {r[0] for r in rows_of(df)} == {"utf-8.txt", "utf-8-sig.txt", "utf-16.txt"}
     with pytest.raises(Exception, match="no file matches"):
         chat.export_messages(spark, str(folder / "none-*.txt"))
+
+
+def test_many_ranges_a_task(spark, folder):
+    """A task for every range would be thousands of tasks."""
+    reader = export_ranges.ExportReader({"path": str(folder), "split": "17", "ends": chat.LINE_END})
+    assert len(reader.partitions()) == 1 and len(reader.partitions()[0].ranges) > 1000
+
+
+def test_files_in_parts(spark, folder, tmp_path):
+    """A folder of parts is one file: line numbers and open messages go on from part to part."""
+    for k, name in enumerate(("one", "two", "lost")):
+        rows = export(20 + k, 120).splitlines(keepends=True)
+        (tmp_path / "whole").mkdir(exist_ok=True)
+        (tmp_path / "parts" / name).mkdir(parents=True)
+        data = [t.encode("cp949" if k else "utf-8") for t in rows]
+        data = [d + b"\xff\xff\xff\n" if name == "lost" else d for d in data]
+        (tmp_path / "whole" / name).write_bytes(b"".join(data))
+        ends, at = [i + 1 for i, d in enumerate(data) if d.endswith(b"\n")], 0
+        for n, end in enumerate([*ends[10::25], len(data)]):
+            (tmp_path / "parts" / name / f"part-{n:05}").write_bytes(b"".join(data[at:end]))
+            at = end
+    for split in (1 << 26, 300):
+        whole, _ = chat.export_messages(spark, str(tmp_path / "whole"), split=split)
+        parts, lost = chat.export_messages(spark, str(tmp_path / "parts"), split=split, parts=True)
+        assert rows_of(parts) == [r for r in rows_of(whole) if r[0] != "lost"] and len({r[0] for r in rows_of(parts)}) == 2
+        assert [x.rpartition("/")[2] for x in lost] == ["lost"]
