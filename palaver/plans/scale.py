@@ -157,11 +157,11 @@ def speaker_ids(spark, folder):
 @query("""SELECT lang, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes,
 CAST(sum(len(text) - len(replace(text, chr(10), '')) + 1) AS BIGINT) AS line_count FROM documents GROUP BY 1""")
 def file_digests(spark, folder):
-    """A text file for each language, hashed and counted in bounded buffers."""
+    """A text file in parts for each language, hashed and counted in bounded buffers."""
     path = new_folder(spark, "files")
-    rows = table(spark, folder, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
+    rows = table(spark, folder, "documents").repartitionByRange("lang", "doc_id").sortWithinPartitions("lang", "doc_id")
     rows.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
-    return digests.digests(spark, path).select(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), "sha256", "bytes", "line_count")
+    return digests.digests(spark, path, parts=True).select(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), "sha256", "bytes", "line_count")
 
 
 #: Line ends and blanks that texts of the tables lack, put in after each full stop.

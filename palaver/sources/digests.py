@@ -1,4 +1,7 @@
-"""Digests of files of any size: a row a file, its bytes hashed in bounded buffers."""
+"""Digests of files of any size: a row a file, its bytes hashed in bounded buffers.
+
+With `parts`, a folder is one file whose parts are its files in order of name.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from palaver.sources.export_ranges import listed
+from palaver.sources.export_ranges import files_of, listed, together
 from palaver.sources.files import file_system
 
 #: Bytes that are read at a time; bytes of small files that one task takes together.
@@ -17,35 +20,32 @@ BUFFER, TASK = 1 << 20, 256 << 20
 
 @dataclass
 class Files(InputPartition):
-    paths: list[str]
+    files: list[tuple[str, list[str]]]
 
-    def __init__(self, paths: list[str]):
+    def __init__(self, files: list[tuple[str, list[str]]]):
         super().__init__(None)
-        self.paths = paths
+        self.files = files
 
 
 class DigestReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.task = options["path"], int(options.get("task", TASK))
+        self.parts = str(options.get("parts", "false")).lower() == "true"
 
     def partitions(self):
         """Files in order of path, so many together as TASK bytes take; a larger one alone."""
-        out, held, size = [], [], 0
-        for info in listed(self.path):
-            if held and size + info.size > self.task:
-                out, held, size = [*out, Files(held)], [], 0
-            held.append(info.path)
-            size += info.size
-        return [*out, Files(held)] if held else out
+        found = together(files_of(listed(self.path), self.parts), lambda f: sum(i.size for i in f[1]), self.task)
+        return [Files([(path, [i.path for i in parts]) for path, parts in some]) for some in found]
 
     def read(self, part):
-        files, _ = file_system(self.path)
-        for path in part.paths if part else ():
+        system, _ = file_system(self.path)
+        for path, parts in part.files if part else ():
             digest, n, lines, last = hashlib.sha256(), 0, 0, b"\n"
-            with files.open_input_stream(path, compression=None) as f:
-                while data := f.read(BUFFER):
-                    digest.update(data)
-                    n, lines, last = n + len(data), lines + data.count(b"\n"), data[-1:]
+            for name in parts:
+                with system.open_input_stream(name, compression=None) as f:
+                    while data := f.read(BUFFER):
+                        digest.update(data)
+                        n, lines, last = n + len(data), lines + data.count(b"\n"), data[-1:]
             yield path, path.rpartition("/")[2], digest.hexdigest(), n, lines + (last != b"\n")
 
 
@@ -63,7 +63,7 @@ class DigestDataSource(DataSource):
         return DigestReader(self.options)
 
 
-def digests(spark: SparkSession, path: str, task: int = TASK) -> DataFrame:
+def digests(spark: SparkSession, path: str, task: int = TASK, parts: bool = False) -> DataFrame:
     """`path`, `source_file`, `sha256`, `bytes`, `line_count` (ended by line feeds, and a last one without) of a folder's or pattern's files."""
     spark.dataSource.register(DigestDataSource)
-    return spark.read.format("file_digests").options(path=path, task=task).load()
+    return spark.read.format("file_digests").options(path=path, task=task, parts=parts).load()

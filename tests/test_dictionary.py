@@ -51,3 +51,33 @@ def test_digests_of_files(spark, tmp_path, monkeypatch):
     assert {r.source_file: (r.sha256, r.bytes, r.line_count) for r in df.collect()} == {
         n: (hashlib.sha256(d).hexdigest(), len(d), d.count(b"\n") + (bool(d) and not d.endswith(b"\n"))) for n, d in files.items()
     }
+
+
+def test_digests_of_files_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(digests, "BUFFER", 7)
+    parts = {"a": [b"x\n" * 9, b"yy\nz", b""], "a-b": [b"\n"], "b": [b"", b"no end"]}
+    for name, data in parts.items():
+        (tmp_path / name).mkdir()
+        for k, d in enumerate(data):
+            (tmp_path / name / f"part-{k:05}").write_bytes(d)
+        (tmp_path / name / "_SUCCESS").write_bytes(b"")
+    whole = {n: b"".join(d) for n, d in parts.items()}
+    assert {r.source_file: (r.sha256, r.bytes, r.line_count) for r in digests.digests(spark, str(tmp_path), parts=True).collect()} == {
+        n: (hashlib.sha256(d).hexdigest(), len(d), d.count(b"\n") + (not d.endswith(b"\n"))) for n, d in whole.items()
+    }
+
+
+def test_language_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task takes all texts of a language."""
+    from palaver.plans import scale
+
+    seen = []
+    monkeypatch.setattr(scale.digests, "digests", lambda s, path, **k: seen.append(path) or s.createDataFrame([], "path string, sha256 string, bytes bigint, line_count bigint"))
+    monkeypatch.setattr(scale, "new_folder", lambda s, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        scale.file_digests(spark, "/root/testdata/sf0.01")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = spark.read.text(seen[-1]).select("lang", "_metadata.file_path").groupBy("lang").agg(F.count_distinct("file_path").alias("n"))
+    assert max(r.n for r in rows.collect()) > 2
