@@ -1,17 +1,19 @@
 """Snapshots of chat rooms as a stream: new messages once, a first snapshot that only fills the memory, limited replies, fallbacks.
 
-State is kept by room with `transformWithState`, in entries that are read and written one by one: a map of what was seen and
-one of the order in which it was added, so a message costs a few entries however much is remembered; a queue of the times
-of the replies of the last hour; a ring of the last fallback decisions with their sum.  With `idle`, entries that weren't
-written for so long are forgotten.  A room's rows of one batch are taken in order of `seq`; a restart goes on from the
-checkpoint.
+State is kept by room with `transformWithState`, in single entries: a map of what was seen and one of the order in which it
+was added, so a message costs a few entries however much is remembered; a queue of the times of the replies of the last
+hour; a ring of the last fallback decisions with their sum.  A batch works on copies of the entries that it needs and writes
+back those that it changed (`Held`).  With `idle`, entries that weren't written for so long are forgotten.  A room's rows of
+one batch are taken in order of `seq`; a restart goes on from the checkpoint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,29 +21,80 @@ from palaver.streaming.dedup import falls_back
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUT = "room string, seq bigint, uid string, action string"
-
-
-def _in_order(rows) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values("seq", kind="stable")
-
-
-class Queue:
-    """Values at places from `head` to `tail`, in a map; the caller keeps the two ends."""
-
-    def __init__(self, handle: StatefulProcessorHandle, name: str, kind: str, idle: int | None):
-        self.held = handle.getMapState(name, "place bigint", f"value {kind}", idle)
-
-    def get(self, place: int):
-        """None at a place that has been idle for too long."""
-        found = self.held.getValue((place,))
-        return found[0] if found else None
-
-    def put(self, place: int, value) -> None:
-        self.held.updateValue((place,), (value,))
-
-    def drop(self, place: int) -> None:
-        if self.held.containsKey((place,)):
-            self.held.removeKey((place,))
+#: Entries that a batch holds of one map; rows that are Python objects at once.
+ENTRIES, ROWS = 1 << 18, 10_000
+KINDS = {"seq": pa.int64(), "uid": pa.large_string(), "at": pa.float64(), "wants_reply": pa.bool_(), "confidence": pa.float64()}
+
+
+def _in_order(rows, names: list[str]) -> Iterator[tuple]:
+    """A room's rows of one batch in order of `seq`: held as Arrow columns, Python has `ROWS` of them at once."""
+    parts: dict[str, list] = {n: [] for n in names}
+    for some in rows:
+        for n in names:  # what isn't a number stays one
+            given = some[n].to_numpy("float64") if pa.types.is_floating(KINDS[n]) else some[n]
+            parts[n].append(pa.array(given, KINDS[n], from_pandas=not pa.types.is_floating(KINDS[n])))
+    held = {n: pa.concat_arrays(parts.pop(n)) for n in names}
+    order = held["seq"].to_numpy(zero_copy_only=False).argsort(kind="stable")
+    for at in range(0, len(order), ROWS):
+        some = pa.array(order[at : at + ROWS])
+        yield from zip(*(c.take(some).to_pylist() for c in held.values()), strict=True)
+
+
+def _given(found: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of `ROWS` rows."""
+    while some := list(islice(found, ROWS)):
+        yield pd.DataFrame(some, columns=names)
+
+
+class Held:
+    """A map state's entries as a batch sees them, read once and written once; more than `ENTRIES` are written before the end and read anew."""
+
+    def __init__(self, state, empty: bool):
+        """`empty`: the state is known to have no entry yet, so none is looked up."""
+        self.state, self.empty = state, empty
+        self.now, self.changed, self.fresh = {}, set(), set()
+
+    def get(self, key):
+        """None without an entry, or for one that has been idle for too long."""
+        if key in self.now or self.empty:
+            return self.now.get(key)
+        self._limit()
+        found = self.state.getValue((key,))
+        self.now[key] = found[0] if found else None
+        return self.now[key]
+
+    def put(self, key, value, new: bool = False) -> None:
+        """`new`: the key has no entry."""
+        self._limit()
+        if new and key not in self.changed:
+            self.fresh.add(key)
+        self.now[key] = value
+        self.changed.add(key)
+
+    def drop(self, key) -> None:
+        if key not in self.fresh:
+            self.now[key] = None
+            self.changed.add(key)
+            return
+        self.fresh.discard(key)
+        self.changed.discard(key)
+        if self.empty:
+            del self.now[key]
+        else:
+            self.now[key] = None
+
+    def _limit(self) -> None:
+        if len(self.now) >= ENTRIES:
+            self.write()
+
+    def write(self) -> None:
+        for key in self.changed:
+            if self.now[key] is not None:
+                self.state.updateValue((key,), (self.now[key],))
+            elif self.state.containsKey((key,)):
+                self.state.removeKey((key,))
+        self.empty = self.empty and not self.changed
+        self.now, self.changed, self.fresh = {}, set(), set()
 
 
 class Rooms(StatefulProcessor):
@@ -52,42 +105,43 @@ class Rooms(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState("seen", "uid string", "place bigint", self.idle)
-        self.order, self.sends = Queue(handle, "order", "string", self.idle), Queue(handle, "sends", "double", self.idle)
+        self.order, self.sends = (handle.getMapState(n, "place bigint", f"value {kind}", self.idle) for n, kind in (("order", "string"), ("sends", "double")))
         self.ends = handle.getValueState("ends", "head bigint, tail bigint, first bigint, next bigint", self.idle)
 
-    def _add(self, uid: str, head: int, tail: int) -> int:
-        """Remembers the id, and forgets the one that was added first if they are too many; the new head."""
-        self.seen.updateValue((uid,), (tail,))
-        self.order.put(tail, uid)
-        if tail + 1 - head <= self.most:
-            return head
-        oldest = self.order.get(head)
-        if oldest is not None and self.seen.containsKey((oldest,)):
-            self.seen.removeKey((oldest,))
-        self.order.drop(head)
-        return head + 1
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        started = self.ends.exists()
+        yield from _given(self._decided(key[0], rows), ["room", "seq", "uid", "action"])
+
+    def _decided(self, room: str, rows) -> Iterator[tuple]:
+        started, replies = self.ends.exists(), 0
         head, tail, first, then = self.ends.get() if started else (0, 0, 0, 0)
-        batch, out, replies = _in_order(rows), [], 0
-        for seq, uid, at, wants in zip(batch["seq"].tolist(), batch["uid"].tolist(), batch["at"].tolist(), batch["wants_reply"].tolist(), strict=True):
-            if self.seen.containsKey((uid,)):
+        seen, order, sends = (Held(x, not started and self.idle is None) for x in (self.seen, self.order, self.sends))
+        for seq, uid, at, wants in _in_order(rows, ["seq", "uid", "at", "wants_reply"]):
+            if seen.get(uid) is not None:
                 continue
-            head, tail = self._add(uid, head, tail), tail + 1
+            # remembers the id, and forgets the one that was added first if they are too many
+            seen.put(uid, tail, new=True)
+            order.put(tail, uid, new=True)
+            tail += 1
+            if tail - head > self.most:
+                oldest = order.get(head)
+                if oldest is not None:
+                    seen.drop(oldest)
+                order.drop(head)
+                head += 1
             action = "context"
             if wants and (started or not self.first_is_old) and replies < self.per_batch:
-                while first < then and ((x := self.sends.get(first)) is None or at - x >= 3600):
-                    self.sends.drop(first)
+                while first < then and ((x := sends.get(first)) is None or at - x >= 3600):
+                    sends.drop(first)
                     first += 1
-                free = then - first < self.per_hour and (first == then or at - self.sends.get(then - 1) >= self.spacing)
+                free = then - first < self.per_hour and (first == then or at - sends.get(then - 1) >= self.spacing)
                 action, replies = ("reply" if free else "limited"), replies + 1
                 if free:
-                    self.sends.put(then, at)
+                    sends.put(then, at, new=True)
                     then += 1
-            out.append((key[0], seq, uid, action))
+            yield room, seq, uid, action
+        for held in (seen, order, sends):
+            held.write()
         self.ends.update((head, tail, first, then))
-        yield pd.DataFrame(out, columns=["room", "seq", "uid", "action"])
 
     def close(self) -> None:
         pass
@@ -104,20 +158,22 @@ class Fallbacks(StatefulProcessor):
         self.sums = handle.getValueState("sums", "n bigint, total int", self.idle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        n, total = self.sums.get() if self.sums.exists() else (0, 0)
-        batch, out = _in_order(rows), []
-        for seq, sure in zip(batch["seq"], batch["confidence"], strict=True):
-            held = min(n, self.window)
-            flag = falls_back(key[0], seq, sure, total, held, self.threshold, self.target)
-            place = (n % self.window,)
+        yield from _given(self._decided(key[0], rows), ["room", "seq", "fallback"])
+
+    def _decided(self, room: str, rows) -> Iterator[tuple]:
+        started = self.sums.exists()
+        n, total = self.sums.get() if started else (0, 0)
+        ring = Held(self.ring, not started and self.idle is None)
+        for seq, sure in _in_order(rows, ["seq", "confidence"]):
+            held, place = min(n, self.window), n % self.window
+            flag = falls_back(room, seq, sure, total, held, self.threshold, self.target)
             if held == self.window:
-                old = self.ring.getValue(place)
-                total -= old[0] if old else 0
-            self.ring.updateValue(place, (int(flag),))
+                total -= ring.get(place) or 0
+            ring.put(place, int(flag))
             n, total = n + 1, total + int(flag)
-            out.append((key[0], seq, flag))
+            yield room, seq, flag
+        ring.write()
         self.sums.update((n, total))
-        yield pd.DataFrame(out, columns=["room", "seq", "fallback"])
 
     def close(self) -> None:
         pass

@@ -89,3 +89,51 @@ def test_windows_and_late_rows(spark, tmp_path):
     assert got["session"] == ([("r", 0, 35, 2), ("r", 65, 95, 1), ("r", 290, 331, 9), ("s", 20, 50, 1)], 2)
     with pytest.raises(ValueError, match="size or a gap"):
         windows.windowed(stream, "ts", ["room"], [], size="1 hour", gap="1 hour")
+
+
+class Map:
+    """A map state that counts what is asked of it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def __getattr__(self, name):
+        def run(key, *value):
+            self.calls += 1
+            return {"getValue": self.held.get, "containsKey": self.held.__contains__, "removeKey": self.held.pop, "updateValue": self.held.__setitem__}[name](key, *value)
+
+        return run
+
+
+class Value:
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
+def test_a_batch_asks_the_state_for_few_entries(monkeypatch):
+    """Not for some in every row; and the entries are those of rows that come one by one, however few are held."""
+    rng, ends = random.Random(4), {}
+    data = pd.DataFrame([("r", k, f"u{rng.randrange(300)}", 40.0 * k, rng.random() < 0.5, rng.random()) for k in range(3000)], columns=["room", "seq", "uid", "at", "wants_reply", "confidence"])
+    for most, size in ((1 << 18, 3000), (1 << 18, 1000), (1 << 18, 1), (8, 500)):
+        monkeypatch.setattr(bridge, "ENTRIES", most)
+        acting, falling = bridge.Rooms(100, 5, 60.0, 1 << 40, False, None), bridge.Fallbacks(0.5, 0.3001, 41, None)
+        acting.seen, acting.order, acting.sends, acting.ends, falling.ring, falling.sums = Map(), Map(), Map(), Value(), Map(), Value()
+        out = []
+        for at in range(0, len(data), size):
+            part = data[at : at + size].sample(frac=1, random_state=at)
+            for p in (acting, falling):
+                out += [tuple(r) for f in p.handleInputRows(("r",), iter([part[:9], part[9:]] if size > 9 else [part]), None) for r in f.itertuples(index=False)]
+        maps = acting.seen, acting.order, acting.sends, falling.ring
+        ends[most, size] = sorted(map(str, out)), [dict(m.held) for m in maps], acting.ends.held, falling.sums.held
+        assert most == 8 or size == 1 or sum(m.calls for m in maps) < 400 + 1500 * (3000 // size - 1)
+        assert len(maps[0].held) == len(maps[1].held) == 100
+    assert all(e == ends[1 << 18, 1] for e in ends.values()) and len(ends[1 << 18, 1][0]) > 4000
