@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from palaver.functions import text as T
 from palaver.operators.tokens import BASE
@@ -31,14 +27,17 @@ class Vocabulary:
 
     def encode(self, text) -> Column:
         """Ids of a text; special tokens written in it become their ids."""
-        ids, offset = dict(self.ids), self.offset
-        split = re.compile("(" + "|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)) + ")")
+        # pairs of hexadecimal digits are bytes; a match begins at a whole one, as all matches before it have whole ones
+        code = {t.encode().hex().upper(): i for t, i in self.ids.items()}
+        pairs = F.regexp_extract_all(F.hex(F.encode(T.text_of(text), "utf-8")), F.lit("|".join([*sorted(code, key=len, reverse=True), ".."])), 0)
+        table = F.create_map(*(F.lit(x) for kv in code.items() for x in kv))
+        shortest = min(map(len, code))  # a token of one byte goes before the byte
 
-        @F.pandas_udf(ArrayType(IntegerType()))
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: [i for part in split.split(t) if part for i in ([ids[part]] if part in ids else [offset + b for b in part.encode()])])
+        def id_of(x):
+            byte, own = F.conv(x, 16, 10).cast("int") + self.offset, F.try_element_at(table, x)
+            return F.coalesce(own, byte) if shortest == 2 else F.when(F.length(x) == 2, byte).otherwise(own)
 
-        return run(T.text_of(text))
+        return F.transform(pairs, id_of)
 
     def count(self, text) -> Column:
         """How many ids `encode` gives, without Python."""
@@ -47,23 +46,9 @@ class Vocabulary:
 
     def decode(self, ids) -> Column:
         """The text of ids; broken UTF-8 becomes replacement characters, ids out of range nothing."""
-        names, offset = list(self.specials), self.offset
-
-        def one(row) -> str:
-            out, held = [], bytearray()
-            for i in row:
-                if 0 <= i < offset:
-                    out += [held.decode(errors="replace"), names[i]]
-                    held = bytearray()
-                elif 0 <= i - offset < 256:
-                    held.append(i - offset)
-            return "".join([*out, held.decode(errors="replace")])
-
-        @F.pandas_udf(StringType())
-        def run(rows: pd.Series) -> pd.Series:
-            return rows.map(lambda r: "" if r is None else one(r))
-
-        return run(ids)
+        table = F.array(*(F.lit(t.encode().hex()) for t in self.specials), *(F.lit(f"{b:02x}") for b in range(256)))
+        data = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
+        return F.coalesce(F.make_valid_utf8(data.cast("string")), F.lit(""))
 
     def stop_ids(self, own) -> Column:
         """Ids that end a turn: eos, bos and all speakers' tokens but one's own."""
